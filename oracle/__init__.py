@@ -10,7 +10,8 @@ from __future__ import annotations
 import re
 
 from .derive_sql import CTES as DERIVE_CTES
-from .pipeline_sql import CTES as PIPELINE_CTES, QUERIES
+from .pipeline_sql import CTES as PIPELINE_CTES
+from .queries_sql import QUERIES
 
 ALL_CTES: list[tuple[str, str]] = DERIVE_CTES + PIPELINE_CTES
 _NAMES = [name for name, _ in ALL_CTES]
