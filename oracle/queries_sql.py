@@ -86,3 +86,115 @@ QUERIES: dict[str, str] = {
         SELECT * REPLACE ({K('previous_trade_date')} AS previous_trade_date, {K('trade_date')} AS trade_date)
         FROM exception_ledger""",
 }
+
+_FLAG_COLS = ("trade_date, code, issue_type, issue_severity, usable_for_vpa, usable_for_ml_feature, usable_for_ml_label, "
+              "usable_for_backtest, execution_restricted, affected_start, affected_end, issue_detail")
+_D3 = f"{K('trade_date')} AS trade_date, {K('affected_start')} AS affected_start, {K('affected_end')} AS affected_end"
+
+QUERIES.update({
+    "missing_limit": f"""
+        SELECT security_id, {K('trade_date')} AS trade_date, up_limit, down_limit
+        FROM tradeability_state_daily WHERE up_limit IS NULL OR down_limit IS NULL""",
+    "missing_industry": f"""
+        SELECT DISTINCT {K('trade_date')} AS trade_date, code FROM normalized
+        WHERE industry_code IS NULL OR industry_code = 'UNKNOWN'""",
+    "incomplete_dates": f"SELECT * REPLACE ({K('trade_date')} AS trade_date) FROM incomplete_dates",
+    "date_row_counts": f"SELECT * REPLACE ({K('trade_date')} AS trade_date) FROM date_counts",
+    "affected_window": f"""
+        SELECT code, {K('trade_date')} AS trade_date, {K('previous_trade_date')} AS previous_trade_date, factor_ratio,
+               triage_class, {K('affected_start')} AS affected_start, {K('affected_end')} AS affected_end
+        FROM affected""",
+    "usability_flags": f"SELECT * REPLACE ({_D3}) FROM flags",
+    "issue_counts": "SELECT * FROM issue_counts",
+    "issue_counts_by_type": "SELECT issue_type, count(*) AS row_count FROM flags GROUP BY 1",
+    "quality_scalars": "SELECT metric, CAST(value AS BIGINT) AS value FROM quality_scalars",
+    "source_ratios": "SELECT * FROM source_ratios",
+    "quality_gates": f"""
+        SELECT 'min_official_ratio' AS gate, official_ratio AS observed, CAST(0.5 AS DOUBLE) AS threshold,
+               CASE WHEN official_ratio < 0.5 THEN 'failure' ELSE 'pass' END AS outcome
+        FROM source_ratios
+        UNION ALL
+        SELECT 'missing_limit_rows', CAST(value AS DOUBLE), NULL::DOUBLE,
+               CASE WHEN value > 0 THEN 'warning' ELSE 'pass' END
+        FROM quality_scalars WHERE metric = 'tradeability_missing_limit_rows'
+        UNION ALL
+        SELECT 'incomplete_trading_date_count', CAST(incomplete_trading_date_count AS DOUBLE), NULL::DOUBLE,
+               CASE WHEN incomplete_trading_date_count > 0 THEN 'warning' ELSE 'pass' END FROM issue_counts
+        UNION ALL
+        SELECT 'high_issue_count', CAST(high_issue_count AS DOUBLE), NULL::DOUBLE,
+               CASE WHEN high_issue_count > 0 THEN 'failure' ELSE 'pass' END FROM issue_counts
+        UNION ALL
+        SELECT 'max_unresolved_adj_factor_jump', CAST(unresolved_adj_factor_jump_count AS DOUBLE), CAST(100 AS DOUBLE),
+               CASE WHEN unresolved_adj_factor_jump_count > 100 THEN 'failure' ELSE 'pass' END FROM issue_counts
+        UNION ALL
+        SELECT 'max_missing_limit', CAST(missing_limit_count AS DOUBLE), CAST(1000 AS DOUBLE),
+               CASE WHEN missing_limit_count > 1000 THEN 'failure' ELSE 'pass' END FROM issue_counts""",
+    "jump_totals": """
+        SELECT count(*) AS total_rows, count(*) FILTER (WHERE has_explaining_corporate_action) AS explained_rows,
+               count(*) FILTER (WHERE NOT has_explaining_corporate_action) AS unresolved_rows
+        FROM q_classified""",
+    "jump_years": f"""
+        SELECT strftime(trade_date, '%Y') AS year, count(*) AS rows, count(DISTINCT security_id) AS securities,
+               {K('min(trade_date)')} AS earliest_date, {K('max(trade_date)')} AS latest_date
+        FROM q_unresolved GROUP BY 1""",
+    "magnitude_summary": """
+        SELECT CASE WHEN abs(factor_ratio - 1.0) <= 0.005 THEN '<=50bp' WHEN abs(factor_ratio - 1.0) <= 0.02 THEN '<=2pct'
+                    WHEN abs(factor_ratio - 1.0) <= 0.10 THEN '<=10pct' ELSE '>10pct' END AS bucket,
+               count(*) AS rows, count(DISTINCT security_id) AS securities,
+               CAST(min(CASE WHEN abs(factor_ratio - 1.0) <= 0.005 THEN 1 WHEN abs(factor_ratio - 1.0) <= 0.02 THEN 2
+                        WHEN abs(factor_ratio - 1.0) <= 0.10 THEN 3 ELSE 4 END) AS BIGINT) AS bucket_order
+        FROM q_unresolved GROUP BY 1""",
+    "top_securities": f"""
+        SELECT security_id, count(*) AS rows, {K('min(trade_date)')} AS earliest_date, {K('max(trade_date)')} AS latest_date,
+               min(factor_ratio) AS min_factor_ratio, max(factor_ratio) AS max_factor_ratio
+        FROM q_unresolved GROUP BY 1 ORDER BY rows DESC, security_id LIMIT 30""",
+    "dividend_proximity": """
+        SELECT dividend_proximity_bucket AS bucket, count(*) AS rows, count(DISTINCT security_id) AS securities,
+               CAST(min(CASE dividend_proximity_bucket WHEN 'same_date_implemented' THEN 1
+                    WHEN 'same_date_nonimplemented_only' THEN 2 WHEN 'implemented_within_5d' THEN 3
+                    WHEN 'implemented_within_30d' THEN 4 WHEN 'no_implemented_within_30d' THEN 5 ELSE 6 END) AS BIGINT) AS bucket_order
+        FROM q_ctx GROUP BY 1""",
+    "triage_summary": """
+        SELECT triage_class, count(*) AS rows, count(DISTINCT security_id) AS securities,
+               CAST(min(CASE triage_class WHEN 'implemented_dividend_outside_factor_window' THEN 1
+                    WHEN 'nonimplemented_dividend_same_date' THEN 2 WHEN 'daily_pre_close_ex_right_without_ledger' THEN 3
+                    WHEN 'low_materiality_provider_factor_noise' THEN 4
+                    WHEN 'provider_factor_jump_without_event_evidence' THEN 5 ELSE 6 END) AS BIGINT) AS triage_order
+        FROM q_ctx GROUP BY 1""",
+    "triage_no_dividend": """
+        SELECT triage_class, count(*) AS rows, count(DISTINCT security_id) AS securities,
+               CAST(min(CASE triage_class WHEN 'implemented_dividend_outside_factor_window' THEN 1
+                    WHEN 'nonimplemented_dividend_same_date' THEN 2 WHEN 'daily_pre_close_ex_right_without_ledger' THEN 3
+                    WHEN 'low_materiality_provider_factor_noise' THEN 4
+                    WHEN 'provider_factor_jump_without_event_evidence' THEN 5 ELSE 6 END) AS BIGINT) AS triage_order
+        FROM (SELECT security_id,
+                     CASE WHEN abs(factor_ratio / NULLIF(previous_close / NULLIF(pre_close, 0.0), 0.0) - 1.0) <= 0.001
+                          THEN 'daily_pre_close_ex_right_without_ledger'
+                          WHEN abs(factor_ratio - 1.0) <= 0.005 THEN 'low_materiality_provider_factor_noise'
+                          ELSE 'raw_dividend_missing' END AS triage_class
+              FROM q_unresolved)
+        GROUP BY 1""",
+    "nearest_dividend_row": f"""
+        SELECT u.security_id, {K('u.trade_date')} AS trade_date,
+               {K('n.nearest_implemented_dividend_ex_date')} AS nearest_implemented_dividend_ex_date,
+               CAST(n.nearest_implemented_dividend_days AS BIGINT) AS nearest_implemented_dividend_days
+        FROM q_unresolved u LEFT JOIN q_nearest_row n ON n.security_id = u.security_id AND n.trade_date = u.trade_date""",
+    "jump_examples": f"""
+        SELECT c.security_id, {K('c.previous_trade_date')} AS previous_trade_date, {K('c.trade_date')} AS trade_date,
+               c.factor_ratio,
+               CASE WHEN abs(c.factor_ratio - 1.0) <= 0.005 THEN '<=50bp' WHEN abs(c.factor_ratio - 1.0) <= 0.02 THEN '<=2pct'
+                    WHEN abs(c.factor_ratio - 1.0) <= 0.10 THEN '<=10pct' ELSE '>10pct' END AS magnitude_bucket,
+               c.dividend_proximity_bucket, {K('n.nearest_implemented_dividend_ex_date')} AS nearest_implemented_dividend_ex_date,
+               CAST(n.nearest_implemented_dividend_days AS BIGINT) AS nearest_implemented_dividend_days,
+               c.has_suspend_window, c.factor_pre_close_basis_diff, c.triage_class,
+               'quarantine_security_window_from_promotion' AS recommended_action
+        FROM q_ctx c JOIN q_top t ON t.security_id = c.security_id AND t.trade_date = c.trade_date
+        LEFT JOIN q_nearest_row n ON n.security_id = c.security_id AND n.trade_date = c.trade_date""",
+    "bad_dates": f"""
+        SELECT DISTINCT {K('trade_date')} AS trade_date, issue_type, issue_severity FROM flags
+        WHERE issue_type = 'INCOMPLETE_TRADING_DATE'""",
+    "bad_symbols": """
+        SELECT DISTINCT code, issue_type, issue_severity FROM flags
+        WHERE issue_type IN ('MISSING_LIMIT', 'UNRESOLVED_ADJ_FACTOR_JUMP', 'MISSING_INDUSTRY_CODE')""",
+    "execution_restricted": f"SELECT * REPLACE ({_D3}) FROM flags WHERE execution_restricted",
+})

@@ -7,17 +7,42 @@ the public form of every dataset.
 
 from __future__ import annotations
 
+import os
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
+from pyspark.sql.types import DateType, IntegerType, LongType, ShortType, TimestampNTZType, TimestampType
 
-from .plans import actions, normalized, tradeability
+from .plans import actions, normalized, quality, tradeability
 from .plans.research import Research
+from .session import checkpoint_dir
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
+_BUILDS: dict[tuple[str, str], Research] = {}
+
+
+def research_for(spark: SparkSession, sf_dir: str) -> Research:
+    """One research build per (Spark application, input folder).
+
+    Reused tables are stored under the session's checkpoint folder
+    (``spark.checkpoint.dir``; a scratch folder only when none is set, as in
+    local runs), so every query of the session scans them instead of
+    re-deriving the chain.  ``PITSPARK_STORE=0`` keeps everything lazy.
+    """
+    key = (spark.sparkContext.applicationId, os.path.realpath(sf_dir))
+    build = _BUILDS.get(key)
+    if build is None:
+        store = None
+        if os.environ.get("PITSPARK_STORE", "1") != "0":
+            base = checkpoint_dir(spark, fallback=tempfile.mkdtemp(prefix="pitspark-"))
+            store = f"{base.rstrip('/')}/research-{uuid.uuid4().hex[:12]}"
+        build = Research.from_driver(spark, sf_dir, store=store)
+        _BUILDS[key] = build
+    return build
 
 
 def render(df: DataFrame) -> DataFrame:
@@ -27,6 +52,8 @@ def render(df: DataFrame) -> DataFrame:
             cols.append(F.date_format(F.col(f.name), "yyyyMMdd").alias(f.name))
         elif isinstance(f.dataType, (TimestampType, TimestampNTZType)):
             cols.append(F.date_format(F.col(f.name), "yyyy-MM-dd HH:mm:ss").alias(f.name))
+        elif isinstance(f.dataType, (IntegerType, ShortType)):
+            cols.append(F.col(f.name).cast(LongType()).alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
@@ -35,7 +62,7 @@ def render(df: DataFrame) -> DataFrame:
 def query(name: str):
     def deco(fn: Callable[[Research], DataFrame]) -> Callable[[Research], DataFrame]:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return render(fn(Research.from_driver(spark, sf_dir)))
+            return render(fn(research_for(spark, sf_dir)))
 
         run.__name__ = name
         run.__doc__ = fn.__doc__
@@ -204,3 +231,132 @@ def _ledger(r: Research) -> DataFrame:
 @query("exception_ledger")
 def _exceptions(r: Research) -> DataFrame:
     return r.corporate_action_exception_ledger
+
+
+# --------------------------------------------------------------- quality
+GATES = quality.GateParams(min_official_ratio=0.5, fail_on_missing_limit=False, fail_on_high_severity=True,
+                           max_unresolved_adj_factor_jump=100, max_missing_limit=1000)
+
+
+@query("missing_limit")
+def _missing_limit(r: Research) -> DataFrame:
+    """P10: bars without complete official limits."""
+    return quality.missing_limit_rows(r.tradeability_state_daily).select("security_id", "trade_date", "up_limit", "down_limit")
+
+
+@query("missing_industry")
+def _missing_industry(r: Research) -> DataFrame:
+    return quality.missing_industry_rows(r.normalized_bars)
+
+
+@query("incomplete_dates")
+def _incomplete(r: Research) -> DataFrame:
+    """W6 + J15: thin trading dates with their neighbours' counts."""
+    return quality.incomplete_dates(r.normalized_bars)
+
+
+@query("date_row_counts")
+def _date_counts(r: Research) -> DataFrame:
+    """Normalized rows per trading date with neighbour counts."""
+    return quality.date_counts(r.normalized_bars)
+
+
+@query("affected_window")
+def _affected(r: Research) -> DataFrame:
+    """60-bars-before / 10-bars-after window of every exception."""
+    return quality.affected_windows(r.corporate_action_exception_ledger, r.daily_bar_pit)
+
+
+@query("usability_flags")
+def _flags(r: Research) -> DataFrame:
+    """Usability flags (without the creation timestamp)."""
+    return r.usability_flags.select(*quality.FLAG_COLUMNS)
+
+
+@query("issue_counts")
+def _issue_counts(r: Research) -> DataFrame:
+    return quality.issue_counts(r.usability_flags)
+
+
+@query("issue_counts_by_type")
+def _issue_by_type(r: Research) -> DataFrame:
+    return quality.issue_counts_by_type(r.usability_flags)
+
+
+@query("quality_scalars")
+def _scalars(r: Research) -> DataFrame:
+    return quality.quality_scalars(r.daily_bar_pit, r.corporate_action_ledger, r.tradeability_state_daily)
+
+
+@query("source_ratios")
+def _ratios(r: Research) -> DataFrame:
+    return quality.source_ratios(r.tradeability_state_daily)
+
+
+@query("quality_gates")
+def _gates(r: Research) -> DataFrame:
+    """C7 with fixed gate parameters (see ``GATES``)."""
+    scalars = quality.quality_scalars(r.daily_bar_pit, r.corporate_action_ledger, r.tradeability_state_daily)
+    return quality.quality_gates(quality.source_ratios(r.tradeability_state_daily), quality.issue_counts(r.usability_flags),
+                                 scalars, GATES)
+
+
+@query("jump_totals")
+def _jump_totals(r: Research) -> DataFrame:
+    return quality.jump_totals(r.classified_jumps)
+
+
+@query("jump_years")
+def _jump_years(r: Research) -> DataFrame:
+    return quality.jump_years(r.unresolved_jumps)
+
+
+@query("magnitude_summary")
+def _magnitude(r: Research) -> DataFrame:
+    return quality.magnitude_summary(r.unresolved_jumps)
+
+
+@query("top_securities")
+def _top(r: Research) -> DataFrame:
+    return quality.top_securities(r.unresolved_jumps)
+
+
+@query("dividend_proximity")
+def _proximity(r: Research) -> DataFrame:
+    return quality.dividend_proximity(r.unresolved_context)
+
+
+@query("triage_summary")
+def _triage(r: Research) -> DataFrame:
+    return quality.triage_summary(r.unresolved_context)
+
+
+@query("triage_no_dividend")
+def _triage_nodiv(r: Research) -> DataFrame:
+    return quality.triage_without_dividends(r.unresolved_jumps)
+
+
+@query("nearest_dividend_row")
+def _nearest_row(r: Research) -> DataFrame:
+    """Nearest implemented dividend (date and days) per unresolved jump."""
+    return quality.nearest_implemented_row(r.unresolved_jumps.select("security_id", "trade_date"), r.raw_dividend)
+
+
+@query("jump_examples")
+def _examples(r: Research) -> DataFrame:
+    return quality.jump_examples(r.unresolved_jumps, r.raw_dividend, r.raw_suspend_d)
+
+
+@query("bad_dates")
+def _bad_dates(r: Research) -> DataFrame:
+    return quality.bad_dates(r.usability_flags)
+
+
+@query("bad_symbols")
+def _bad_symbols(r: Research) -> DataFrame:
+    return quality.bad_symbols(r.usability_flags)
+
+
+@query("execution_restricted")
+def _restricted(r: Research) -> DataFrame:
+    return quality.execution_restricted(r.usability_flags).select(*quality.FLAG_COLUMNS)

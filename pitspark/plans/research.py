@@ -10,6 +10,7 @@ lost executor recomputes from files, not from the raw layer.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,14 +21,32 @@ from . import actions, bars, normalized, tradeability
 
 
 class Research:
-    def __init__(self, spark: SparkSession, raw: RawSources):
+    """Lazy research build over two provider databases.
+
+    With ``store`` set (a folder on shared storage), every table that later
+    steps reuse is written there once as Parquet on first use and read back:
+    the lineage is cut at that table, a lost executor recomputes from files,
+    and later queries in the session scan the stored table instead of
+    re-planning the whole chain.
+    """
+
+    def __init__(self, spark: SparkSession, raw: RawSources, store: str | None = None):
         self.spark = spark
+        self.store = store.rstrip("/") if store else None
+        if self.store:
+            raw = RawSources(_LazyStore(self, "source", raw.source), _LazyStore(self, "supplemental", raw.supplemental))
         self.raw = raw
         self.sources = {"source": raw.source, "supplemental": raw.supplemental}
 
     @classmethod
-    def from_driver(cls, spark: SparkSession, sf_dir: str) -> "Research":
-        return cls(spark, raw_sources(spark, sf_dir))
+    def from_driver(cls, spark: SparkSession, sf_dir: str, store: str | None = None) -> "Research":
+        return cls(spark, raw_sources(spark, sf_dir), store)
+
+    def _keep(self, name: str, df: DataFrame | None) -> DataFrame | None:
+        """Store ``df`` under ``name`` (lazily: written on first access)."""
+        if df is None or not self.store:
+            return df
+        return _Stored(self.spark, f"{self.store}/{name}", df).frame()
 
     def src(self, name: str) -> DataFrame:
         return self.raw.source[name]
@@ -35,7 +54,7 @@ class Research:
     # dimensions
     @cached_property
     def security_master(self) -> DataFrame:
-        return bars.security_master(self.src("stock_basic_ref"))
+        return self._keep("research/security_master", bars.security_master(self.src("stock_basic_ref")))
 
     @cached_property
     def industry_static(self) -> DataFrame:
@@ -43,11 +62,11 @@ class Research:
 
     @cached_property
     def name_change_history(self) -> DataFrame:
-        return bars.name_change_history(self.src("raw_namechange"), self.security_master)
+        return self._keep("research/name_change_history", bars.name_change_history(self.src("raw_namechange"), self.security_master))
 
     @cached_property
     def trade_calendar(self) -> DataFrame:
-        return bars.trade_calendar(self.src("raw_daily_basic"), self.security_master)
+        return self._keep("research/trade_calendar", bars.trade_calendar(self.src("raw_daily_basic"), self.security_master))
 
     @cached_property
     def st_daily(self) -> DataFrame:
@@ -56,10 +75,10 @@ class Research:
     # bars and fundamentals
     @cached_property
     def daily_bar_pit(self) -> DataFrame:
-        return bars.daily_bar_pit(
+        return self._keep("research/daily_bar_pit", bars.daily_bar_pit(
             self.src("raw_daily_basic"), self.src("raw_kline_unadj"), self.src("raw_kline_qfq"),
             self.src("raw_adj_factor"), self.security_master, self.name_change_history,
-        )
+        ))
 
     @cached_property
     def fundamental_snapshot_pit(self) -> DataFrame:
@@ -102,25 +121,25 @@ class Research:
     def raw_stk_limit(self) -> DataFrame:
         """Limits from every source, latest ingest wins."""
         first, copies = conform_event_table(self.spark, self.sources, "raw_stk_limit")
-        return tradeability.merge_limit_sources(copies) if copies else first
+        return self._keep("research/raw_stk_limit", tradeability.merge_limit_sources(copies) if copies else first)
 
     # ledgers and states
     @cached_property
     def corporate_action_ledger(self) -> DataFrame:
-        return actions.corporate_action_ledger(self.daily_bar_pit, self.raw_dividend)
+        return self._keep("research/corporate_action_ledger", actions.corporate_action_ledger(self.daily_bar_pit, self.raw_dividend))
 
     @cached_property
     def corporate_action_exception_ledger(self) -> DataFrame:
-        return actions.exception_ledger(self.daily_bar_pit, self.corporate_action_ledger, self.raw_dividend, self.raw_suspend_d)
+        return self._keep("research/corporate_action_exception_ledger", actions.exception_ledger(self.daily_bar_pit, self.corporate_action_ledger, self.raw_dividend, self.raw_suspend_d))
 
     @cached_property
     def tradeability_state_daily(self) -> DataFrame:
-        return tradeability.tradeability_state(self.daily_bar_pit, self.raw_suspend_d, self.raw_stk_limit)
+        return self._keep("research/tradeability_state_daily", tradeability.tradeability_state(self.daily_bar_pit, self.raw_suspend_d, self.raw_stk_limit))
 
     @cached_property
     def normalized_bars(self) -> DataFrame:
         """C5 with DateType trade_date (see ``normalized.contract`` for the public form)."""
-        return normalized.normalized_bars(self.daily_bar_pit, self.tradeability_state_daily, self.industry_classification_pit)
+        return self._keep("research/normalized_bars", normalized.normalized_bars(self.daily_bar_pit, self.tradeability_state_daily, self.industry_classification_pit))
 
     @cached_property
     def stock_bar_normalized_daily(self) -> DataFrame:
@@ -134,3 +153,58 @@ class Research:
             path = f"{root.rstrip('/')}/{name}"
             getattr(self, name).write.mode("overwrite").parquet(path)
             self.__dict__[name] = self.spark.read.parquet(path)
+
+    # quality
+    @cached_property
+    def usability_flags(self) -> DataFrame:
+        from . import quality
+
+        return self._keep("research/usability_flags", quality.usability_flags(self.daily_bar_pit, self.tradeability_state_daily, self.normalized_bars,
+                                       self.corporate_action_exception_ledger))
+
+    @cached_property
+    def classified_jumps(self) -> DataFrame:
+        from . import quality
+
+        return self._keep("research/classified_jumps", quality.classified_jumps(self.daily_bar_pit, self.corporate_action_ledger))
+
+    @cached_property
+    def unresolved_jumps(self) -> DataFrame:
+        from . import quality
+
+        return quality.unresolved(self.classified_jumps)
+
+    @cached_property
+    def unresolved_context(self) -> DataFrame:
+        from . import quality
+
+        return quality.dividend_context(self.unresolved_jumps, self.raw_dividend, self.raw_suspend_d)
+
+
+class _LazyStore(Mapping):
+    """Provider tables stored on first access (only the tables a query uses)."""
+
+    def __init__(self, owner: "Research", prefix: str, tables: dict[str, DataFrame]):
+        self.owner, self.prefix, self.tables, self.done = owner, prefix, tables, {}
+
+    def __getitem__(self, key: str) -> DataFrame:
+        if key not in self.done:
+            self.done[key] = self.owner._keep(f"{self.prefix}/{key}", self.tables[key])
+        return self.done[key]
+
+    def __iter__(self):
+        return iter(self.tables)
+
+    def __len__(self) -> int:
+        return len(self.tables)
+
+
+class _Stored:
+    """A DataFrame written to Parquet the first time it is read."""
+
+    def __init__(self, spark: SparkSession, path: str, df: DataFrame):
+        self.spark, self.path, self.df = spark, path, df
+
+    def frame(self) -> DataFrame:
+        self.df.write.mode("overwrite").parquet(self.path)
+        return self.spark.read.parquet(self.path)
