@@ -19,23 +19,32 @@ _BODY = dict(ALL_CTES)
 _WORD = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
 
 
+_LITERAL = re.compile(r"'(?:[^']|'')*'")
+
+
 def _refs(sql: str) -> set[str]:
-    return {w for w in _WORD.findall(sql) if w in _BODY}
+    """CTE names used in ``sql`` (words inside string literals do not count)."""
+    return {w for w in _WORD.findall(_LITERAL.sub("''", sql)) if w in _BODY}
 
 
 def compose(final_sql: str) -> str:
-    needed: set[str] = set()
-    stack = list(_refs(final_sql))
-    while stack:
-        name = stack.pop()
-        if name in needed:
-            continue
-        needed.add(name)
-        stack.extend(_refs(_BODY[name]) - needed)
-    parts = [f"{name} AS ({_BODY[name]}\n)" for name in _NAMES if name in needed]
-    if not parts:
+    """WITH chain of the CTEs ``final_sql`` needs, dependencies first."""
+    order: list[str] = []
+    seen: set[str] = set()
+
+    def visit(name: str) -> None:
+        if name in seen:
+            return
+        seen.add(name)
+        for dep in sorted(_refs(_BODY[name]) - {name}, key=_NAMES.index):
+            visit(dep)
+        order.append(name)
+
+    for name in sorted(_refs(final_sql), key=_NAMES.index):
+        visit(name)
+    if not order:
         return final_sql
-    return "WITH " + ",\n".join(parts) + "\n" + final_sql
+    return "WITH " + ",\n".join(f"{n} AS ({_BODY[n]}\n)" for n in order) + "\n" + final_sql
 
 
 def oracle_sql() -> dict[str, str]:

@@ -228,3 +228,49 @@ CTES: list[tuple[str, str]] = [
                CAST(amount_u AS VARCHAR) AS amount, CAST(pct_chg_u AS VARCHAR) AS "pctChg"
         FROM g_bars WHERE (k + dno) % 11 <> 0 AND k % 2 = 1"""),
 ]
+
+CTES += [
+    ("provider_suspend_d", """
+        SELECT CASE WHEN dno % 7 = 0 THEN ' ' || ts_code || ' ' ELSE ts_code END AS ts_code,
+               CASE WHEN dno % 2 = 0 THEN '' ELSE trade_date END AS trade_date,
+               trade_date AS suspend_date,
+               CASE WHEN dno % 11 = 0 THEN 'nan' WHEN r = 1 THEN '09:30-10:30' WHEN r = 2 THEN NULL
+                    WHEN dno % 3 = 1 THEN '全天停牌' ELSE '' END AS suspend_timing,
+               CASE WHEN dno % 5 = 0 THEN NULL WHEN r = 2 THEN 'R' ELSE 'S' END AS suspend_type,
+               CASE WHEN r = 2 THEN 'R' ELSE 'S' END AS reason_type
+        FROM (SELECT *, (k * 7 + dno) % 101 AS r FROM g_bars) WHERE r <= 2"""),
+    ("g_member_base", """
+        SELECT s_suppkey AS k, s_name, s_nationkey AS nk, n_regionkey AS rk
+        FROM supplier JOIN nation ON s_nationkey = n_nationkey"""),
+    ("g_member_rows", """
+        SELECT k, s_name, '851' || lpad(CAST(rk AS VARCHAR), 3, '0') || '.SI' AS l1,
+               '852' || lpad(CAST(nk AS VARCHAR), 3, '0') || '.SI' AS l2,
+               CASE WHEN k % 7 = 3 THEN '' ELSE '19950101' END AS in_date,
+               CASE WHEN k % 4 = 0 THEN '19990101' ELSE NULL END AS out_date
+        FROM g_member_base
+        UNION ALL
+        SELECT k, s_name, '851' || lpad(CAST((rk + 1) % 5 AS VARCHAR), 3, '0') || '.SI',
+               '852' || lpad(CAST(nk AS VARCHAR), 3, '0') || '.SI', '19990101', NULL
+        FROM g_member_base WHERE k % 4 = 0
+        UNION ALL
+        SELECT k, s_name, '851' || lpad(CAST((rk + 1) % 5 AS VARCHAR), 3, '0') || '.SI',
+               '852' || lpad(CAST(nk + 30 AS VARCHAR), 3, '0') || '.SI', '19990101', NULL
+        FROM g_member_base WHERE k % 8 = 0
+        UNION ALL
+        SELECT k, s_name, '851' || lpad(CAST(rk AS VARCHAR), 3, '0') || '.SI',
+               '852' || lpad(CAST(nk AS VARCHAR), 3, '0') || '.SI',
+               CASE WHEN k % 7 = 3 THEN '' ELSE '19950101' END, CASE WHEN k % 4 = 0 THEN '19990101' ELSE NULL END
+        FROM g_member_base WHERE k % 6 = 0"""),
+    ("raw_index_member_all", f"""
+        SELECT m.l1 AS l1_code, 'L1-' || m.l1 AS l1_name, m.l2 AS l2_code, 'L2-' || m.l2 AS l2_name,
+               CASE WHEN m.k % 5 = 0 THEN '' ELSE '853' || lpad(CAST(b.nk * 10 + m.k % 3 AS VARCHAR), 3, '0') || '.SI' END AS l3_code,
+               'L3-' || CASE WHEN m.k % 5 = 0 THEN '' ELSE '853' || lpad(CAST(b.nk * 10 + m.k % 3 AS VARCHAR), 3, '0') || '.SI' END AS l3_name,
+               (SELECT {TS_CODE} FROM (SELECT m.k AS k)) AS ts_code, m.s_name AS name, m.in_date, m.out_date, 'Y' AS is_new
+        FROM g_member_rows m JOIN g_member_base b ON b.k = m.k"""),
+    ("raw_trade_cal", """
+        SELECT 'SSE' AS exchange, strftime(d, '%Y%m%d') AS cal_date,
+               CASE WHEN dayofweek(d) IN (0, 6) THEN 0 ELSE 1 END AS is_open,
+               strftime(lag(d) OVER (ORDER BY d), '%Y%m%d') AS pretrade_date,
+               TIMESTAMP '2024-01-02 00:00:00' AS ingested_at, 'trade_cal' AS source_table
+        FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders)"""),
+]

@@ -198,3 +198,111 @@ QUERIES.update({
         WHERE issue_type IN ('MISSING_LIMIT', 'UNRESOLVED_ADJ_FACTOR_JUMP', 'MISSING_INDUSTRY_CODE')""",
     "execution_restricted": f"SELECT * REPLACE ({_D3}) FROM flags WHERE execution_restricted",
 })
+
+from .pipeline_sql import CLEAN, PD  # noqa: E402
+
+_KL = "ts_code, trade_date, open, high, low, close, pre_close, change, pct_chg, vol, amount, source_table"
+
+QUERIES.update({
+    "upsert_replace": f"""
+        SELECT {_KL} FROM raw_kline_unadj t
+        WHERE NOT EXISTS (SELECT 1 FROM feed_a_norm b WHERE b.ts_code = t.ts_code AND b.trade_date = t.trade_date)
+        UNION ALL SELECT {_KL} FROM feed_a_norm""",
+    "append_dedup": """
+        SELECT DISTINCT * FROM (
+            SELECT ts_code, trade_date, up_limit, down_limit FROM raw_stk_limit
+            UNION ALL SELECT ts_code, trade_date, up_limit, down_limit FROM sup_raw_stk_limit)""",
+    "high_water_mark": """
+        SELECT 'stock_basic' AS dataset_id, 'static' AS axis, NULL::VARCHAR AS last_date
+        UNION ALL SELECT 'trade_cal', 'trade_date', max(cal_date) FROM raw_trade_cal
+        UNION ALL SELECT 'namechange', 'static', NULL
+        UNION ALL SELECT 'daily', 'trade_date', max(trade_date) FROM raw_kline_unadj
+        UNION ALL SELECT 'daily_basic', 'trade_date', max(trade_date) FROM raw_daily_basic
+        UNION ALL SELECT 'adj_factor', 'trade_date', max(trade_date) FROM raw_adj_factor
+        UNION ALL SELECT 'daily_qfq', 'trade_date', max(trade_date) FROM raw_kline_qfq
+        UNION ALL SELECT 'suspend_d', 'trade_date', max(trade_date) FROM raw_suspend_d
+        UNION ALL SELECT 'stk_limit', 'trade_date', max(trade_date) FROM raw_stk_limit
+        UNION ALL SELECT 'fina_indicator', 'period_end', max(end_date) FROM pit_fina_indicator""",
+    "incremental_filter": f"""
+        SELECT ts_code, trade_date FROM raw_daily_basic
+        WHERE {PD('trade_date')} >= (SELECT greatest(max({PD('trade_date')}) + 1, DATE '1999-06-01')
+                                     FROM raw_daily_basic WHERE trade_date < '20000101')""",
+    "feed_a_normalize": "SELECT * FROM feed_a_norm",
+    "feed_b_normalize": "SELECT * FROM feed_b_norm",
+    "conform_fill": """
+        SELECT ts_code, trade_date, NULL::DOUBLE AS open, NULL::DOUBLE AS high, NULL::DOUBLE AS low, close,
+               NULL::DOUBLE AS pre_close, NULL::DOUBLE AS change, NULL::DOUBLE AS pct_chg, NULL::DOUBLE AS vol,
+               NULL::DOUBLE AS amount, 'provider.thin' AS source_table
+        FROM raw_kline_qfq""",
+    "event_normalize": f"""
+        SELECT {CLEAN('ts_code')} AS ts_code,
+               NULLIF({CLEAN("CASE WHEN trade_date IS NOT NULL AND trade_date <> '' THEN trade_date ELSE suspend_date END")}, '') AS trade_date,
+               {CLEAN('suspend_timing')} AS suspend_timing,
+               {CLEAN("CASE WHEN suspend_type IS NOT NULL AND suspend_type <> '' THEN suspend_type ELSE reason_type END")} AS suspend_type,
+               'provider.suspend_d' AS source_table
+        FROM provider_suspend_d""",
+    "index_ingest": """
+        SELECT DISTINCT ts_code, trade_date, close, open, high, low, pre_close, change, pct_chg, vol, amount
+        FROM raw_index_daily WHERE ts_code <> '' AND trade_date IS NOT NULL AND close IS NOT NULL""",
+    "index_basic_latest": "SELECT ts_code, upper(name) AS name, market, publisher, category, base_date, base_point, list_date FROM index_basic_ref",
+    "weight_ingest": f"""
+        SELECT DISTINCT benchmark_id, {CLEAN('security_id')} AS security_id, NULLIF({CLEAN('trade_date')}, '') AS trade_date,
+               CAST(weight AS DOUBLE) AS weight
+        FROM benchmark_weight_snapshot_pit
+        WHERE NULLIF({CLEAN('trade_date')}, '') IS NOT NULL AND {CLEAN('security_id')} <> '' AND weight IS NOT NULL""",
+    "membership_intervals": f"""
+        SELECT benchmark_id, security_id, {K('effective_at')} AS effective_at, {K('removed_at')} AS removed_at FROM membership""",
+    "close_intervals": f"""
+        SELECT security_id, industry_schema, industry_code, {K('effective_at')} AS effective_at,
+               {K("least(removed_at, lead(effective_at) OVER (PARTITION BY security_id, industry_schema ORDER BY effective_at, industry_code))")} AS removed_at
+        FROM industry_pit""",
+    "industry_unpivot": f"""
+        SELECT security_id, industry_schema, industry_code, {K('effective_at')} AS effective_at,
+               {K("least(removed_at, lead(effective_at) OVER (PARTITION BY security_id, industry_schema ORDER BY effective_at, industry_code))")} AS removed_at
+        FROM member_long""",
+    "staging_registry": f"""
+        SELECT * FROM (
+            SELECT 'industry_classification_pit' AS dataset_id, 'pit_reference_staging' AS boundary_role, 'green' AS status,
+                   count(*) AS row_count, {K('min(effective_at)')} AS earliest_date,
+                   {K('max(COALESCE(removed_at, effective_at))')} AS latest_date FROM industry_pit
+            UNION ALL SELECT 'benchmark_membership_pit', 'pit_reference_staging', 'green', count(*), {K('min(effective_at)')},
+                   {K('max(COALESCE(removed_at, effective_at))')} FROM membership
+            UNION ALL SELECT 'benchmark_weight_snapshot_pit', 'pit_reference_staging', 'green', count(*), {K('min(trade_date)')},
+                   {K('max(trade_date)')} FROM weights_pit
+            UNION ALL SELECT 'index_basic_ref', 'pit_reference_staging', 'green', count(*), {K(f"min({PD('list_date')})")},
+                   {K(f"max({PD('list_date')})")} FROM index_basic_ref
+            UNION ALL SELECT 'raw_index_daily', 'pit_reference_staging', 'green', count(*), {K('min(trade_date)')},
+                   {K('max(trade_date)')} FROM index_daily_pit
+            UNION ALL SELECT 'raw_dividend', 'pit_reference_staging', 'green', count(*), {K('min(COALESCE(ex_date, ann_date))')},
+                   {K('max(COALESCE(ex_date, ann_date))')} FROM dividend
+            UNION ALL SELECT 'raw_stk_limit', 'pit_reference_staging', 'green', count(*), {K('min(trade_date)')},
+                   {K('max(trade_date)')} FROM limits_merged
+            UNION ALL SELECT 'raw_suspend_d', 'pit_reference_staging', 'green', count(*), {K('min(trade_date)')},
+                   {K('max(trade_date)')} FROM suspend)
+        WHERE row_count > 0""",
+    "raw_audit": "SELECT * FROM audit_checks",
+    "rows_per_year": "SELECT * FROM rows_per_year",
+    "calendar_coverage": "SELECT * FROM calendar_check",
+    "dataset_registry": f"""
+        SELECT 'daily_bar_pit' AS dataset_id, 'green' AS status, count(*) AS row_count, {K('min(trade_date)')} AS earliest_date,
+               {K('max(trade_date)')} AS latest_date FROM daily_bar_pit
+        UNION ALL SELECT 'fundamental_snapshot_pit', 'amber', count(*), {K('min(announcement_date)')}, {K('max(announcement_date)')}
+            FROM fundamental_snapshot_pit
+        UNION ALL SELECT 'industry_classification_static', 'amber', count(*), NULL, NULL
+            FROM stock_basic_ref WHERE split_part(ts_code, '.', 2) IN ('SZ', 'SH', 'BJ')
+        UNION ALL SELECT 'market_trade_calendar', 'green', count(*), {K('min(trade_date)')}, {K('max(trade_date)')} FROM market_trade_calendar
+        UNION ALL SELECT 'name_change_history', 'green', count(*), {K('min(COALESCE(start_date, announcement_date))')},
+            {K('max(COALESCE(end_date, announcement_date))')} FROM name_change_history
+        UNION ALL SELECT 'security_master_ref', 'green', count(*), {K('min(list_date)')}, {K('max(COALESCE(delist_date, list_date))')}
+            FROM security_master_ref
+        UNION ALL SELECT 'corporate_action_ledger', 'green', count(*), {K('min(book_date)')}, {K('max(book_date)')} FROM ledger
+        UNION ALL SELECT 'corporate_action_exception_ledger', CASE WHEN count(*) = 0 THEN 'green' ELSE 'amber' END, count(*),
+            {K('min(trade_date)')}, {K('max(trade_date)')} FROM exception_ledger
+        UNION ALL SELECT 'tradeability_state_daily', 'green', count(*), {K('min(trade_date)')}, {K('max(trade_date)')}
+            FROM tradeability_state_daily
+        UNION ALL SELECT 'benchmark_weight_snapshot_pit', 'green', count(*), {K('min(trade_date)')}, {K('max(trade_date)')} FROM weights_pit
+        UNION ALL SELECT 'industry_classification_pit', 'green', count(*), {K('min(effective_at)')},
+            {K('max(COALESCE(removed_at, effective_at))')} FROM industry_pit
+        UNION ALL SELECT 'index_basic_ref', 'green', count(*), {K(f"min({PD('list_date')})")}, {K(f"max({PD('list_date')})")} FROM index_basic_ref
+        UNION ALL SELECT 'index_daily_bar_pit', 'green', count(*), {K('min(trade_date)')}, {K('max(trade_date)')} FROM index_daily_pit""",
+})

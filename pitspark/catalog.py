@@ -360,3 +360,215 @@ def _bad_symbols(r: Research) -> DataFrame:
 @query("execution_restricted")
 def _restricted(r: Research) -> DataFrame:
     return quality.execution_restricted(r.usability_flags).select(*quality.FLAG_COLUMNS)
+
+
+# ------------------------------------------------------- keyed writes
+from .operators import keyed as _keyed  # noqa: E402
+from .plans import audit as _audit, reference as _reference  # noqa: E402
+from .sources import feeds as _feeds  # noqa: E402
+
+KLINE = ["ts_code", "trade_date", "open", "high", "low", "close", "pre_close", "change", "pct_chg", "vol", "amount", "source_table"]
+
+
+@query("upsert_replace")
+def _upsert(r: Research) -> DataFrame:
+    """Feed A's bars replace the unadjusted bars with the same key."""
+    target = r.src("raw_kline_unadj").select(*KLINE)
+    batch = _feeds.normalize_feed_a(r.raw.feeds["feed_a"])
+    return _keyed.upsert_replace(target, batch, ["ts_code", "trade_date"])
+
+
+@query("append_dedup")
+def _append(r: Research) -> DataFrame:
+    """D3: limit rows of both sources appended, exact duplicates dropped."""
+    cols = ["ts_code", "trade_date", "up_limit", "down_limit"]
+    return _keyed.append_dedup(r.src("raw_stk_limit").select(*cols), r.raw.supplemental["raw_stk_limit"].select(*cols))
+
+
+HWM_DATASETS = ["stock_basic", "trade_cal", "namechange", "daily", "daily_basic", "adj_factor", "daily_qfq", "suspend_d",
+                "stk_limit", "fina_indicator"]
+
+
+@query("high_water_mark")
+def _hwm(r: Research) -> DataFrame:
+    """Last value of every source dataset's incremental axis."""
+    from .sources.schemas import DATASETS
+
+    out = None
+    for ds in HWM_DATASETS:
+        spec = DATASETS[ds]
+        df = r.src(spec.table)
+        mark = _keyed.high_water_mark(df, spec.axis_column).select(
+            F.lit(ds).alias("dataset_id"), F.lit(spec.axis).alias("axis"), F.col("last_date").cast("string").alias("last_date"))
+        out = mark if out is None else out.unionByName(mark)
+    return out
+
+
+PREVIOUS_SYNC_END = "20000101"
+REQUESTED_SINCE = "19990601"
+
+
+@query("incremental_filter")
+def _incremental(r: Research) -> DataFrame:
+    """Rows a sync would pull after a previous sync that ended before
+    2000-01-01, never before the requested 1999-06-01."""
+    df = r.src("raw_daily_basic").select("ts_code", "trade_date")
+    from .functions.dates import parse_date_key
+
+    d = df.withColumn("_d", parse_date_key("trade_date"))
+    last = d.where(F.col("trade_date") < PREVIOUS_SYNC_END).agg(F.max("_d").alias("_last")).select(
+        F.greatest(F.date_add("_last", 1), F.to_date(F.lit(REQUESTED_SINCE), "yyyyMMdd")).alias("_since"), F.lit(1).alias("_one"))
+    # one-row mark: broadcast is bounded by construction
+    return d.withColumn("_one", F.lit(1)).join(F.broadcast(last), "_one").where(F.col("_d") >= F.col("_since")).select("ts_code", "trade_date")
+
+
+@query("feed_a_normalize")
+def _feed_a(r: Research) -> DataFrame:
+    return _feeds.normalize_feed_a(r.raw.feeds["feed_a"])
+
+
+@query("feed_b_normalize")
+def _feed_b(r: Research) -> DataFrame:
+    return _feeds.normalize_feed_b(r.raw.feeds["feed_b"])
+
+
+@query("conform_fill")
+def _conform_fill(r: Research) -> DataFrame:
+    """A thin close-only frame conformed to the full daily layout."""
+    thin = r.src("raw_kline_qfq").select("ts_code", "trade_date", "close")
+    return _feeds.conform_to_dataset(thin, "daily", source_table="provider.thin").drop("ingested_at")
+
+
+@query("event_normalize")
+def _event_normalize(r: Research) -> DataFrame:
+    return _feeds.normalize_suspend_events(r.raw.feeds["provider_suspend_d"])
+
+
+@query("index_ingest")
+def _index_ingest(r: Research) -> DataFrame:
+    """Index bars delivered twice, ingested once."""
+    d = r.raw.supplemental["raw_index_daily"]
+    return _feeds.ingest_index_daily(d.unionByName(d))
+
+
+@query("index_basic_latest")
+def _index_basic_latest(r: Research) -> DataFrame:
+    """A second delivery of index metadata overrides the first."""
+    b = r.raw.supplemental["index_basic_ref"]
+    first = b.withColumn("_order", F.lit(1))
+    second = b.withColumn("name", F.upper("name")).withColumn("_order", F.lit(2))
+    return _feeds.latest_per_key(first.unionByName(second), "ts_code", "_order")
+
+
+@query("weight_ingest")
+def _weights(r: Research) -> DataFrame:
+    return _feeds.ingest_benchmark_weights(r.raw.supplemental["benchmark_weight_snapshot_pit"])
+
+
+@query("membership_intervals")
+def _membership(r: Research) -> DataFrame:
+    """Benchmark membership intervals from monthly weight snapshots."""
+    return _reference.membership_intervals(r.benchmark_weight_snapshot_pit)
+
+
+@query("close_intervals")
+def _close(r: Research) -> DataFrame:
+    """W8 on the PIT industry rows."""
+    rows = r.industry_classification_pit.select(*_reference.INTERVAL_COLUMNS)
+    return _reference.close_industry_intervals(rows)
+
+
+@query("industry_unpivot")
+def _unpivot(r: Research) -> DataFrame:
+    """Level codes of the membership feed as closed PIT intervals."""
+    return _reference.industry_rows_from_members(r.src("raw_index_member_all"))
+
+
+@query("staging_registry")
+def _staging(r: Research) -> DataFrame:
+    """A5: staged reference tables with row counts and date spans."""
+    return _reference.staging_registry({
+        "industry_classification_pit": r.industry_classification_pit,
+        "benchmark_membership_pit": _reference.membership_intervals(r.benchmark_weight_snapshot_pit),
+        "benchmark_weight_snapshot_pit": r.benchmark_weight_snapshot_pit,
+        "index_basic_ref": r.index_basic_ref,
+        "raw_index_daily": r.raw_index_daily,
+        "raw_dividend": r.raw_dividend,
+        "raw_stk_limit": r.raw_stk_limit,
+        "raw_suspend_d": r.raw_suspend_d,
+    })
+
+
+# ----------------------------------------------------------------- audits
+def _audit_tables(r: Research) -> dict[str, DataFrame]:
+    return {k: r.src(k) for k in r.raw.source}
+
+
+@query("raw_audit")
+def _raw_audit(r: Research) -> DataFrame:
+    """The seven raw-data checks over whole tables."""
+    return _audit.run_audit(_audit_tables(r))
+
+
+@query("rows_per_year")
+def _rows_per_year(r: Research) -> DataFrame:
+    return _audit.rows_per_year(_audit_tables(r))
+
+
+@query("calendar_coverage")
+def _calendar_coverage(r: Research) -> DataFrame:
+    return _audit.check_calendar_coverage(_audit_tables(r))
+
+
+@query("table_inventory")
+def _inventory(r: Research) -> DataFrame:
+    """Row and column counts of the research tables."""
+    return _audit.table_inventory(_research_tables(r))
+
+
+def _research_tables(r: Research) -> dict[str, DataFrame]:
+    return {
+        "security_master_ref": r.security_master, "industry_classification_static": r.industry_static,
+        "name_change_history": r.name_change_history, "market_trade_calendar": r.trade_calendar,
+        "daily_bar_pit": r.daily_bar_pit, "fundamental_snapshot_pit": r.fundamental_snapshot_pit,
+        "corporate_action_ledger": r.corporate_action_ledger,
+        "corporate_action_exception_ledger": r.corporate_action_exception_ledger,
+        "tradeability_state_daily": r.tradeability_state_daily, "stock_bar_normalized_daily": r.stock_bar_normalized_daily,
+        "industry_classification_pit": r.industry_classification_pit, "raw_dividend": r.raw_dividend,
+        "raw_stk_limit": r.raw_stk_limit, "raw_suspend_d": r.raw_suspend_d,
+    }
+
+
+@query("contract_check")
+def _contract(r: Research) -> DataFrame:
+    """Contract checks; each verdict row carries the checked row count."""
+    verdicts = _audit.contract_check(_research_tables(r))
+    counted = r.stock_bar_normalized_daily.agg(F.count(F.lit(1)).alias("rows_checked"))
+    out = None
+    for check, status, detail in verdicts:
+        part = counted.select(F.lit(check).alias("check"), F.lit(status).alias("status"), F.lit(detail).alias("detail"), "rows_checked")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("dataset_registry")
+def _registry(r: Research) -> DataFrame:
+    """A4: built datasets with status, row count and date span."""
+    c = F.col
+    return _audit.dataset_registry([
+        ("daily_bar_pit", "green", r.daily_bar_pit, c("trade_date"), c("trade_date")),
+        ("fundamental_snapshot_pit", "amber", r.fundamental_snapshot_pit, c("announcement_date"), c("announcement_date")),
+        ("industry_classification_static", "amber", r.industry_static, None, None),
+        ("market_trade_calendar", "green", r.trade_calendar, c("trade_date"), c("trade_date")),
+        ("name_change_history", "green", r.name_change_history, F.coalesce("start_date", "announcement_date"),
+         F.coalesce("end_date", "announcement_date")),
+        ("security_master_ref", "green", r.security_master, c("list_date"), F.coalesce("delist_date", "list_date")),
+        ("corporate_action_ledger", "green", r.corporate_action_ledger, c("book_date"), c("book_date")),
+        ("corporate_action_exception_ledger", "amber-if-rows", r.corporate_action_exception_ledger, c("trade_date"), c("trade_date")),
+        ("tradeability_state_daily", "green", r.tradeability_state_daily, c("trade_date"), c("trade_date")),
+        ("benchmark_weight_snapshot_pit", "green", r.benchmark_weight_snapshot_pit, c("trade_date"), c("trade_date")),
+        ("industry_classification_pit", "green", r.industry_classification_pit, c("effective_at"),
+         F.coalesce("removed_at", "effective_at")),
+        ("index_basic_ref", "green", r.index_basic_ref, c("list_date"), c("list_date")),
+        ("index_daily_bar_pit", "green", r.index_daily_bar_pit, c("trade_date"), c("trade_date")),
+    ])

@@ -34,7 +34,8 @@ class Research:
         self.spark = spark
         self.store = store.rstrip("/") if store else None
         if self.store:
-            raw = RawSources(_LazyStore(self, "source", raw.source), _LazyStore(self, "supplemental", raw.supplemental))
+            raw = RawSources(_LazyStore(self, "source", raw.source), _LazyStore(self, "supplemental", raw.supplemental),
+                             _LazyStore(self, "feeds", raw.feeds or {}))
         self.raw = raw
         self.sources = {"source": raw.source, "supplemental": raw.supplemental}
 

@@ -492,6 +492,79 @@ class DriverTables:
             txt("amount_u").alias("amount"), txt("pct_chg_u").alias("pctChg"),
         )
 
+    # ------------------------------------------------ provider-shaped extras
+    def provider_suspend_d(self) -> DataFrame:
+        """Suspension rows as a provider delivers them: the day sometimes only in
+        ``suspend_date`` (trade_date blank on even dno), the type sometimes only
+        in ``reason_type`` (dno % 5 = 0), padded codes (dno % 7 = 0) and a
+        'nan' timing word (dno % 11 = 0)."""
+        b = self.bars
+        r = (_k() * 7 + _dno()) % 101
+        typ = F.when(r == 2, F.lit("R")).otherwise(F.lit("S"))
+        timing = (
+            F.when(_dno() % 11 == 0, F.lit("nan"))
+            .when(r == 1, F.lit("09:30-10:30"))
+            .when(r == 2, F.lit(None).cast(StringType()))
+            .when(_dno() % 3 == 1, F.lit(FULL_DAY_TIMING))
+            .otherwise(F.lit(""))
+        )
+        return b.where(r <= 2).select(
+            F.when(_dno() % 7 == 0, F.concat(F.lit(" "), F.col("ts_code"), F.lit(" "))).otherwise(F.col("ts_code")).alias("ts_code"),
+            F.when(_dno() % 2 == 0, F.lit("")).otherwise(F.col("trade_date")).alias("trade_date"),
+            F.col("trade_date").alias("suspend_date"),
+            timing.alias("suspend_timing"),
+            F.when(_dno() % 5 == 0, F.lit(None).cast(StringType())).otherwise(typ).alias("suspend_type"),
+            typ.alias("reason_type"),
+        )
+
+    def raw_index_member_all(self) -> DataFrame:
+        """Industry membership rows with three level codes per supplier: L1 by
+        region, L2 by nation, L3 by nation and k % 3 (blank L3 for k % 5 = 0);
+        a move to the next region's L1 on 1999-01-01 for k % 4 = 0, a second,
+        conflicting L2 on the same day for k % 8 = 0, an exact duplicate row
+        for k % 6 = 0 and a blank in_date for k % 7 = 3."""
+        s = self.read("supplier", "s_suppkey", "s_name", "s_nationkey").withColumnRenamed("s_suppkey", "k")
+        n = F.broadcast(self.read("nation", "n_nationkey", "n_name", "n_regionkey"))
+        j = s.join(n, s.s_nationkey == n.n_nationkey)
+        k = _k()
+        nk, rk = F.col("s_nationkey"), F.col("n_regionkey")
+
+        def code(prefix: str, v: Column) -> Column:
+            return F.concat(F.lit(prefix), F.lpad(v.cast(StringType()), 3, "0"), F.lit(".SI"))
+
+        def row(l1: Column, l2: Column, l3: Column, in_date: Column, out_date: Column) -> list[Column]:
+            return [
+                l1.alias("l1_code"), F.concat(F.lit("L1-"), l1).alias("l1_name"),
+                l2.alias("l2_code"), F.concat(F.lit("L2-"), l2).alias("l2_name"),
+                l3.alias("l3_code"), F.concat(F.lit("L3-"), l3).alias("l3_name"),
+                ts_code_of(k).alias("ts_code"), F.col("s_name").alias("name"),
+                in_date.alias("in_date"), out_date.alias("out_date"), F.lit("Y").alias("is_new"),
+            ]
+
+        l3 = F.when(k % 5 == 0, F.lit("")).otherwise(code("853", nk * 10 + k % 3))
+        first = j.select(*row(code("851", rk), code("852", nk), l3,
+                              F.when(k % 7 == 3, F.lit("")).otherwise(F.lit("19950101")),
+                              F.when(k % 4 == 0, F.lit("19990101")).otherwise(F.lit(None).cast(StringType()))))
+        moved = j.where(k % 4 == 0).select(*row(code("851", (rk + 1) % 5), code("852", nk), l3, F.lit("19990101"),
+                                                F.lit(None).cast(StringType())))
+        conflict = j.where(k % 8 == 0).select(*row(code("851", (rk + 1) % 5), code("852", nk + 30), l3, F.lit("19990101"),
+                                                   F.lit(None).cast(StringType())))
+        dup = j.where(k % 6 == 0).select(*row(code("851", rk), code("852", nk), l3,
+                                              F.when(k % 7 == 3, F.lit("")).otherwise(F.lit("19950101")),
+                                              F.when(k % 4 == 0, F.lit("19990101")).otherwise(F.lit(None).cast(StringType()))))
+        return first.unionByName(moved).unionByName(conflict).unionByName(dup)
+
+    def raw_trade_cal(self) -> DataFrame:
+        """Exchange calendar from the order days; weekends closed."""
+        o = self.read("orders", "o_orderdate").select(F.to_date("o_orderdate").alias("d")).distinct()
+        w = Window.orderBy("d")
+        return o.select(
+            F.lit("SSE").alias("exchange"), _text_date(F.col("d")).alias("cal_date"),
+            F.when(F.dayofweek("d").isin(1, 7), F.lit(0)).otherwise(F.lit(1)).alias("is_open"),
+            _text_date(F.lag("d").over(w)).alias("pretrade_date"),
+            _ts(0).alias("ingested_at"), F.lit("trade_cal").alias("source_table"),
+        )
+
 
 @dataclass
 class RawSources:
@@ -499,6 +572,7 @@ class RawSources:
 
     source: dict[str, DataFrame]
     supplemental: dict[str, DataFrame]
+    feeds: dict[str, DataFrame] | None = None
 
 
 def raw_sources(spark: SparkSession, sf_dir: str) -> RawSources:
@@ -514,6 +588,8 @@ def raw_sources(spark: SparkSession, sf_dir: str) -> RawSources:
         "raw_stk_limit": t.raw_stk_limit(),
         "raw_suspend_d": t.raw_suspend_d(),
         "pit_fina_indicator": t.pit_fina_indicator(),
+        "raw_trade_cal": t.raw_trade_cal(),
+        "raw_index_member_all": t.raw_index_member_all(),
     }
     supplemental = {
         "industry_classification_pit": t.industry_classification_pit(),
@@ -522,4 +598,5 @@ def raw_sources(spark: SparkSession, sf_dir: str) -> RawSources:
         "raw_index_daily": t.raw_index_daily(),
         "raw_stk_limit": t.supplemental_stk_limit(),
     }
-    return RawSources(source, supplemental)
+    feeds = {"feed_a": t.feed_a(), "feed_b": t.feed_b(), "provider_suspend_d": t.provider_suspend_d()}
+    return RawSources(source, supplemental, feeds)
