@@ -306,3 +306,5 @@ QUERIES.update({
         UNION ALL SELECT 'index_basic_ref', 'green', count(*), {K(f"min({PD('list_date')})")}, {K(f"max({PD('list_date')})")} FROM index_basic_ref
         UNION ALL SELECT 'index_daily_bar_pit', 'green', count(*), {K('min(trade_date)')}, {K('max(trade_date)')} FROM index_daily_pit""",
 })
+
+QUERIES["stream_upsert"] = QUERIES["upsert_replace"]

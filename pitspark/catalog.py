@@ -572,3 +572,23 @@ def _registry(r: Research) -> DataFrame:
         ("index_basic_ref", "green", r.index_basic_ref, c("list_date"), c("list_date")),
         ("index_daily_bar_pit", "green", r.index_daily_bar_pit, c("trade_date"), c("trade_date")),
     ])
+
+
+# --------------------------------------------------------------- streaming
+@query("stream_upsert")
+def _stream_upsert(r: Research) -> DataFrame:
+    """Feed A corrections streamed from a landing folder into the
+    unadjusted-bar table with a keyed replace per micro-batch."""
+    from .streaming.ingest import month_partition, start_keyed_ingest
+
+    spark = r.spark
+    base_dir = r.store or checkpoint_dir(spark, fallback=tempfile.mkdtemp(prefix="pitspark-"))
+    root = f"{base_dir.rstrip('/')}/stream-{uuid.uuid4().hex[:12]}"
+    target, landing = f"{root}/target", f"{root}/landing"
+    month_partition(r.src("raw_kline_unadj").select(*KLINE)).write.partitionBy("ym").parquet(target)
+    corrections = month_partition(_feeds.normalize_feed_a(r.raw.feeds["feed_a"]))
+    corrections.write.partitionBy("ym").parquet(landing)
+    q = start_keyed_ingest(spark, landing=landing, schema=corrections.schema, target=target,
+                           keys=["ts_code", "trade_date"], checkpoint=f"{root}/checkpoint", max_files_per_trigger=32)
+    q.awaitTermination()
+    return spark.read.parquet(target).drop("ym")

@@ -143,20 +143,22 @@ def next_asof(
     """``out`` = the first calendar date after ``point`` (``>=`` when not strict).
 
     Resolved once per distinct point date: distinct point dates and calendar
-    dates are unioned and a RANGE frame over the day number finds the next
-    calendar day.  That frame runs over distinct dates only (bounded by the
-    calendar span), then the answer is equi-joined back to ``rows``.
+    dates are unioned and scanned newest-first with a running minimum of the
+    calendar dates seen so far (a growing ROWS frame, linear in the number of
+    distinct dates).  Within one day, point rows sort before calendar rows for
+    the strict lookup (a same-day calendar date is not "after"), after them
+    otherwise.  The scan covers distinct dates only (bounded by the calendar
+    span); the answer is equi-joined back to ``rows``.
     """
     pts = rows.select(F.col(point).alias("_d")).where(F.col("_d").isNotNull()).distinct().withColumn("_cal", F.lit(None).cast("date"))
     cal = calendar.select(F.col(calendar_col).alias("_d")).where(F.col("_d").isNotNull()).distinct().withColumn("_cal", F.col("_d"))
-    both = pts.unionByName(cal).withColumn("_n", F.unix_date("_d"))
-    lo = 1 if strict else 0
-    w = Window.orderBy("_n").rangeBetween(lo, Window.unboundedFollowing)
+    both = pts.unionByName(cal).withColumn("_is_cal", F.col("_cal").isNotNull())
+    tie = F.col("_is_cal").asc() if strict else F.col("_is_cal").desc()
+    w = Window.orderBy(F.col("_d").desc(), tie).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     resolved = (
         both.withColumn(out, F.min("_cal").over(w))
-        .groupBy("_d")
-        .agg(F.min(out).alias(out))
-        .withColumnRenamed("_d", point)
+        .where(~F.col("_is_cal"))
+        .select(F.col("_d").alias(point), out)
     )
     return rows.join(resolved, point, "left")
 

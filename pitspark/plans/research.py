@@ -34,6 +34,7 @@ class Research:
         self.spark = spark
         self.store = store.rstrip("/") if store else None
         if self.store:
+            # the provider landing zone: each provider table stored once, on first use
             raw = RawSources(_LazyStore(self, "source", raw.source), _LazyStore(self, "supplemental", raw.supplemental),
                              _LazyStore(self, "feeds", raw.feeds or {}))
         self.raw = raw
@@ -41,7 +42,13 @@ class Research:
 
     @classmethod
     def from_driver(cls, spark: SparkSession, sf_dir: str, store: str | None = None) -> "Research":
-        return cls(spark, raw_sources(spark, sf_dir), store)
+        """Provider layer derived from the driver tables; with ``store`` the
+        derivation spine is stored once and the raw tables are projections of it."""
+        keep = None
+        if store:
+            root = store.rstrip("/")
+            keep = lambda name, df: _Stored(spark, f"{root}/{name}", df).frame()
+        return cls(spark, raw_sources(spark, sf_dir, keep), store)
 
     def _keep(self, name: str, df: DataFrame | None) -> DataFrame | None:
         """Store ``df`` under ``name`` (lazily: written on first access)."""
@@ -55,7 +62,7 @@ class Research:
     # dimensions
     @cached_property
     def security_master(self) -> DataFrame:
-        return self._keep("research/security_master", bars.security_master(self.src("stock_basic_ref")))
+        return bars.security_master(self.src("stock_basic_ref"))
 
     @cached_property
     def industry_static(self) -> DataFrame:
@@ -63,11 +70,11 @@ class Research:
 
     @cached_property
     def name_change_history(self) -> DataFrame:
-        return self._keep("research/name_change_history", bars.name_change_history(self.src("raw_namechange"), self.security_master))
+        return bars.name_change_history(self.src("raw_namechange"), self.security_master)
 
     @cached_property
     def trade_calendar(self) -> DataFrame:
-        return self._keep("research/trade_calendar", bars.trade_calendar(self.src("raw_daily_basic"), self.security_master))
+        return bars.trade_calendar(self.src("raw_daily_basic"), self.security_master)
 
     @cached_property
     def st_daily(self) -> DataFrame:
@@ -122,7 +129,7 @@ class Research:
     def raw_stk_limit(self) -> DataFrame:
         """Limits from every source, latest ingest wins."""
         first, copies = conform_event_table(self.spark, self.sources, "raw_stk_limit")
-        return self._keep("research/raw_stk_limit", tradeability.merge_limit_sources(copies) if copies else first)
+        return tradeability.merge_limit_sources(copies) if copies else first
 
     # ledgers and states
     @cached_property

@@ -43,6 +43,9 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.driver.memory", os.environ.get("PITSPARK_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    java_opts = os.environ.get("PITSPARK_DRIVER_JAVA_OPTS")
+    if java_opts:
+        builder = builder.config("spark.driver.extraJavaOptions", java_opts)
     for key, value in SQL_SETTINGS.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()

@@ -91,10 +91,19 @@ def factor_of(k: Column, dno: Column) -> Column:
 
 @dataclass
 class DriverTables:
-    """Lazy handle on one scale-factor folder of driver tables."""
+    """Lazy handle on one scale-factor folder of driver tables.
+
+    ``keep`` (optional) stores a shared intermediate frame and returns the
+    stored copy; the bar spine every raw table is projected from is kept
+    once, so the lineitem aggregation and the per-supplier window run once.
+    """
 
     spark: SparkSession
     sf_dir: str
+    keep: object = None
+
+    def _kept(self, name: str, df: DataFrame) -> DataFrame:
+        return self.keep(name, df) if self.keep is not None else df
 
     def read(self, name: str, *columns: str) -> DataFrame:
         df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
@@ -147,7 +156,7 @@ class DriverTables:
         )
         g = g.withColumn("pre_close_u", pre_close)
         full = (_k() * 7 + _dno()) % 101 == 0
-        return g.select(
+        return self._kept("derive/bars", g.select(
             "*",
             ts_code_of(_k()).alias("ts_code"),
             _text_date(F.col("d")).alias("trade_date"),
@@ -155,7 +164,7 @@ class DriverTables:
             F.when(F.col("pre_close_u") != 0.0, (F.col("close_u") - F.col("pre_close_u")) / F.col("pre_close_u") * 100.0).alias("pct_chg_u"),
             F.when(full, F.lit(0.0)).otherwise(q).alias("vol_u"),
             F.when(full, F.lit(0.0)).otherwise(lo).alias("amount_u"),
-        )
+        ))
 
     # ----------------------------------------------------------- dimensions
     def stock_basic_ref(self) -> DataFrame:
@@ -251,7 +260,7 @@ class DriverTables:
     # --------------------------------------------------------------- events
     def raw_dividend(self) -> DataFrame:
         """Dividend events around the factor steps (see module doc)."""
-        g = self.groups.select("k", "d", "dno", (F.floor(F.col("dno") / 365)).alias("m")).where(
+        g = self.bars.select("k", "d", "dno", (F.floor(F.col("dno") / 365)).alias("m")).where(
             (F.col("m") >= 1) & (F.col("m") <= 6) & (_k() % 5 != 4)
         )
         per = g.groupBy("k", "m").agg(F.min("d").alias("first_day"))
@@ -359,7 +368,7 @@ class DriverTables:
     def pit_fina_indicator(self) -> DataFrame:
         """Quarterly per supplier (quarters with shipments); announced k % 40
         days after period end; blank announcement for k % 19 = 0."""
-        g = self.groups.withColumn("qe", F.last_day(F.add_months(F.trunc("d", "quarter"), 2)))
+        g = self.bars.select("k", "d", "q", "hi", "lo").withColumn("qe", F.last_day(F.add_months(F.trunc("d", "quarter"), 2)))
         agg = g.groupBy("k", "qe").agg(
             F.sum("q").alias("sq"), F.max("hi").alias("mh"), F.min("lo").alias("ml"), F.count(F.lit(1)).alias("nd")
         )
@@ -416,7 +425,7 @@ class DriverTables:
         """Monthly snapshots: supplier k is a member in month index mi (months since
         1995-01) when it shipped that month and (k + mi) % 3 != 0; even k in
         benchmark 000300.SH, odd k in 000905.SH."""
-        g = self.groups.select("k", F.trunc("d", "month").alias("month")).distinct()
+        g = self.bars.select("k", F.trunc("d", "month").alias("month")).distinct()
         mi = (F.year("month") - 1995) * 12 + F.month("month") - 1
         k = _k()
         return g.where((k + mi) % 3 != 0).select(
@@ -430,9 +439,9 @@ class DriverTables:
     @cached_property
     def event_days(self) -> DataFrame:
         e = self.read("events", "ts", "event_type", "value")
-        return e.groupBy("event_type", F.to_date("ts").alias("d")).agg(
+        return (e.groupBy("event_type", F.to_date("ts").alias("d")).agg(
             F.min("value").alias("mn"), F.max("value").alias("mx"), F.count(F.lit(1)).alias("cnt")
-        )
+        ))
 
     def raw_index_daily(self) -> DataFrame:
         """One index per event type; daily bar from that day's event values."""
@@ -575,8 +584,8 @@ class RawSources:
     feeds: dict[str, DataFrame] | None = None
 
 
-def raw_sources(spark: SparkSession, sf_dir: str) -> RawSources:
-    t = DriverTables(spark, sf_dir)
+def raw_sources(spark: SparkSession, sf_dir: str, keep=None) -> RawSources:
+    t = DriverTables(spark, sf_dir, keep)
     source = {
         "stock_basic_ref": t.stock_basic_ref(),
         "raw_namechange": t.raw_namechange(),
