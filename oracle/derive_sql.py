@@ -274,3 +274,73 @@ CTES += [
                TIMESTAMP '2024-01-02 00:00:00' AS ingested_at, 'trade_cal' AS source_table
         FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders)"""),
 ]
+
+_NAT = "(SELECT n_nationkey AS nk, n_name, n_regionkey AS rk, r_name FROM nation JOIN region ON n_regionkey = r_regionkey)"
+_SUP = f"""(SELECT k, nk, rk, {SYMBOL} AS symbol,
+                   610000 + rk * 10000 + (nk + 1) * 100 + (k % 3 + 1) AS old_code,
+                   610000 + rk * 10000 + (nk + 1) * 100 + ((k % 3 + 1) % 3 + 1) AS old_code2,
+                   110000 + rk * 10000 + (nk + 1) * 100 + (k % 3 + 1) AS new_code,
+                   110000 + rk * 10000 + (nk + 1) * 100 AS new_l2
+            FROM (SELECT s_suppkey AS k, s_nationkey FROM supplier) s JOIN {_NAT} n ON s.s_nationkey = n.nk)"""
+
+
+def _rec(idx: int, cond: str, eff: str, code: str, upd: str) -> str:
+    code_text = ("CASE WHEN k % 4 = 1 THEN regexp_replace(symbol, '^0+', '') WHEN k % 4 = 2 THEN symbol || '.0' "
+                 "ELSE symbol END")
+    return (f"SELECT {code_text} AS \"股票代码\", {eff} AS \"计入日期\", CAST({code} AS VARCHAR) AS \"行业代码\", "
+            f"CASE WHEN k % 9 = 4 THEN '' ELSE {upd} END AS \"更新日期\", CAST(k * 10 + {idx} AS BIGINT) AS row_no "
+            f"FROM sup WHERE {cond}")
+
+
+def _tsx(day: str, time: str = "00:00:00") -> str:
+    return f"(strftime({day}, '%Y-%m-%d') || ' {time}')"
+
+
+_D95 = "(DATE '1995-03-01' + CAST(k % 28 AS INTEGER))"
+_D97 = "(DATE '1997-05-01' + CAST(k % 50 AS INTEGER))"
+_D99 = "(DATE '1999-08-15' + CAST(k % 20 AS INTEGER))"
+
+CTES += [
+    ("official_codes", f"""
+        SELECT *, CAST(dense_rank() OVER (ORDER BY "行业代码") AS BIGINT) AS row_no FROM (
+            SELECT CAST(110000 + r_regionkey * 10000 AS VARCHAR) AS "行业代码", r_name AS "一级行业名称",
+                   '' AS "二级行业名称", '' AS "三级行业名称" FROM region
+            UNION ALL SELECT '110009', r_name, '', '' FROM region WHERE r_regionkey = 0
+            UNION ALL SELECT '990000', 'GHOST', 'G2', '' FROM region WHERE r_regionkey = 0
+            UNION ALL SELECT '990001', 'UNMAPPED', '', 'x' FROM region WHERE r_regionkey = 0
+            UNION ALL SELECT CAST(110000 + rk * 10000 + (nk + 1) * 100 AS VARCHAR), r_name, n_name, '' FROM {_NAT}
+            UNION ALL SELECT CAST(110000 + rk * 10000 + (nk + 1) * 100 + j AS VARCHAR), r_name, n_name,
+                             n_name || '-' || CAST(j AS VARCHAR)
+                      FROM {_NAT} CROSS JOIN (SELECT range AS j FROM range(1, 4)))"""),
+    ("official_crosswalk", f"""
+        WITH items AS (
+            SELECT *, 610000 + rk * 10000 + (nk + 1) * 100 + j AS old, 110000 + rk * 10000 + (nk + 1) * 100 + j AS new
+            FROM {_NAT} CROSS JOIN (SELECT range AS j FROM range(1, 4)) WHERE nk % 6 <> 5)
+        SELECT CAST(r_regionkey * 1000 AS BIGINT) AS row_no, 'section' AS c0, r_name AS c1, '' AS c2,
+               CAST(610000 + r_regionkey * 10000 AS VARCHAR) AS c3, '' AS c4, '' AS c5, '' AS c6,
+               CAST(110000 + r_regionkey * 10000 AS VARCHAR) AS c7
+        FROM region
+        UNION ALL
+        SELECT CAST(rk * 1000 + (nk + 1) * 10 + j AS BIGINT), 'item', n_name, '',
+               CASE WHEN j = 2 THEN CAST(old AS VARCHAR) || '.0' ELSE CAST(old AS VARCHAR) END, '', '', '',
+               CASE WHEN nk % 5 = 1 AND j = 3 THEN '999999' ELSE CAST(new AS VARCHAR) END
+        FROM items
+        UNION ALL
+        SELECT CAST(rk * 1000 + (nk + 1) * 10 + 5 AS BIGINT), 'item', n_name, '', CAST(old AS VARCHAR), '', '', '',
+               CAST(new + 1 AS VARCHAR)
+        FROM items WHERE nk % 4 = 0 AND j = 1"""),
+    ("official_ledger", f"""
+        WITH sup AS {_SUP}
+        {_rec(0, 'TRUE', _tsx(_D95), 'old_code', _tsx(_D95))}
+        UNION ALL {_rec(1, 'k % 2 = 0', _tsx(_D97, '09:30:00'), 'old_code2', "'1997-06-01 00:00:00'")}
+        UNION ALL {_rec(2, 'k % 10 = 0', _tsx(_D97, '09:30:00'), 'old_code', "'1997-07-01 00:00:00'")}
+        UNION ALL {_rec(3, 'k % 11 = 0', "'1990-01-01 00:00:00'", 'old_code', "'1990-01-01 00:00:00'")}
+        UNION ALL {_rec(4, 'k % 13 = 0', "'1996-02-21 00:00:00'", 'old_code2', "'1996-02-21 00:00:00'")}
+        UNION ALL {_rec(5, 'k % 4 <> 1', _tsx(_D99), 'new_code', _tsx(_D99))}
+        UNION ALL {_rec(6, 'k % 7 = 2', "'1999-07-30 10:00:00'", 'new_code', "'1999-07-30 10:00:00'")}"""),
+    ("official_snapshot", f"""
+        SELECT CASE WHEN k % 9 = 8 THEN 'B股' ELSE 'A股' END AS "交易所",
+               CAST(CASE WHEN k % 6 = 1 THEN new_l2 ELSE new_code END AS VARCHAR) AS "行业代码",
+               symbol AS "股票代码", CAST(k AS BIGINT) AS row_no
+        FROM {_SUP}"""),
+]

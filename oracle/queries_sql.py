@@ -308,3 +308,37 @@ QUERIES.update({
 })
 
 QUERIES["stream_upsert"] = QUERIES["upsert_replace"]
+
+from .pipeline_sql import CUT_TS  # noqa: E402,F401
+
+_T = "strftime({0}, '%Y-%m-%d %H:%M:%S')"
+QUERIES.update({
+    "hierarchy_levels": "SELECT code, level, level_code FROM oi_hier_all",
+    "crosswalk_map": "SELECT code, level, level_code FROM oi_cross",
+    "cutover_anchors": f"""
+        SELECT security_id, {_T.format('effective_at')} AS effective_at, raw_code, {_T.format('updated_at')} AS updated_at
+        FROM oi_anchors""",
+    "empirical_map": "SELECT code, level, level_code FROM oi_emp",
+    "official_industry_rows": f"""
+        SELECT security_id, industry_schema, industry_code, {_T.format('effective_at')} AS effective_at,
+               {_T.format('removed_at')} AS removed_at
+        FROM oi_official""",
+    "official_import_counters": f"""
+        SELECT 'quarantined_placeholder_rows' AS counter, '' AS level,
+               count(*) FILTER (WHERE {'strftime(effective_at, %s)' % "'%Y%m%d'"} = '19900101') AS value FROM oi_all
+        UNION ALL
+        SELECT 'quarantined_pre_window_rows', '', count(*) FILTER (WHERE strftime(effective_at, '%Y%m%d') <> '19900101'
+               AND strftime(effective_at, '%Y%m%d') < '19960221') FROM oi_all
+        UNION ALL
+        SELECT 'quarantined_unresolved_rows', level, count(*) FROM oi_base WHERE level_code = '' GROUP BY level
+        UNION ALL
+        SELECT 'window_carry_forward_rows', level, count(*) FROM oi_carry GROUP BY level
+        UNION ALL
+        SELECT 'snapshot_backfill_rows', level, count(*) FROM oi_backfill GROUP BY level""",
+    "manual_adjudication": f"""
+        SELECT security_id, industry_schema, industry_code, {_T.format('effective_at')} AS effective_at,
+               {_T.format("least(removed_at, lead(effective_at) OVER (PARTITION BY security_id, industry_schema ORDER BY effective_at, industry_code))")} AS removed_at
+        FROM (SELECT DISTINCT * FROM (
+                SELECT security_id, industry_schema, industry_code, effective_at, removed_at FROM oi_official
+                UNION ALL SELECT security_id, industry_schema, industry_code, start_date, end_date FROM oi_applied))""",
+})

@@ -592,3 +592,93 @@ def _stream_upsert(r: Research) -> DataFrame:
                            keys=["ts_code", "trade_date"], checkpoint=f"{root}/checkpoint", max_files_per_trigger=32)
     q.awaitTermination()
     return spark.read.parquet(target).drop("ym")
+
+
+# ------------------------------------------------------- official industry
+from .plans import industry as _industry  # noqa: E402
+
+OFFICIAL = _industry.ImportParams(levels=("L1", "L2", "L3"), min_effective_date="19960221", cutover_date="19990730")
+
+
+def _official(r: Research) -> _industry.OfficialImport:
+    """One official import per research build (kept on the build)."""
+    done = r.__dict__.get("_official_import")
+    if done is None:
+        f = r.raw.feeds
+        done = _industry.official_industry_rows(f["official_ledger"], f["official_codes"], f["official_crosswalk"],
+                                                f["official_snapshot"], OFFICIAL)
+        r.__dict__["_official_import"] = done
+    return done
+
+
+@query("hierarchy_levels")
+def _hier(r: Research) -> DataFrame:
+    """Code table -> level codes."""
+    return _industry.hierarchy_levels(r.raw.feeds["official_codes"])
+
+
+@query("crosswalk_map")
+def _cross(r: Research) -> DataFrame:
+    """Old -> new level codes (unique mappings, section L1 fallback)."""
+    return _industry.crosswalk_map(r.raw.feeds["official_crosswalk"], _industry.hierarchy_levels(r.raw.feeds["official_codes"]))
+
+
+@query("cutover_anchors")
+def _anchors(r: Research) -> DataFrame:
+    """C14: anchor records for snapshot securities without a cutover-day record."""
+    f = r.raw.feeds
+    return _industry.cutover_anchors(_industry.snapshot_codes(f["official_snapshot"]),
+                                     _industry.stock_records(f["official_ledger"]), OFFICIAL)
+
+
+@query("empirical_map")
+def _empirical(r: Research) -> DataFrame:
+    """Old code -> level code from before/after-cutover record pairs."""
+    f = r.raw.feeds
+    recs = _industry.stock_records(f["official_ledger"])
+    snap = _industry.snapshot_codes(f["official_snapshot"])
+    allr = recs.unionByName(_industry.cutover_anchors(snap, recs, OFFICIAL))
+    return _industry.empirical_map(allr, _industry.hierarchy_levels(f["official_codes"]), OFFICIAL)
+
+
+@query("official_industry_rows")
+def _official_rows(r: Research) -> DataFrame:
+    """Closed PIT industry rows of the official import."""
+    return _official(r).rows
+
+
+@query("official_import_counters")
+def _official_counters(r: Research) -> DataFrame:
+    return _official(r).counters
+
+
+def adjudication_candidates(official: DataFrame) -> DataFrame:
+    """Adjudication records proposed against the official L1 rows: by the
+    code number mod 5 — 0 left-edge backfill with web evidence, 1 the same
+    with file evidence (unsupported), 2 listing-lag backfill, 3 provider-gap
+    confirmation (supported, not extending), 4 a backfill overlapping the
+    previous interval (rejected)."""
+    o = official.where(F.col("industry_schema") == "sw2021_l1")
+    d = F.substring("security_id", 1, 6).cast("int") % 5
+    day = F.expr("INTERVAL 1 DAY")
+    end = F.col("effective_at")
+    kind = (F.when(d == 0, F.lit("external_left_edge_backfill")).when(d == 1, F.lit("external_left_edge_backfill"))
+            .when(d == 2, F.lit("listing_lag_backfill")).when(d == 3, F.lit("provider_gap_confirmation"))
+            .otherwise(F.lit("listing_lag_backfill")))
+    start = (F.when(d == 3, end).when(d == 4, end - day * 400).when(d == 2, end - day * 100).otherwise(end - day * 365))
+    stop = F.when(d == 3, F.coalesce(F.col("removed_at"), end + day * 10)).otherwise(end)
+    url = F.when(d == 1, F.lit("file:///ledger")).otherwise(F.lit("https://example.org/evidence"))
+    return o.select(
+        "security_id", start.alias("start_date"), stop.alias("end_date"), "industry_schema", F.lit("L1").alias("industry_level"),
+        "industry_code", kind.alias("source_type"), url.alias("evidence_url"), end.alias("evidence_date"),
+        end.alias("available_at"), F.lit("medium").alias("confidence"), F.lit("derived").alias("adjudication_note"),
+        F.lit(None).cast("string").alias("legacy_security_id"),
+    )
+
+
+@query("manual_adjudication")
+def _manual(r: Research) -> DataFrame:
+    """C17: supported, extending adjudications applied to the official rows."""
+    rows = _official(r).rows
+    closed, _ = _industry.apply_adjudications(rows, adjudication_candidates(rows))
+    return closed

@@ -67,3 +67,16 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     spark.sparkContext.setCheckpointDir(fallback)
     spark.conf.set("spark.checkpoint.dir", fallback)
     return fallback
+
+
+def cut_lineage(df):
+    """Reliable checkpoint of ``df`` into ``spark.checkpoint.dir`` (eager).
+
+    Used where one intermediate frame feeds many branches of a plan: the
+    branches then scan the checkpoint files instead of re-running the shared
+    subtree, and a lost executor recomputes from those files.
+    """
+    import tempfile
+
+    checkpoint_dir(df.sparkSession, fallback=tempfile.mkdtemp(prefix="pitspark-ckpt-"))
+    return df.checkpoint(eager=True)

@@ -574,6 +574,136 @@ class DriverTables:
             _ts(0).alias("ingested_at"), F.lit("trade_cal").alias("source_table"),
         )
 
+    # ----------------------------------------------- official industry packet
+    def _nations(self) -> DataFrame:
+        n = self.read("nation", "n_nationkey", "n_name", "n_regionkey")
+        r = self.read("region", "r_regionkey", "r_name")
+        return n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey).select(
+            F.col("n_nationkey").alias("nk"), "n_name", F.col("n_regionkey").alias("rk"), "r_name")
+
+    @staticmethod
+    def _code(v: Column) -> Column:
+        return v.cast(StringType())
+
+    def official_codes(self) -> DataFrame:
+        """Code table: L1 = 110000 + 10000 r, L2 = L1 + 100 (n + 1), L3 = L2 + j
+        (j = 1..3); a later duplicate L1 row for region 0 (code 110009), a
+        code whose names resolve to nothing (990000) and one with a level-3
+        name only (990001)."""
+        nat = self._nations()
+        reg = self.read("region", "r_regionkey", "r_name")
+        l1 = reg.select(self._code(F.lit(110000) + F.col("r_regionkey") * 10000).alias("行业代码"), F.col("r_name").alias("一级行业名称"),
+                        F.lit("").alias("二级行业名称"), F.lit("").alias("三级行业名称"))
+        dup = reg.where(F.col("r_regionkey") == 0).select(F.lit("110009").alias("行业代码"), F.col("r_name").alias("一级行业名称"),
+                                                           F.lit("").alias("二级行业名称"), F.lit("").alias("三级行业名称"))
+        odd = reg.where(F.col("r_regionkey") == 0).select(
+            F.explode(F.array(
+                F.struct(F.lit("990000").alias("行业代码"), F.lit("GHOST").alias("一级行业名称"), F.lit("G2").alias("二级行业名称"),
+                         F.lit("").alias("三级行业名称")),
+                F.struct(F.lit("990001").alias("行业代码"), F.lit("UNMAPPED").alias("一级行业名称"), F.lit("").alias("二级行业名称"),
+                         F.lit("x").alias("三级行业名称")),
+            )).alias("_r")).select("_r.*")
+        l2code = F.lit(110000) + F.col("rk") * 10000 + (F.col("nk") + 1) * 100
+        l2 = nat.select(self._code(l2code).alias("行业代码"), F.col("r_name").alias("一级行业名称"), F.col("n_name").alias("二级行业名称"),
+                        F.lit("").alias("三级行业名称"))
+        l3 = nat.select("*", F.explode(F.sequence(F.lit(1), F.lit(3))).alias("j")).select(
+            self._code(l2code + F.col("j")).alias("行业代码"), F.col("r_name").alias("一级行业名称"), F.col("n_name").alias("二级行业名称"),
+            F.concat(F.col("n_name"), F.lit("-"), F.col("j").cast(StringType())).alias("三级行业名称"))
+        rows = l1.unionByName(dup).unionByName(odd).unionByName(l2).unionByName(l3)
+        return rows.withColumn("row_no", F.dense_rank().over(Window.orderBy("行业代码")).cast("bigint"))
+
+    def official_crosswalk(self) -> DataFrame:
+        """Old -> new sheet (8 positional text columns, row order ``row_no``):
+        a section row per region (old 6r0000 -> new L1), one row per (nation,
+        j) old L3 -> new L3; nations with n % 6 = 5 are missing; n % 4 = 0
+        maps j = 1 twice (ambiguous); n % 5 = 1, j = 3 points at a code
+        outside the table; j = 2 codes are written as '...0' floats."""
+        nat = self._nations()
+        reg = self.read("region", "r_regionkey", "r_name")
+        head = reg.select(
+            (F.col("r_regionkey") * 1000).cast("bigint").alias("row_no"), F.lit("section").alias("c0"), F.col("r_name").alias("c1"),
+            F.lit("").alias("c2"), self._code(F.lit(610000) + F.col("r_regionkey") * 10000).alias("c3"), F.lit("").alias("c4"),
+            F.lit("").alias("c5"), F.lit("").alias("c6"), self._code(F.lit(110000) + F.col("r_regionkey") * 10000).alias("c7"))
+        rows = nat.where(F.col("nk") % 6 != 5).select("*", F.explode(F.sequence(F.lit(1), F.lit(3))).alias("j"))
+        old = F.lit(610000) + F.col("rk") * 10000 + (F.col("nk") + 1) * 100 + F.col("j")
+        new = F.lit(110000) + F.col("rk") * 10000 + (F.col("nk") + 1) * 100 + F.col("j")
+        old_txt = F.when(F.col("j") == 2, F.concat(self._code(old), F.lit(".0"))).otherwise(self._code(old))
+        new_txt = F.when((F.col("nk") % 5 == 1) & (F.col("j") == 3), F.lit("999999")).otherwise(self._code(new))
+        body = rows.select(
+            (F.col("rk") * 1000 + (F.col("nk") + 1) * 10 + F.col("j")).cast("bigint").alias("row_no"), F.lit("item").alias("c0"),
+            F.col("n_name").alias("c1"), F.lit("").alias("c2"), old_txt.alias("c3"), F.lit("").alias("c4"), F.lit("").alias("c5"),
+            F.lit("").alias("c6"), new_txt.alias("c7"))
+        amb = rows.where((F.col("nk") % 4 == 0) & (F.col("j") == 1)).select(
+            (F.col("rk") * 1000 + (F.col("nk") + 1) * 10 + 5).cast("bigint").alias("row_no"), F.lit("item").alias("c0"),
+            F.col("n_name").alias("c1"), F.lit("").alias("c2"), self._code(old).alias("c3"), F.lit("").alias("c4"),
+            F.lit("").alias("c5"), F.lit("").alias("c6"), self._code(new + 1).alias("c7"))
+        return head.unionByName(body).unionByName(amb)
+
+    def _supplier_codes(self) -> DataFrame:
+        s = self.read("supplier", "s_suppkey", "s_nationkey").withColumnRenamed("s_suppkey", "k")
+        nat = self._nations()
+        j = s.join(F.broadcast(nat), s.s_nationkey == nat.nk)
+        jj = (_k() % 3 + 1)
+        base = F.col("rk") * 10000 + (F.col("nk") + 1) * 100
+        symbol = F.concat(_case_by(_k() % 6, SYMBOL_PREFIXES), zfill(_k().cast(StringType()), 3))
+        return j.select(
+            "k", "nk", "rk", symbol.alias("symbol"),
+            (F.lit(610000) + base + jj).alias("old_code"), (F.lit(610000) + base + (jj % 3 + 1)).alias("old_code2"),
+            (F.lit(110000) + base + jj).alias("new_code"), (F.lit(110000) + base).alias("new_l2"),
+        )
+
+    def official_ledger(self) -> DataFrame:
+        """Stock ledger rows (see ``plans.industry``): an old code in 1995, a
+        change in 1997 for even k (re-issued with a later update for k % 10 = 0),
+        a 1990 placeholder for k % 11 = 0, a record at the window start for
+        k % 13 = 0, a new code after the 1999-07-30 cutover (not for k % 4 = 1)
+        and one on the cutover day for k % 7 = 2."""
+        c = self._supplier_codes()
+        k = _k()
+        code_text = (
+            F.when(k % 4 == 1, F.regexp_replace(F.col("symbol"), "^0+", ""))
+            .when(k % 4 == 2, F.concat(F.col("symbol"), F.lit(".0")))
+            .otherwise(F.col("symbol"))
+        )
+        upd_blank = k % 9 == 4
+
+        def rec(idx: int, when: Column, eff: Column, code: Column, upd: Column) -> DataFrame:
+            return c.where(when).select(
+                code_text.alias("股票代码"), eff.alias("计入日期"), code.cast(StringType()).alias("行业代码"),
+                F.when(upd_blank, F.lit("")).otherwise(upd).alias("更新日期"), (k * 10 + idx).cast("bigint").alias("row_no"))
+
+        def ts(day: Column, time: str = "00:00:00") -> Column:
+            return F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit(" " + time))
+
+        d95 = F.date_add(F.lit(_dt.date(1995, 3, 1)), (k % 28).cast("int"))
+        d97 = F.date_add(F.lit(_dt.date(1997, 5, 1)), (k % 50).cast("int"))
+        d99 = F.date_add(F.lit(_dt.date(1999, 8, 15)), (k % 20).cast("int"))
+        parts = [
+            rec(0, F.lit(True), ts(d95), F.col("old_code"), ts(d95)),
+            rec(1, k % 2 == 0, ts(d97, "09:30:00"), F.col("old_code2"), F.lit("1997-06-01 00:00:00")),
+            rec(2, k % 10 == 0, ts(d97, "09:30:00"), F.col("old_code"), F.lit("1997-07-01 00:00:00")),
+            rec(3, k % 11 == 0, F.lit("1990-01-01 00:00:00"), F.col("old_code"), F.lit("1990-01-01 00:00:00")),
+            rec(4, k % 13 == 0, F.lit("1996-02-21 00:00:00"), F.col("old_code2"), F.lit("1996-02-21 00:00:00")),
+            rec(5, k % 4 != 1, ts(d99), F.col("new_code"), ts(d99)),
+            rec(6, k % 7 == 2, F.lit("1999-07-30 10:00:00"), F.col("new_code"), F.lit("1999-07-30 10:00:00")),
+        ]
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out
+
+    def official_snapshot(self) -> DataFrame:
+        """Cutover snapshot: every supplier with its new L3 code (its L2 code for
+        k % 6 = 1), marked as B shares for k % 9 = 8."""
+        c = self._supplier_codes()
+        k = _k()
+        return c.select(
+            F.when(k % 9 == 8, F.lit("B股")).otherwise(F.lit("A股")).alias("交易所"),
+            F.when(k % 6 == 1, F.col("new_l2")).otherwise(F.col("new_code")).cast(StringType()).alias("行业代码"),
+            F.col("symbol").alias("股票代码"),
+            k.cast("bigint").alias("row_no"),
+        )
+
 
 @dataclass
 class RawSources:
@@ -607,5 +737,7 @@ def raw_sources(spark: SparkSession, sf_dir: str, keep=None) -> RawSources:
         "raw_index_daily": t.raw_index_daily(),
         "raw_stk_limit": t.supplemental_stk_limit(),
     }
-    feeds = {"feed_a": t.feed_a(), "feed_b": t.feed_b(), "provider_suspend_d": t.provider_suspend_d()}
+    feeds = {"feed_a": t.feed_a(), "feed_b": t.feed_b(), "provider_suspend_d": t.provider_suspend_d(),
+             "official_codes": t.official_codes(), "official_crosswalk": t.official_crosswalk(),
+             "official_ledger": t.official_ledger(), "official_snapshot": t.official_snapshot()}
     return RawSources(source, supplemental, feeds)
