@@ -163,58 +163,109 @@ def next_asof(
     return rows.join(resolved, point, "left")
 
 
+def asof_event(
+    rows: DataFrame,
+    events: DataFrame,
+    *,
+    on: Sequence[tuple[str, str]],
+    point: str,
+    event_date: str,
+    out: str,
+    direction: str = "after",
+    inclusive: bool = False,
+) -> DataFrame:
+    """``out`` = the nearest event date of the same key after (or before)
+    ``point``; ``inclusive`` also accepts an event on the point itself.
+
+    Rows and events are unioned and scanned once per key in date order with a
+    running minimum (``after``, newest first) or maximum (``before``, oldest
+    first) of the event dates seen so far — a sort per key, never a pairing of
+    every row with every event of its key.  Within one day, rows sort before
+    events for the exclusive lookup and after them for the inclusive one.
+    Rows with a NULL point get NULL.
+    """
+    keys = [a for a, _ in on]
+    r = rows.withColumn("_pt", F.col(point)).withColumn("_is_ev", F.lit(False)).withColumn("_ev", F.lit(None).cast("date"))
+    e = events.where(F.col(event_date).isNotNull()).select(
+        *[F.col(b).alias(a) for a, b in on], F.col(event_date).alias("_ev")
+    ).withColumn("_pt", F.col("_ev")).withColumn("_is_ev", F.lit(True))
+    both = r.unionByName(e, allowMissingColumns=True)
+    tie = F.col("_is_ev").desc() if inclusive else F.col("_is_ev").asc()
+    if direction == "after":
+        order, agg = [F.col("_pt").desc_nulls_last(), tie], F.min
+    elif direction == "before":
+        order, agg = [F.col("_pt").asc_nulls_last(), tie], F.max
+    else:
+        raise ValueError(f"direction must be 'after' or 'before', not {direction!r}")
+    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = both.withColumn(out, F.when(F.col("_pt").isNotNull(), agg("_ev").over(w)))
+    return found.where(~F.col("_is_ev")).drop("_pt", "_ev", "_is_ev")
+
+
+def event_in_window(
+    rows: DataFrame,
+    events: DataFrame,
+    *,
+    on: Sequence[tuple[str, str]],
+    after: str,
+    until: str,
+    event_date: str,
+    name: str,
+) -> DataFrame:
+    """Boolean ``name``: an event of the same key in ``(after, until]``.
+
+    The first event strictly after ``after`` (an as-of scan) lies on or
+    before ``until``.
+    """
+    tmp = f"_{name}_next"
+    out = asof_event(rows, events, on=on, point=after, event_date=event_date, out=tmp, direction="after")
+    return out.withColumn(name, F.coalesce(F.col(tmp) <= F.col(until), F.lit(False))).drop(tmp)
+
+
 def nearest_distance(
     rows: DataFrame,
     events: DataFrame,
     *,
-    row_keys: Sequence[str],
+    row_keys: Sequence[str] = (),
     on: Sequence[tuple[str, str]],
     point: str,
     event_date: str,
     out: str,
     event_filter: Column | None = None,
 ) -> DataFrame:
-    """``out`` = min |event_date - point| in days over matching events (NULL if none).
+    """``out`` = min |event_date - point| in days over the key's events (NULL if none).
 
-    Left join on the equi keys, then one aggregate per row key.
+    The nearest event is either the last one on/before the point or the first
+    one on/after it: two as-of scans, no pairing.
     """
     ev = events if event_filter is None else events.where(event_filter)
-    ev = ev.where(F.col(event_date).isNotNull()).select(*[F.col(b).alias(f"_e_{a}") for a, b in on], F.col(event_date).alias("_ed"))
-    r = rows.select(*row_keys, *[a for a, _ in on if a not in row_keys], point)
-    cond = [F.col(a) == F.col(f"_e_{a}") for a, _ in on]
-    dist = r.join(ev, cond, "left").groupBy(*row_keys).agg(
-        F.min(F.abs(F.datediff(F.col("_ed"), F.col(point)))).alias(out)
-    )
-    return rows.join(dist, list(row_keys), "left")
+    a = asof_event(rows, ev, on=on, point=point, event_date=event_date, out="_prev", direction="before", inclusive=True)
+    a = asof_event(a, ev, on=on, point=point, event_date=event_date, out="_next", direction="after", inclusive=True)
+    d = F.least(F.datediff(F.col(point), F.col("_prev")), F.datediff(F.col("_next"), F.col(point)))
+    return a.withColumn(out, d).drop("_prev", "_next")
 
 
 def nearest_row(
     rows: DataFrame,
     events: DataFrame,
     *,
-    row_keys: Sequence[str],
+    row_keys: Sequence[str] = (),
     on: Sequence[tuple[str, str]],
     point: str,
     event_date: str,
     out_date: str,
     out_days: str,
 ) -> DataFrame:
-    """Nearest event per row: smallest distance, ties to the earlier event date.
-
-    ``min_by`` over a (distance, date) struct is a single aggregate, so there
-    is no window and no per-key sort of the candidates.
-    """
-    ev = events.where(F.col(event_date).isNotNull()).select(*[F.col(b).alias(f"_e_{a}") for a, b in on], F.col(event_date).alias("_ed"))
-    r = rows.select(*row_keys, *[a for a, _ in on if a not in row_keys], point)
-    cond = [F.col(a) == F.col(f"_e_{a}") for a, _ in on]
-    days = F.abs(F.datediff(F.col("_ed"), F.col(point)))
-    best = (
-        r.join(ev, cond, "inner")
-        .groupBy(*row_keys)
-        .agg(F.min(F.struct(days.alias("days"), F.col("_ed").alias("d"))).alias("_best"))
-        .select(*row_keys, F.col("_best.d").alias(out_date), F.col("_best.days").alias(out_days))
+    """Nearest event per row: smallest distance, ties to the earlier event date."""
+    a = asof_event(rows, events, on=on, point=point, event_date=event_date, out="_prev", direction="before", inclusive=True)
+    a = asof_event(a, events, on=on, point=point, event_date=event_date, out="_next", direction="after", inclusive=True)
+    dp, dn = F.datediff(F.col(point), F.col("_prev")), F.datediff(F.col("_next"), F.col(point))
+    take_prev = F.col("_prev").isNotNull() & (F.col("_next").isNull() | (dp <= dn))
+    return (
+        a.withColumn(out_date, F.when(take_prev, F.col("_prev")).otherwise(F.col("_next")))
+        .withColumn(out_days, F.when(take_prev, dp).otherwise(dn))
+        .drop("_prev", "_next")
     )
-    return rows.join(best, list(row_keys), "left")
 
 
 def shift_clamped(

@@ -24,7 +24,7 @@ from ..functions.market import (
     severity,
     triage_class,
 )
-from ..operators.temporal import existence_flag, nearest_distance
+from ..operators.temporal import event_in_window, nearest_distance
 
 JUMP_KEYS = ["security_id", "trade_date"]
 LEDGER_COLUMNS = ["action_id", "security_id", "action_type", "record_date", "book_date", "ex_date",
@@ -122,20 +122,26 @@ def explaining_condition(j, a) -> F.Column:
     )
 
 
-def unexplained(jumps: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Jumps with no ledger action in their window (left-anti join keyed by security)."""
-    j = jumps.alias("_j")
-    a = ledger.select("security_id", "ex_date", "book_date").alias("_a")
-    cond = (F.col("_j.security_id") == F.col("_a.security_id")) & explaining_condition(
-        lambda x: F.col(f"_j.{x}"), lambda x: F.col(f"_a.{x}")
-    )
-    return j.join(a, cond, "left_anti")
+def action_dates(ledger: DataFrame) -> DataFrame:
+    """Every dated booking of the ledger: ex dates and book dates as events."""
+    return ledger.select("security_id", F.col("ex_date").alias("_d")).unionByName(
+        ledger.select("security_id", F.col("book_date").alias("_d"))).where(F.col("_d").isNotNull())
 
 
 def explained_flag(jumps: DataFrame, ledger: DataFrame, name: str = "has_explaining_corporate_action") -> DataFrame:
-    """The same test as a boolean column."""
-    return existence_flag(jumps, ledger.select("security_id", "ex_date", "book_date"), row_keys=JUMP_KEYS,
-                          on=[("security_id", "security_id")], condition=explaining_condition, name=name)
+    """An action's ex_date or book_date in (previous day, jump day].
+
+    The first action date strictly after the previous trading day (an as-of
+    scan per security) must fall on or before the jump day.
+    """
+    return event_in_window(jumps, action_dates(ledger), on=[("security_id", "security_id")], after="previous_trade_date",
+                           until="trade_date", event_date="_d", name=name)
+
+
+def unexplained(jumps: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Jumps with no ledger action in their window."""
+    flagged = explained_flag(jumps, ledger, name="_explained")
+    return flagged.where(~F.col("_explained")).drop("_explained")
 
 
 def same_date_nonimplemented(jumps: DataFrame, dividends: DataFrame, *, null_counts: bool = False,
@@ -170,10 +176,8 @@ def nearest_implemented_days(jumps: DataFrame, dividends: DataFrame, name: str =
 def suspend_in_window(jumps: DataFrame, suspend: DataFrame, name: str = "has_suspend_window") -> DataFrame:
     """Any suspension event in (previous day, jump day]."""
     s = suspend.select(F.col("ts_code").alias("s_code"), F.col("trade_date").alias("s_date"))
-    return existence_flag(
-        jumps, s, row_keys=JUMP_KEYS, on=[("security_id", "s_code")],
-        condition=lambda j, c: (c("s_date") > j("previous_trade_date")) & (c("s_date") <= j("trade_date")), name=name,
-    )
+    return event_in_window(jumps, s, on=[("security_id", "s_code")], after="previous_trade_date", until="trade_date",
+                           event_date="s_date", name=name)
 
 
 def inferred_repairs(bars: DataFrame, dividends: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ from ..functions.market import (
     triage_class,
     triage_class_without_dividends,
 )
-from ..operators.temporal import shift_clamped
+from ..operators.temporal import nearest_distance, shift_clamped
 from . import actions
 
 # Issue rules (severity and the five usability flags per issue type).
@@ -280,22 +280,33 @@ def dividend_context(unres: DataFrame, dividends: DataFrame, suspend: DataFrame
     (NULL progress counts as non-implemented here), nearest implemented
     distance, basis difference and suspension window.
 
-    Left join to the security's dividends, then one aggregate per jump — the
-    group is one security's dividends (tens of rows), never a product.
+    The same-day flags come from per-(security, day) and per-security counts
+    joined on keys (their NULL results match a per-jump ``bool_or`` over the
+    security's dividends: NULL when it has none); the nearest distance is an
+    as-of scan.  No jump is paired with every dividend of its security.
     """
-    valid = dividends.where(F.col("ts_code").isNotNull() & F.col("ex_date").isNotNull()).select(
-        F.col("ts_code").alias("_div_sec"), F.col("div_proc").alias("_proc"), F.col("ex_date").alias("_ex")
+    valid = dividends.where(F.col("ts_code").isNotNull() & F.col("ex_date").isNotNull())
+    impl = F.col("div_proc") == IMPLEMENTED_DIVIDEND
+    per_sec = valid.groupBy(F.col("ts_code").alias("security_id")).agg(F.count(F.lit(1)).alias("_n_valid"))
+    per_day = valid.groupBy(F.col("ts_code").alias("security_id"), F.col("ex_date").alias("trade_date")).agg(
+        F.count_if(impl).alias("_n_impl"),
+        F.count_if(F.col("div_proc").isNull()).alias("_n_null"),
+        F.count_if(F.coalesce(F.col("div_proc"), F.lit("")) != IMPLEMENTED_DIVIDEND).alias("_n_nonimpl"),
     )
     keys = ["security_id", "previous_trade_date", "trade_date", "previous_close", "pre_close", "factor_ratio"]
-    u = unres.select(*keys)
-    j = u.join(valid, u.security_id == valid._div_sec, "left")
-    same = F.col("_ex") == F.col("trade_date")
-    implemented = F.col("_proc") == IMPLEMENTED_DIVIDEND
-    ctx = j.groupBy(*keys).agg(
-        F.bool_or(same & implemented).alias("has_same_date_implemented"),
-        F.bool_or(same & (F.coalesce(F.col("_proc"), F.lit("")) != IMPLEMENTED_DIVIDEND)).alias("has_same_date_nonimplemented"),
-        F.min(F.when(implemented, F.abs(F.datediff(F.col("trade_date"), F.col("_ex"))))).alias("nearest_implemented_days"),
+    u = unres.select(*keys).join(per_sec, "security_id", "left").join(per_day, ["security_id", "trade_date"], "left")
+    n_valid = F.coalesce(F.col("_n_valid"), F.lit(0))
+    ctx = u.select(
+        *keys,
+        F.when(n_valid == 0, F.lit(None).cast("boolean"))
+        .when(F.coalesce(F.col("_n_impl"), F.lit(0)) > 0, F.lit(True))
+        .when(F.coalesce(F.col("_n_null"), F.lit(0)) == n_valid, F.lit(None).cast("boolean"))
+        .otherwise(F.lit(False)).alias("has_same_date_implemented"),
+        F.when(n_valid == 0, F.lit(None).cast("boolean"))
+        .otherwise(F.coalesce(F.col("_n_nonimpl"), F.lit(0)) > 0).alias("has_same_date_nonimplemented"),
     )
+    ctx = nearest_distance(ctx, valid.where(impl).select(F.col("ts_code").alias("_div_sec"), F.col("ex_date").alias("_ex")),
+                           on=[("security_id", "_div_sec")], point="trade_date", event_date="_ex", out="nearest_implemented_days")
     ctx = ctx.withColumn("factor_pre_close_basis_diff", basis_diff(F.col("factor_ratio"), F.col("previous_close"), F.col("pre_close")))
     if suspend is not None:
         ctx = actions.suspend_in_window(ctx, suspend)

@@ -20,4 +20,4 @@ def spark():
 def rows(df, *cols):
     """Collect a (small, test-sized) frame as sorted tuples."""
     sel = df.select(*cols) if cols else df
-    return sorted(tuple(r) for r in sel.collect())
+    return sorted((tuple(r) for r in sel.collect()), key=lambda t: tuple((v is not None, v) for v in t))

@@ -93,3 +93,22 @@ def test_existence_flag(spark):
     out = T.existence_flag(j, ev, row_keys=["security_id", "trade_date"], on=[("security_id", "code")],
                            condition=lambda r, c: (c("d") > r("prev")) & (c("d") <= r("trade_date")), name="hit")
     assert rows(out, "security_id", "hit") == [("A", True), ("B", False)]
+
+
+def test_asof_event_directions(spark):
+    r = spark.createDataFrame([("A", D(2024, 1, 5)), ("A", D(2024, 1, 20)), ("B", D(2024, 1, 5)), ("A", None)],
+                              "security_id string, d date")
+    ev = spark.createDataFrame([("A", D(2024, 1, 5)), ("A", D(2024, 1, 9)), ("B", D(2024, 1, 1))], "sec string, e date")
+    on = [("security_id", "sec")]
+    after = T.asof_event(r, ev, on=on, point="d", event_date="e", out="x", direction="after")
+    assert rows(after, "security_id", "d", "x") == [("A", None, None), ("A", D(2024, 1, 5), D(2024, 1, 9)),
+                                                    ("A", D(2024, 1, 20), None), ("B", D(2024, 1, 5), None)]
+    incl = T.asof_event(r, ev, on=on, point="d", event_date="e", out="x", direction="after", inclusive=True)
+    assert ("A", D(2024, 1, 5), D(2024, 1, 5)) in rows(incl, "security_id", "d", "x")
+    before = T.asof_event(r, ev, on=on, point="d", event_date="e", out="x", direction="before")
+    assert rows(before, "security_id", "d", "x") == [("A", None, None), ("A", D(2024, 1, 5), None),
+                                                     ("A", D(2024, 1, 20), D(2024, 1, 9)), ("B", D(2024, 1, 5), D(2024, 1, 1))]
+    win = T.event_in_window(r.where("d IS NOT NULL").withColumn("prev", F.date_sub("d", 5)), ev, on=on, after="prev",
+                            until="d", event_date="e", name="hit")
+    assert rows(win, "security_id", "d", "hit") == [("A", D(2024, 1, 5), True), ("A", D(2024, 1, 20), False),
+                                                    ("B", D(2024, 1, 5), True)]
