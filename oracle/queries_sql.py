@@ -342,3 +342,18 @@ QUERIES.update({
                 SELECT security_id, industry_schema, industry_code, effective_at, removed_at FROM oi_official
                 UNION ALL SELECT security_id, industry_schema, industry_code, start_date, end_date FROM oi_applied))""",
 })
+
+QUERIES["export_normalized_csv"] = QUERIES["normalized_bars"]
+QUERIES["sync_state"] = """
+    SELECT h.dataset_id, 'ok' AS status, h.last_date, c.row_count, NULL::VARCHAR AS error
+    FROM (""" + QUERIES["high_water_mark"] + """) h
+    JOIN (SELECT 'stock_basic' AS dataset_id, count(*) AS row_count FROM stock_basic_ref
+          UNION ALL SELECT 'trade_cal', count(*) FROM raw_trade_cal
+          UNION ALL SELECT 'namechange', count(*) FROM raw_namechange
+          UNION ALL SELECT 'daily', count(*) FROM raw_kline_unadj
+          UNION ALL SELECT 'daily_basic', count(*) FROM raw_daily_basic
+          UNION ALL SELECT 'adj_factor', count(*) FROM raw_adj_factor
+          UNION ALL SELECT 'daily_qfq', count(*) FROM raw_kline_qfq
+          UNION ALL SELECT 'suspend_d', count(*) FROM raw_suspend_d
+          UNION ALL SELECT 'stk_limit', count(*) FROM raw_stk_limit
+          UNION ALL SELECT 'fina_indicator', count(*) FROM pit_fina_indicator) c ON c.dataset_id = h.dataset_id"""

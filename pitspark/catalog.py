@@ -682,3 +682,41 @@ def _manual(r: Research) -> DataFrame:
     rows = _official(r).rows
     closed, _ = _industry.apply_adjudications(rows, adjudication_candidates(rows))
     return closed
+
+
+# ------------------------------------------------------------------ sinks
+@query("export_normalized_csv")
+def _export_csv(r: Research) -> DataFrame:
+    """The normalized bars written as CSV with a header and read back."""
+    from .sources import sinks as _sinks
+
+    base = r.store or checkpoint_dir(r.spark, fallback=tempfile.mkdtemp(prefix="pitspark-"))
+    path = f"{base.rstrip('/')}/export-{uuid.uuid4().hex[:12]}/stock_bar_normalized_daily"
+    bars = r.stock_bar_normalized_daily
+    _sinks.export_table(bars, path, "csv")
+    return _sinks.read_export(r.spark, path, bars.schema, "csv")
+
+
+@query("sync_state")
+def _sync_state(r: Research) -> DataFrame:
+    """State rows of a two-step sync: every dataset first recorded as
+    'running', then replaced by its final mark and row count."""
+    from .sources.schemas import DATASETS
+
+    first = None
+    final = None
+    for ds in HWM_DATASETS:
+        spec = DATASETS[ds]
+        df = r.src(spec.table)
+        mark = _keyed.high_water_mark(df, spec.axis_column).select(F.col("last_date").cast("string").alias("last_date"))
+        n = df.agg(F.count(F.lit(1)).alias("row_count"))
+        start = n.select(F.lit(ds).alias("dataset_id"), F.lit("running").alias("status"),
+                         F.lit(None).cast("string").alias("last_date"), F.lit(0).cast("bigint").alias("row_count"),
+                         F.lit(None).cast("string").alias("error"))
+        # both frames are single rows: the marker key joins one row to one row
+        done = n.withColumn("_one", F.lit(1)).join(mark.withColumn("_one", F.lit(1)), "_one").select(
+            F.lit(ds).alias("dataset_id"), F.lit("ok").alias("status"), "last_date", "row_count",
+            F.lit(None).cast("string").alias("error"))
+        first = start if first is None else first.unionByName(start)
+        final = done if final is None else final.unionByName(done)
+    return _keyed.record_state(first, final)

@@ -102,3 +102,12 @@ def write_snapshot(df: DataFrame, root: str, name: str, version: str, partition_
         w = w.partitionBy(*partition_by)
     w.parquet(path)
     return path
+
+
+STATE_COLUMNS = ["dataset_id", "status", "last_date", "row_count", "error"]
+
+
+def record_state(state: DataFrame, updates: DataFrame) -> DataFrame:
+    """Sync-state table with one row per dataset; an update replaces the
+    dataset's row (keyed replace on ``dataset_id``)."""
+    return upsert_replace(state.select(*STATE_COLUMNS), updates.select(*STATE_COLUMNS), ["dataset_id"])

@@ -16,7 +16,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.conform import conform_event_table, conform_index_table, conform_pit_table, empty_table, INDUSTRY_PIT
-from ..sources.derive import RawSources, raw_sources
+from ..sources.derive import SPINE_PROJECTIONS, RawSources, raw_sources
 from . import actions, bars, normalized, tradeability
 
 
@@ -197,7 +197,8 @@ class _LazyStore(Mapping):
 
     def __getitem__(self, key: str) -> DataFrame:
         if key not in self.done:
-            self.done[key] = self.owner._keep(f"{self.prefix}/{key}", self.tables[key])
+            df = self.tables[key]
+            self.done[key] = df if key in SPINE_PROJECTIONS else self.owner._keep(f"{self.prefix}/{key}", df)
         return self.done[key]
 
     def __iter__(self):

@@ -705,6 +705,14 @@ class DriverTables:
         )
 
 
+# Provider tables that are row-wise projections of the stored bar spine: they
+# are re-projected on use rather than stored a second time.
+SPINE_PROJECTIONS = frozenset({
+    "raw_daily_basic", "raw_kline_unadj", "raw_kline_qfq", "raw_adj_factor", "raw_stk_limit", "raw_suspend_d",
+    "feed_a", "feed_b", "provider_suspend_d",
+})
+
+
 @dataclass
 class RawSources:
     """The two provider databases as dicts of DataFrames (source, supplemental)."""
