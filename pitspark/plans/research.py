@@ -201,6 +201,9 @@ class _LazyStore(Mapping):
             self.done[key] = df if key in SPINE_PROJECTIONS else self.owner._keep(f"{self.prefix}/{key}", df)
         return self.done[key]
 
+    def __contains__(self, key: object) -> bool:
+        return key in self.tables
+
     def __iter__(self):
         return iter(self.tables)
 

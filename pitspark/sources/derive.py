@@ -31,6 +31,7 @@ quantity, n = line count):
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -717,35 +718,57 @@ SPINE_PROJECTIONS = frozenset({
 class RawSources:
     """The two provider databases as dicts of DataFrames (source, supplemental)."""
 
-    source: dict[str, DataFrame]
-    supplemental: dict[str, DataFrame]
-    feeds: dict[str, DataFrame] | None = None
+    source: Mapping[str, DataFrame]
+    supplemental: Mapping[str, DataFrame]
+    feeds: Mapping[str, DataFrame] | None = None
+
+
+class LazyFrames(Mapping):
+    """Name -> DataFrame, each built on first access (building a DataFrame
+    costs analysis round trips even before any job runs)."""
+
+    def __init__(self, builders: dict[str, Callable[[], DataFrame]]):
+        self._builders, self._built = builders, {}
+
+    def __getitem__(self, key: str) -> DataFrame:
+        if key not in self._built:
+            self._built[key] = self._builders[key]()
+        return self._built[key]
+
+    def __contains__(self, key: object) -> bool:
+        return key in self._builders
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
 
 
 def raw_sources(spark: SparkSession, sf_dir: str, keep=None) -> RawSources:
     t = DriverTables(spark, sf_dir, keep)
-    source = {
-        "stock_basic_ref": t.stock_basic_ref(),
-        "raw_namechange": t.raw_namechange(),
-        "raw_daily_basic": t.raw_daily_basic(),
-        "raw_kline_unadj": t.raw_kline_unadj(),
-        "raw_kline_qfq": t.raw_kline_qfq(),
-        "raw_adj_factor": t.raw_adj_factor(),
-        "raw_dividend": t.raw_dividend(),
-        "raw_stk_limit": t.raw_stk_limit(),
-        "raw_suspend_d": t.raw_suspend_d(),
-        "pit_fina_indicator": t.pit_fina_indicator(),
-        "raw_trade_cal": t.raw_trade_cal(),
-        "raw_index_member_all": t.raw_index_member_all(),
-    }
-    supplemental = {
-        "industry_classification_pit": t.industry_classification_pit(),
-        "benchmark_weight_snapshot_pit": t.benchmark_weight_snapshot_pit(),
-        "index_basic_ref": t.index_basic_ref(),
-        "raw_index_daily": t.raw_index_daily(),
-        "raw_stk_limit": t.supplemental_stk_limit(),
-    }
-    feeds = {"feed_a": t.feed_a(), "feed_b": t.feed_b(), "provider_suspend_d": t.provider_suspend_d(),
-             "official_codes": t.official_codes(), "official_crosswalk": t.official_crosswalk(),
-             "official_ledger": t.official_ledger(), "official_snapshot": t.official_snapshot()}
+    source = LazyFrames({
+        "stock_basic_ref": t.stock_basic_ref,
+        "raw_namechange": t.raw_namechange,
+        "raw_daily_basic": t.raw_daily_basic,
+        "raw_kline_unadj": t.raw_kline_unadj,
+        "raw_kline_qfq": t.raw_kline_qfq,
+        "raw_adj_factor": t.raw_adj_factor,
+        "raw_dividend": t.raw_dividend,
+        "raw_stk_limit": t.raw_stk_limit,
+        "raw_suspend_d": t.raw_suspend_d,
+        "pit_fina_indicator": t.pit_fina_indicator,
+        "raw_trade_cal": t.raw_trade_cal,
+        "raw_index_member_all": t.raw_index_member_all,
+    })
+    supplemental = LazyFrames({
+        "industry_classification_pit": t.industry_classification_pit,
+        "benchmark_weight_snapshot_pit": t.benchmark_weight_snapshot_pit,
+        "index_basic_ref": t.index_basic_ref,
+        "raw_index_daily": t.raw_index_daily,
+        "raw_stk_limit": t.supplemental_stk_limit,
+    })
+    feeds = LazyFrames({"feed_a": t.feed_a, "feed_b": t.feed_b, "provider_suspend_d": t.provider_suspend_d,
+                        "official_codes": t.official_codes, "official_crosswalk": t.official_crosswalk,
+                        "official_ledger": t.official_ledger, "official_snapshot": t.official_snapshot})
     return RawSources(source, supplemental, feeds)
