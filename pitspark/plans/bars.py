@@ -130,12 +130,15 @@ def daily_bar_pit(
     q = _keyed(qfq, "q_", PRICE_COLS)
     a = _keyed(adj, "a_", ["adj_factor", "source_table", "ingested_at"])
     m = master.select("security_id", "exchange", "board")
+    # the master (one row per security) filters the driving table first, so
+    # every later join is keyed by (security_id, trade_date) and can reuse the
+    # security_id partitioning
+    d = d.join(m, "security_id", "inner")
     j = (
         d.join(a, BAR_KEYS, "inner")
         .join(u, BAR_KEYS, "left")
         .join(q, BAR_KEYS, "left")
         .where(F.col("u_present").isNotNull() | F.col("q_present").isNotNull())
-        .join(m, "security_id", "inner")
     )
     j = j.join(st_keys(d.select(*BAR_KEYS), names), BAR_KEYS, "left")
     has_u = F.col("u_present").isNotNull()

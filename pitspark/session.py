@@ -21,6 +21,10 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Joins on (security_id, trade_date) may reuse a partitioning on security_id
+    # alone, so the bar spine, its per-security windows and the security-keyed
+    # lookups share one exchange per input.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # Write dynamic partitions instead of truncating whole tables (keyed replace).
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
