@@ -50,10 +50,17 @@ class Research:
             keep = lambda name, df: _Stored(spark, f"{root}/{name}", df).frame()
         return cls(spark, raw_sources(spark, sf_dir, keep), store)
 
-    def _keep(self, name: str, df: DataFrame | None) -> DataFrame | None:
-        """Store ``df`` under ``name`` (lazily: written on first access)."""
+    def _keep(self, name: str, df: DataFrame | None, bucket_by: str | None = None) -> DataFrame | None:
+        """Store ``df`` under ``name``.
+
+        With ``bucket_by`` the table is written bucketed by that key and
+        sorted by it and the trade date, so later per-security windows and
+        joins on the key read co-partitioned buckets instead of shuffling.
+        """
         if df is None or not self.store:
             return df
+        if bucket_by:
+            return _Bucketed(self.spark, f"{self.store}/{name}", df, bucket_by).frame()
         return _Stored(self.spark, f"{self.store}/{name}", df).frame()
 
     def src(self, name: str) -> DataFrame:
@@ -86,7 +93,7 @@ class Research:
         return self._keep("research/daily_bar_pit", bars.daily_bar_pit(
             self.src("raw_daily_basic"), self.src("raw_kline_unadj"), self.src("raw_kline_qfq"),
             self.src("raw_adj_factor"), self.security_master, self.name_change_history,
-        ))
+        ), bucket_by="security_id")
 
     @cached_property
     def fundamental_snapshot_pit(self) -> DataFrame:
@@ -134,20 +141,20 @@ class Research:
     # ledgers and states
     @cached_property
     def corporate_action_ledger(self) -> DataFrame:
-        return self._keep("research/corporate_action_ledger", actions.corporate_action_ledger(self.daily_bar_pit, self.raw_dividend))
+        return self._keep("research/corporate_action_ledger", actions.corporate_action_ledger(self.daily_bar_pit, self.raw_dividend), bucket_by="security_id")
 
     @cached_property
     def corporate_action_exception_ledger(self) -> DataFrame:
-        return self._keep("research/corporate_action_exception_ledger", actions.exception_ledger(self.daily_bar_pit, self.corporate_action_ledger, self.raw_dividend, self.raw_suspend_d))
+        return self._keep("research/corporate_action_exception_ledger", actions.exception_ledger(self.daily_bar_pit, self.corporate_action_ledger, self.raw_dividend, self.raw_suspend_d), bucket_by="security_id")
 
     @cached_property
     def tradeability_state_daily(self) -> DataFrame:
-        return self._keep("research/tradeability_state_daily", tradeability.tradeability_state(self.daily_bar_pit, self.raw_suspend_d, self.raw_stk_limit))
+        return self._keep("research/tradeability_state_daily", tradeability.tradeability_state(self.daily_bar_pit, self.raw_suspend_d, self.raw_stk_limit), bucket_by="security_id")
 
     @cached_property
     def normalized_bars(self) -> DataFrame:
         """C5 with DateType trade_date (see ``normalized.contract`` for the public form)."""
-        return self._keep("research/normalized_bars", normalized.normalized_bars(self.daily_bar_pit, self.tradeability_state_daily, self.industry_classification_pit))
+        return self._keep("research/normalized_bars", normalized.normalized_bars(self.daily_bar_pit, self.tradeability_state_daily, self.industry_classification_pit), bucket_by="code")
 
     @cached_property
     def stock_bar_normalized_daily(self) -> DataFrame:
@@ -168,13 +175,13 @@ class Research:
         from . import quality
 
         return self._keep("research/usability_flags", quality.usability_flags(self.daily_bar_pit, self.tradeability_state_daily, self.normalized_bars,
-                                       self.corporate_action_exception_ledger))
+                                       self.corporate_action_exception_ledger), bucket_by="code")
 
     @cached_property
     def classified_jumps(self) -> DataFrame:
         from . import quality
 
-        return self._keep("research/classified_jumps", quality.classified_jumps(self.daily_bar_pit, self.corporate_action_ledger))
+        return self._keep("research/classified_jumps", quality.classified_jumps(self.daily_bar_pit, self.corporate_action_ledger), bucket_by="security_id")
 
     @cached_property
     def unresolved_jumps(self) -> DataFrame:
@@ -211,6 +218,28 @@ class _LazyStore(Mapping):
         return len(self.tables)
 
 
+class _Bucketed:
+    """A DataFrame written once as a bucketed, sorted table at ``path``.
+
+    The table is registered in the session catalog (external, at ``path``)
+    because bucket metadata lives in the catalog; the bucket count follows
+    ``spark.sql.shuffle.partitions`` so joins with freshly shuffled inputs line up.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, df: DataFrame, key: str):
+        self.spark, self.path, self.df, self.key = spark, path, df, key
+
+    def frame(self) -> DataFrame:
+        import hashlib
+
+        table = "pit_" + hashlib.sha1(self.path.encode()).hexdigest()[:16]
+        n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        sort = [self.key] + (["trade_date"] if "trade_date" in self.df.columns else [])
+        (self.df.write.mode("overwrite").option("path", self.path)
+         .bucketBy(n, self.key).sortBy(*sort).saveAsTable(table))
+        return self.spark.table(table)
+
+
 class _Stored:
     """A DataFrame written to Parquet the first time it is read."""
 
