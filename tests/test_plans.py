@@ -44,3 +44,15 @@ def test_scan_prunes_columns(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(l_quantity), GreaterThan(l_quantity,10.0)]" in plan
     assert "ReadSchema: struct<l_suppkey:bigint,l_quantity:double>" in plan
+
+
+def test_bucketed_spine_needs_no_exchange_for_jump_window(spark, tmp_path):
+    r = Research.from_driver(spark, SF, store=str(tmp_path / "store"))
+    bars = r.daily_bar_pit
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = _plan(actions.significant_jumps(bars))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "Window" in plan
+    assert "Exchange" not in plan
