@@ -106,9 +106,13 @@ def range_hash(c: np.ndarray, down: np.ndarray, start: np.ndarray, end: np.ndarr
 class Words:
     """Words of a block of texts: ``hash[i]``, byte range ``start[i]:end[i]`` in the block, ``doc[i]``; document d owns ``first[d]:first[d + 1]``."""
 
-    def __init__(self, data: np.ndarray, bounds: np.ndarray, within: np.ndarray | None = None):
-        """data: bytes of the texts in a row; bounds: len(texts) + 1 offsets; within: by byte, whether it belongs to words."""
+    def __init__(self, data: np.ndarray, bounds: np.ndarray, within: np.ndarray | None = None, accents: bool = False):
+        """data: bytes of the texts in a row; bounds: len(texts) + 1 offsets; within: by byte, whether it belongs to words; accents: lower-case accented Latin letters too."""
         low = _FOLD[data]
+        if accents:
+            at = np.flatnonzero(low[:-1] == 0xC3) + 1
+            at = at[(low[at] >= 0x80) & (low[at] <= 0x9E) & (low[at] != 0x97)]
+            low[at] += 0x20
         inside = (~_BREAK if within is None else within)[low]
         edge = np.zeros(len(low) + 1, dtype=bool)
         edge[bounds] = True
