@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterator
 
@@ -34,9 +35,16 @@ def stored(df: DataFrame, name: str, partition_by: str | None = None) -> DataFra
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     writer = df.write.option("compression", "zstd")
     (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
+    release(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of finished jobs now; its cleaner otherwise waits for the driver's next collection."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only what an operator reads, under names of its own, so that no other column can clash."""
     return docs.select(

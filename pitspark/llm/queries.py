@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pitspark.llm import ann, bpe, decontaminate, jaccard, line_dedup, secrets, token_files, toxicity
+from pitspark.llm import ann, bpe, decontaminate, jaccard, line_dedup, secrets, suffix_dedup, token_files, toxicity
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard": jaccard.op1_ngram_jaccard,
@@ -16,6 +16,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_toxicity": toxicity.op6_toxicity,
     "op7_token_files": token_files.op7_token_files,
     "op8_line_dedup": line_dedup.op8_line_dedup,
+    "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
     "op10_secrets": secrets.op10_secrets,
 }
 
