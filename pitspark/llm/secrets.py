@@ -14,8 +14,6 @@ number of paths is scanned once, and its findings meet the paths in an ordinary
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -40,19 +38,22 @@ LEDGER_SCHEMA = "blob string, rule_version string, spans array<struct<start:bigi
 
 def scan_blobs(blobs: DataFrame, rules: list[tuple[str, str, int, int]] = RULES) -> DataFrame:
     """Spans of all rules in the rows (blob, _text): one row for each span."""
-    found = []
-    for no, (kind, pattern, group, least) in enumerate(rules):
-        hits = blobs.filter(F.col("_text").rlike(pattern))
-        hits = hits.select(
-            "blob", F.split("_text", pattern, -1).alias("gaps"), F.regexp_extract_all("_text", F.lit(pattern), F.lit(0)).alias("all"),
-            F.regexp_extract_all("_text", F.lit(pattern), F.lit(group)).alias("part"),
-        )
-        each = F.transform("all", lambda m, i: F.struct(i.alias("nth"), F.length(F.get("gaps", i)).alias("gap"), F.length(m).alias("size"), F.length(F.get("part", i)).alias("counts")))
-        rows = hits.select("blob", F.inline(each))
-        so_far = Window.partitionBy("blob").orderBy("nth")
-        rows = rows.select("blob", "size", "counts", F.sum(F.col("gap").cast("long") + F.col("size")).over(so_far).alias("end"))
-        found.append(rows.filter(F.col("counts") >= least).select("blob", (F.col("end") - F.col("size")).alias("start"), F.lit(no).alias("kind_no"), F.lit(kind).alias("kind"), "end"))
-    return reduce(DataFrame.unionByName, found)
+    each = []
+    for no, (_, pattern, group, _) in enumerate(rules):
+        whole = F.regexp_extract_all("_text", F.lit(pattern), F.lit(0))
+        part = whole if group == 0 else F.regexp_extract_all("_text", F.lit(pattern), F.lit(group))
+        hit = F.col("_text").rlike(pattern)
+        each += [F.when(hit, whole).alias(f"all{no}"), F.when(hit, part).alias(f"part{no}"), F.when(hit, F.split("_text", pattern, -1)).alias(f"gaps{no}")]
+    cut = blobs.select("blob", *each)
+    rows = []
+    for no in range(len(rules)):
+        entry = lambda m, i, no=no: F.struct(F.lit(no).alias("kind_no"), i.alias("nth"), F.length(F.get(f"gaps{no}", i)).alias("gap"), F.length(m).alias("size"), F.length(F.get(f"part{no}", i)).alias("counts"))
+        rows.append(F.coalesce(F.transform(f"all{no}", entry), F.array().cast("array<struct<kind_no:int,nth:int,gap:int,size:int,counts:int>>")))
+    so_far = Window.partitionBy("blob", "kind_no").orderBy("nth")
+    hits = cut.select("blob", F.inline(F.concat(*rows)))
+    hits = hits.withColumn("end", F.sum(F.col("gap").cast("long") + F.col("size")).over(so_far))
+    rule = lambda k: F.element_at(F.array(*(F.lit(r[k]) for r in rules)), F.col("kind_no") + 1)
+    return hits.filter(F.col("counts") >= rule(3)).select("blob", (F.col("end") - F.col("size")).alias("start"), "kind_no", rule(0).alias("kind"), "end")
 
 
 def scan_new(versions: DataFrame, ledger: DataFrame | None = None, rules: list[tuple[str, str, int, int]] = RULES, rule_version: str = RULE_VERSION) -> DataFrame:
