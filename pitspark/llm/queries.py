@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pitspark.llm import ann, bpe, decontaminate, jaccard, line_dedup, secrets, suffix_dedup, token_files, toxicity
+from pitspark.llm import ann, bpe, decontaminate, jaccard, language_model, line_dedup, secrets, suffix_dedup, token_files, toxicity
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard": jaccard.op1_ngram_jaccard,
     "op2_decontaminate": decontaminate.op2_decontaminate,
+    "op3_language_model": language_model.op3_language_model,
     "op4_ann": ann.op4_ann,
     "op5_bpe": bpe.op5_bpe,
     "op6_toxicity": toxicity.op6_toxicity,
