@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 NULL_ID = -(2**63)  # stands for a null id inside an operator; such rows sort first and come out with a null id again
 WORD_BREAKS = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)  # fixed values: what separates words
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-BLOCK_BYTES = 2 << 20  # text handled by one round of numpy calls; bounds the memory of a task
+BLOCK_BYTES = 1 << 20  # text handled by one round of numpy calls; bounds the memory of a task
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,20 +30,27 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def stored(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back: later readers start from files, not from its lineage."""
+def stored(df: DataFrame, name: str, large: bool = True) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back: later readers start from files, not from its lineage.
+
+    After a large table the shuffle files that led to it are released at once.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    writer = df.write.option("compression", "zstd")
-    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
-    release(spark)
-    return spark.read.schema(df.schema).parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    del df
+    if large:
+        release(spark)
+    return out
 
 
 def release(spark: SparkSession) -> None:
     """Let Spark drop the shuffle files of finished jobs now; its cleaner otherwise waits for the driver's next collection."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # at first the listeners of the job that has just ended may still hold its plan
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -13,7 +13,8 @@ A document's set holds its distinct 5-word shingles (64-bit hashes).  Two docume
 4. Answers are derived through similar sets.  First each set meets only its neighbours in the lists; verified links
    join them to classes.  A set of a class has its answers within the class from its neighbours, so a list is searched in
    full only where different classes meet in it, and only across classes.  What passes the skipping bounds there is verified as
-   well.  No list is expanded into all its pairs, and no link between different classes is lost.
+   well.  Before texts are compared, small parity maps of the sets rule out most candidates: their differing bits are a lower
+   bound on the differences of the sets.  No list is expanded into all its pairs, and no link between different classes is lost.
 
 Edge cases: null or wordless text has an empty set and links with nothing; equal rows fall into one class and keep a row each;
 a null id never stands for others; an empty table gives an empty result; other columns are not read; texts of any length count whole.
@@ -58,6 +59,32 @@ def _key(own: np.ndarray) -> tuple[int, int]:
     return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
 
 
+def parity_map(own: np.ndarray) -> bytes:
+    """Bit i tells whether an odd number of shingles hash to i; as many bits as the next power of two from the set's size."""
+    bits = 1 << max(6, int(len(own) - 1).bit_length()) if len(own) else 64
+    odd = np.bincount((own & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def least_difference(x: bytes, y: bytes) -> int:
+    """A lower bound on the differences of two sets: each changes one bit.  The larger map folds to the smaller one's size."""
+    a, b = np.frombuffer(x, dtype=np.uint8), np.frombuffer(y, dtype=np.uint8)
+    if len(a) < len(b):
+        a, b = b, a
+    a = np.bitwise_xor.reduce(a.reshape(-1, len(b)), axis=0)
+    return int(np.bitwise_count(a ^ b).sum())
+
+
+def _unlike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Drops candidate pairs whose parity maps differ in more bits than linked sets can."""
+    for batch in batches:
+        n, m = batch.column("n").to_numpy(), batch.column("m").to_numpy()
+        most = n + m - 2 * _least_overlap(n, m)
+        least = [least_difference(x.as_py(), y.as_py()) for x, y in zip(batch.column("x"), batch.column("y"), strict=True)]
+        at = pa.array(np.flatnonzero(np.array(least, dtype=np.int64) <= most))
+        yield pa.RecordBatch.from_arrays([batch.column("a").take(at), batch.column("b").take(at)], names=["a", "b"])
+
+
 def _trim(token: np.ndarray, n: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
     """Heavy hitters: lower all counts by the first one beyond the limit, and drop what is left at nothing."""
     if len(token) > limit:
@@ -68,24 +95,25 @@ def _trim(token: np.ndarray, n: np.ndarray, limit: int) -> tuple[np.ndarray, np.
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Size and digest of every set; at the end of the task, its frequent shingles."""
-    names = ["_id", "n", "k1", "k2", "token", "hits"]
+    names = ["_id", "n", "k1", "k2", "bits", "token", "hits"]
     seen, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
     for batch in batches:
-        sizes, keys = [], []
+        sizes, keys, maps = [], [], []
         for _, _, data, bounds in text_blocks(batch):
             own = list(_sets(Words(data, bounds)))
             sizes += map(len, own)
             keys += [_key(x) for x in own]
+            maps += [parity_map(x) for x in own]
             token, n = np.unique(np.concatenate(own), return_counts=True)
             token, n = token[n > 1], n[n > 1]  # what a block holds once is no candidate
             both, at = np.unique(np.concatenate([seen, token]), return_inverse=True)
             counts = np.bincount(at, weights=np.concatenate([counts, n]), minlength=len(both)).astype(np.int64)
             seen, counts = _trim(both, counts, FREQUENT)
         none = pa.nulls(len(sizes), pa.int64())
-        yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(sizes, pa.int64()), pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()), none, none], names=names)
+        yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(sizes, pa.int64()), pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()), pa.array(maps, pa.binary()), none, none], names=names)
     if len(seen):
         none = pa.nulls(len(seen), pa.int64())
-        yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(seen.view(np.int64)), pa.array(counts)], names=names)
+        yield pa.RecordBatch.from_arrays([none, none, none, none, pa.nulls(len(seen), pa.binary()), pa.array(seen.view(np.int64)), pa.array(counts)], names=names)
 
 
 def _prefix_size(n: int) -> int:
@@ -183,6 +211,29 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         carry = [token[keep], rep[keep], size[keep], pos[keep], nth[keep]]
 
 
+def _borders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Over lists in a shuffled order: candidate pairs of different classes at most four entries apart."""
+    carry: list[np.ndarray] | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        now = [batch.column(c).to_numpy() for c in ("token", "rep", "size", "pos", "root")]
+        old = len(carry[0]) if carry is not None else 0
+        if carry is not None:
+            now = [np.concatenate([a, b]) for a, b in zip(carry, now, strict=True)]
+        token, rep, size, pos, root = now
+        for gap in range(1, 5):
+            b = np.arange(max(old, gap), len(token))
+            a = b - gap
+            ok = (token[a] == token[b]) & (root[a] != root[b])
+            a, b = a[ok], b[ok]
+            ok = _may_link(size[a], pos[a], size[b], pos[b])
+            a, b = a[ok], b[ok]
+            if len(a):
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(rep[a], rep[b])), pa.array(np.maximum(rep[a], rep[b]))], names=["a", "b"])
+        carry = [x[-4:] for x in now]
+
+
 def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Over entries sorted by (token, lo, hi): candidate pairs of different classes within one block pair of a list."""
     held: list[np.ndarray] | None = None
@@ -257,9 +308,10 @@ class JaccardJoin:
 
     def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"):
         spark = docs.sparkSession
+        tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
         plain = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-        scan = stored(plain.mapInArrow(_scan, "_id bigint, n bigint, k1 bigint, k2 bigint, token bigint, hits bigint"), "sets")
-        sets = scan.filter("k1 is not null").select("_id", "n", "k1", "k2")
+        scan = stored(plain.mapInArrow(_scan, "_id bigint, n bigint, k1 bigint, k2 bigint, bits binary, token bigint, hits bigint"), "sets")
+        sets = scan.filter("k1 is not null").select("_id", "n", "k1", "k2", "bits")
         top = scan.filter("token is not null").groupBy("token").agg(F.sum("hits").alias("hits")).filter(F.col("hits") >= LEAST_FREQUENT)
         top = top.orderBy(F.desc("hits"), "token").limit(FREQUENT).toArrow()  # at most FREQUENT rows of 16 bytes
         token = top.column("token").to_numpy().view(np.uint64)
@@ -267,14 +319,20 @@ class JaccardJoin:
         frequent, rank = token[order], top.column("hits").to_numpy()[order]
         self.frequent, self.rank = frequent, rank
 
-        reps = sets.filter("n > 0").groupBy("k1", "k2").agg(F.min("_id").alias("rep"))
-        rep_texts = plain.join(reps.withColumnRenamed("rep", "_id"), "_id")
+        reps = sets.filter("n > 0").groupBy("k1", "k2").agg(F.min(F.struct("_id", "n", "bits")).alias("least"))
+        reps = stored(reps.select("k1", "k2", F.col("least._id").alias("rep"), "least.n", "least.bits"), "reps", large=False)
+        rep_texts = plain.join(reps.select(F.col("rep").alias("_id"), "k1", "k2"), "_id")
         postings = rep_texts.select("_id", "_text", "k1", "k2").mapInArrow(_postings(frequent, rank), "token bigint, rep bigint, size int, pos int")
-        lists = postings.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "token").sortWithinPartitions("token", "size", "rep")
+        lists = postings.repartition(tasks, "token").sortWithinPartitions("token", "size", "rep")
         found = stored(lists.mapInArrow(_neighbours, "token bigint, rep bigint, size int, pos int, other bigint"), "lists")
 
         def verify(pairs: DataFrame, name: str) -> DataFrame:
-            texts = plain.dropDuplicates(["_id"]) if self.repeats else plain
+            maps = reps.select("rep", "n", "bits")
+            pairs = pairs.join(maps.toDF("a", "n", "x"), "a").join(maps.toDF("b", "m", "y"), "b").select("a", "b", "n", "x", "m", "y")
+            pairs = stored(pairs.mapInArrow(_unlike, "a bigint, b bigint"), "alike")
+            asked = pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct()
+            texts = plain.join(asked, "_id", "left_semi")
+            texts = stored(texts.dropDuplicates(["_id"]) if self.repeats else texts, "texts")
             left = pairs.join(texts, pairs["a"] == texts["_id"]).select("a", "b", "_text")
             right = texts.select(F.col("_id").alias("_b"), F.col("_text").alias("_other"))
             both = left.join(right, left["b"] == right["_b"]).select("a", "b", "_text", "_other")
@@ -283,22 +341,35 @@ class JaccardJoin:
         self.repeats = sets.count() > sets.select("_id").distinct().count()
         near = found.filter("other is not null").select(F.col("rep").alias("a"), F.col("other").alias("b")).distinct()
         first = verify(near, "links")
-        roots = stored(components(first.select("a", "b")), "roots")
+        roots = stored(components(first.select("a", "b")), "roots", large=False)
 
         index = found.filter("other is null").select("token", "rep", "size", "pos")
-        index = index.join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
-        mixed = index.groupBy("token").agg(F.count("*").alias("size_of_list"), F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1")
-        index = index.join(mixed.select("token", "size_of_list"), "token")
+
+        def mixed(roots: DataFrame) -> DataFrame:
+            """The entries, with their classes, of the lists in which classes meet."""
+            own = index.join(roots.withColumnRenamed("node", "rep"), "rep", "left").withColumn("root", F.coalesce("root", "rep"))
+            lists = own.groupBy("token").agg(F.count("*").alias("size_of_list"), F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1")
+            return own.join(lists.select("token", "size_of_list"), "token")
+
+        # Once more among neighbours, in another order and only across classes: this brings the parts of large classes together.
+        shuffled = mixed(roots).repartition(tasks, "token").sortWithinPartitions("token", F.xxhash64("token", "rep"))
+        met = shuffled.select("token", "rep", "size", "pos", "root").mapInArrow(_borders, "a bigint, b bigint").distinct().join(near, ["a", "b"], "left_anti")
+        met = stored(met, "met", large=False)
+        middle = verify(met, "links")
+        first = first.unionByName(middle)
+        roots = stored(components(first.select("a", "b")), "roots", large=False)
+
+        index = mixed(roots)
         parts = F.ceil(F.col("size_of_list") / LIST_BLOCK).cast("int")
         index = index.withColumn("own", F.pmod(F.xxhash64("rep"), parts).cast("int")).withColumn("with", F.explode(F.sequence(F.lit(0), parts - 1)))
         index = index.select("token", F.least("own", "with").alias("lo"), F.greatest("own", "with").alias("hi"), "rep", "size", "pos", "root", "own")
-        index = index.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "token", "lo", "hi").sortWithinPartitions("token", "lo", "hi")
-        far = index.mapInArrow(_across, "a bigint, b bigint").distinct().join(near, ["a", "b"], "left_anti")
+        index = index.repartition(tasks, "token", "lo", "hi").sortWithinPartitions("token", "lo", "hi")
+        far = index.mapInArrow(_across, "a bigint, b bigint").distinct().join(near.unionByName(met), ["a", "b"], "left_anti")
         second = verify(far, "links")
 
         self.links = first.unionByName(second)
         roots = components(self.links.select("a", "b"))
-        own = sets.join(reps, ["k1", "k2"], "left").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
+        own = sets.drop("bits").join(reps.select("k1", "k2", "rep"), ["k1", "k2"], "left").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
         real = lambda c: F.when(c != F.lit(NO_ID), c)
         self.classes = own.select(real(F.col("_id")).alias("doc_id"), F.col("n").alias("n_shingles"), real(F.coalesce("root", "rep", "_id")).alias("component_id"))
 

@@ -45,10 +45,13 @@ def scan_blobs(blobs: DataFrame, rules: list[tuple[str, str, int, int]] = RULES)
         hit = F.col("_text").rlike(pattern)
         each += [F.when(hit, whole).alias(f"all{no}"), F.when(hit, part).alias(f"part{no}"), F.when(hit, F.split("_text", pattern, -1)).alias(f"gaps{no}")]
     cut = blobs.select("blob", *each)
+
+    def entry(no: int):
+        return lambda m, i: F.struct(F.lit(no).alias("kind_no"), i.alias("nth"), F.length(F.get(f"gaps{no}", i)).alias("gap"), F.length(m).alias("size"), F.length(F.get(f"part{no}", i)).alias("counts"))
+
     rows = []
     for no in range(len(rules)):
-        entry = lambda m, i, no=no: F.struct(F.lit(no).alias("kind_no"), i.alias("nth"), F.length(F.get(f"gaps{no}", i)).alias("gap"), F.length(m).alias("size"), F.length(F.get(f"part{no}", i)).alias("counts"))
-        rows.append(F.coalesce(F.transform(f"all{no}", entry), F.array().cast("array<struct<kind_no:int,nth:int,gap:int,size:int,counts:int>>")))
+        rows.append(F.coalesce(F.transform(f"all{no}", entry(no)), F.array().cast("array<struct<kind_no:int,nth:int,gap:int,size:int,counts:int>>")))
     so_far = Window.partitionBy("blob", "kind_no").orderBy("nth")
     hits = cut.select("blob", F.inline(F.concat(*rows)))
     hits = hits.withColumn("end", F.sum(F.col("gap").cast("long") + F.col("size")).over(so_far))

@@ -105,7 +105,14 @@ def _suffixes(splitters: np.ndarray):
                 context = mix(context + ((p["at"] - p["lo"]) << 16).astype(np.uint64))
                 doc = p["doc"] + row
                 place = ((p["at"] - bounds[p["doc"]]) << 14) | ((p["at"] - p["lo"]) << 7) | (p["hi"] - p["lo"])
-                cols = [np.searchsorted(splitters, _ordered(p["lead"])).astype(np.int32), p["gram"].view(np.int64), context.view(np.int64), ids[doc], th[doc], place]
+                bucket = np.searchsorted(splitters, _ordered(p["lead"])).astype(np.int32)
+                cols = [bucket, p["gram"].view(np.int64), context.view(np.int64), ids[doc], th[doc], place]
+                # Combined before the shuffle: of equal contexts in the block only the first meets the other blocks, the rest
+                # are repeats already.  They are dealt anywhere, marked by a negative place.
+                order = np.lexsort((place, cols[4], cols[3], cols[2], cols[1]))
+                again = order[1:][(cols[1][order[1:]] == cols[1][order[:-1]]) & (cols[2][order[1:]] == cols[2][order[:-1]])]
+                bucket[again] = -1 - (again % 4096 + row) % 4096
+                place[again] = -1 - place[again]
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in cols], names=[f.split(" ")[0] for f in _SUFFIX.split(", ")])
 
     return run
@@ -130,6 +137,14 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not batch.num_rows:
             continue
         cols = [batch.column(c).to_numpy() for c in names]
+        known = cols[4] < 0  # found before the shuffle
+        if known.any():
+            marked = [c[known] for c in cols]
+            marked[4] = -1 - marked[4]
+            yield out(marked, np.arange(len(marked[4])), True)
+            cols = [c[~known] for c in cols]
+            if not len(cols[4]):
+                continue
         before = [np.concatenate([b[:1] if last is None else a, b[:-1]]) for a, b in zip(last or cols, cols, strict=True)]
         same = (cols[0] == before[0]) & (cols[1] == before[1])
         same[0] &= last is not None
