@@ -4,9 +4,9 @@ Vectors are lifted by one coordinate so that the largest inner product is the sm
 ``ROTATIONS`` learned rotations (iterative quantization, fitted on at most ``FIT_ROWS`` rows chosen by id hash).  A code is split
 into 8-bit substrings, each with a table of buckets.  Codes within Hamming distance r of a query agree with it in at least
 one substring up to r // (number of substrings) bits (pigeonhole), so probing those buckets and checking the full distance
-retrieves every code within r.  The radius starts small and grows until it covers the angle of the k-th best vector found,
-with a margin of ``MARGIN`` standard deviations of the code distance at that angle; the retrieved vectors are reranked by exact
-double-precision inner products.
+retrieves every code within r; where the buckets hold most of a shard, all its distances are computed instead.  Rows that share
+substrings (or the nearest codes) give a first k-th best; the radius covers its angle with a margin of ``MARGIN`` standard
+deviations of the code distance at that angle, and all vectors within are reranked by exact double-precision inner products.
 
 All rows are indexed.  They are dealt into shards of bounded size; queries are dealt into blocks, and every block meets every
 shard (a stated query set against all rows); the best k of each shard are merged.
@@ -32,8 +32,7 @@ ROTATIONS = 3
 MARGIN = 2.0
 SHARD_ROWS = 16_384
 QUERY_BLOCK = 512
-POPCOUNT = np.array([bin(i).count("1") for i in range(256)], dtype=np.uint8)
-NEAR = [np.flatnonzero(POPCOUNT <= r) for r in range(9)]  # substring differences of up to r bits
+NEAR = [np.flatnonzero(np.bitwise_count(np.arange(256)) <= r) for r in range(9)]  # substring differences of up to r bits
 
 
 class Coder:
@@ -52,7 +51,7 @@ class Coder:
                 r = (u @ w).T
             self.rotations.append(r)
         bits = x.shape[1] * ROTATIONS
-        self.bits = bits // 8 * 8
+        self.bits = bits // 64 * 64 or 64
 
     def lift(self, x: np.ndarray) -> np.ndarray:
         rest = np.sqrt(np.maximum(self.top - (x * x).sum(axis=1), 0.0))
@@ -62,6 +61,7 @@ class Coder:
         """Bytes of the codes; a query gets a zero as its extra coordinate."""
         x = self.lift(x) if lifted else np.column_stack([x, np.zeros(len(x))])
         signs = np.concatenate([x @ r for r in self.rotations], axis=1)[:, : self.bits] > 0
+        signs = np.pad(signs, ((0, 0), (0, self.bits - signs.shape[1])))
         return np.packbits(signs, axis=1)
 
 
@@ -72,48 +72,54 @@ class Shard:
         self.ids, self.x, self.coder = ids, x, coder
         self.codes = coder.code(x, True)
         self.parts = self.codes.shape[1]
+        self.words = self.codes.view(np.uint64)
         self.order = np.argsort(self.codes, axis=0, kind="stable")
         self.edges = [np.concatenate([[0], np.cumsum(np.bincount(self.codes[:, p], minlength=256))]) for p in range(self.parts)]
 
-    def within(self, code: np.ndarray, radius: int) -> np.ndarray:
-        """Rows whose code is within the radius: buckets by pigeonhole, then the full distance."""
-        each = min(radius // self.parts, 8)
-        buckets = NEAR[each]
+    def probe(self, code: np.ndarray, radius: int) -> np.ndarray | None:
+        """Rows of the buckets that codes within the radius can lie in (pigeonhole); None if that is most of the shard."""
+        buckets = NEAR[min(radius // self.parts, 8)]
         held = sum(int((e[1:] - e[:-1])[buckets ^ c].sum()) for e, c in zip(self.edges, code.tolist(), strict=True))
-        if held >= 2 * len(self.ids):  # the buckets hold most rows: checking all distances reads less than merging them
-            rows = np.arange(len(self.ids))
-        else:
-            found = np.zeros(len(self.ids), dtype=bool)
-            for p, c in enumerate(code.tolist()):
-                e = self.edges[p]
-                for b in (buckets ^ c).tolist():
-                    if e[b + 1] > e[b]:
-                        found[self.order[e[b] : e[b + 1], p]] = True
-            rows = np.flatnonzero(found)
-        far = POPCOUNT[self.codes[rows] ^ code].sum(axis=1, dtype=np.int64)
-        return rows[far <= radius]
+        if 2 * held >= len(self.ids):
+            return None
+        found = [self.order[e[b] : e[b + 1], p] for p, (e, c) in enumerate(zip(self.edges, code.tolist(), strict=True)) for b in (buckets ^ c).tolist() if e[b + 1] > e[b]]
+        return np.unique(np.concatenate(found)) if found else np.zeros(0, dtype=np.int64)
+
+    def distance(self, code: np.ndarray, rows: np.ndarray | None) -> np.ndarray:
+        """Hamming distances of the given rows, or of all."""
+        held = self.words if rows is None else self.words[rows]
+        return np.bitwise_count(held ^ code.view(np.uint64)).sum(axis=1, dtype=np.int64)
 
     def search(self, query_id: int, q: np.ndarray, code: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids and scores of the k best found, best first."""
         bits = self.coder.bits
         scale = np.sqrt((q * q).sum() * self.coder.top)
-        radius, done = bits // 8, np.zeros(0, dtype=np.int64)
-        while True:
-            rows = self.within(code, radius)
+
+        def best(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             rows = rows[self.ids[rows] != query_id]
             scores = (self.x[rows] * q).sum(axis=1)
-            best = np.lexsort((self.ids[rows], -scores))[:k]
-            if radius >= bits:
-                break
-            if len(best) == k:
-                share = np.arccos(np.clip(scores[best[-1]] / scale, -1.0, 1.0)) / np.pi
-                need = share * bits + MARGIN * np.sqrt(bits * share * (1 - share))
-                if radius >= need:
-                    break
-                radius = min(int(np.ceil(need)), max(radius + 1, radius + bits // 16), bits)
-            else:
-                radius = min(radius + bits // 16, bits)
-        return self.ids[rows[best]], scores[best]
+            top = np.lexsort((self.ids[rows], -scores))[:k]
+            return rows[top], scores[top]
+
+        # The rows that share whole substrings, or else those of the nearest codes, give a first bound on the angle.
+        near = self.probe(code, self.parts - 1)
+        far = None
+        if near is None or len(near) <= k:
+            far = self.distance(code, None)
+            near = np.argpartition(far, 4 * k)[: 4 * k] if len(far) > 4 * k else np.arange(len(far))
+        rows, scores = best(near)
+        if len(rows) < k:
+            return self._out(best(np.arange(len(self.ids))))
+        share = np.arccos(np.clip(scores[-1] / scale, -1.0, 1.0)) / np.pi
+        radius = min(int(np.ceil(share * bits + MARGIN * np.sqrt(bits * share * (1 - share)))), bits)
+        held = self.probe(code, radius) if far is None else None
+        if far is None:
+            far = self.distance(code, held)
+        within = np.flatnonzero(far <= radius)
+        return self._out(best(within if held is None else held[within]))
+
+    def _out(self, found: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        return self.ids[found[0]], found[1]
 
 
 def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:

@@ -60,8 +60,8 @@ def _key(own: np.ndarray) -> tuple[int, int]:
 
 
 def parity_map(own: np.ndarray) -> bytes:
-    """Bit i tells whether an odd number of shingles hash to i; as many bits as the next power of two from the set's size."""
-    bits = 1 << max(6, int(len(own) - 1).bit_length()) if len(own) else 64
+    """Bit i tells whether an odd number of shingles hash to i; as many bits as the next power of two from the set's size, 512 at least."""
+    bits = 1 << max(9, len(own).bit_length())
     odd = np.bincount((own & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
@@ -75,6 +75,11 @@ def least_difference(x: bytes, y: bytes) -> int:
     return int(np.bitwise_count(a ^ b).sum())
 
 
+def _folded(bits: bytes) -> bytes:
+    """The map folded to 512 bits."""
+    return np.bitwise_xor.reduce(np.frombuffer(bits, dtype=np.uint8).reshape(-1, 64), axis=0).tobytes()
+
+
 def _unlike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Drops candidate pairs whose parity maps differ in more bits than linked sets can."""
     for batch in batches:
@@ -95,7 +100,7 @@ def _trim(token: np.ndarray, n: np.ndarray, limit: int) -> tuple[np.ndarray, np.
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Size and digest of every set; at the end of the task, its frequent shingles."""
-    names = ["_id", "n", "k1", "k2", "bits", "token", "hits"]
+    names = ["_id", "n", "k1", "k2", "bits", "fold", "token", "hits"]
     seen, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
     for batch in batches:
         sizes, keys, maps = [], [], []
@@ -110,10 +115,10 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             counts = np.bincount(at, weights=np.concatenate([counts, n]), minlength=len(both)).astype(np.int64)
             seen, counts = _trim(both, counts, FREQUENT)
         none = pa.nulls(len(sizes), pa.int64())
-        yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(sizes, pa.int64()), pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()), pa.array(maps, pa.binary()), none, none], names=names)
+        yield pa.RecordBatch.from_arrays([batch.column("_id"), pa.array(sizes, pa.int64()), pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()), pa.array(maps, pa.binary()), pa.array([_folded(m) for m in maps], pa.binary()), none, none], names=names)
     if len(seen):
         none = pa.nulls(len(seen), pa.int64())
-        yield pa.RecordBatch.from_arrays([none, none, none, none, pa.nulls(len(seen), pa.binary()), pa.array(seen.view(np.int64)), pa.array(counts)], names=names)
+        yield pa.RecordBatch.from_arrays([none, none, none, none, pa.nulls(len(seen), pa.binary()), pa.nulls(len(seen), pa.binary()), pa.array(seen.view(np.int64)), pa.array(counts)], names=names)
 
 
 def _prefix_size(n: int) -> int:
@@ -240,9 +245,9 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     cols = ["token", "lo", "hi", "rep", "size", "pos", "root", "own"]
 
     def search(group: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        _, lo, hi, rep, size, pos, root, own = group
+        _, lo, hi, rep, size, pos, root, own, fold = group
         order = np.lexsort((pos, size))
-        rep, size, pos, root, own = (x[order] for x in (rep, size, pos, root, own))
+        rep, size, pos, root, own, fold = (x[order] for x in (rep, size, pos, root, own, fold))
         split = lo[0] != hi[0]
         step = 256
         blocks = [(s, min(s + step, len(rep))) for s in range(0, len(rep), step)]
@@ -262,6 +267,9 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 a, b = a[ok], b[ok]
                 ok = _may_link(size[a], pos[a], size[b], pos[b])
                 a, b = a[ok], b[ok]
+                apart = np.bitwise_count(fold[a] ^ fold[b]).sum(axis=1, dtype=np.int64)
+                ok = apart <= size[a] + size[b] - 2 * _least_overlap(size[a], size[b])
+                a, b = a[ok], b[ok]
                 if len(a):
                     yield np.minimum(rep[a], rep[b]), np.maximum(rep[a], rep[b])
 
@@ -273,6 +281,7 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not batch.num_rows:
             continue
         now = [batch.column(c).to_numpy() for c in cols]
+        now.append(np.frombuffer(b"".join(batch.column("fold").to_pylist()), dtype=np.uint64).reshape(-1, 8))
         if held is not None:
             now = [np.concatenate([a, b]) for a, b in zip(held, now, strict=True)]
         change = np.flatnonzero((now[0][1:] != now[0][:-1]) | (now[1][1:] != now[1][:-1]) | (now[2][1:] != now[2][:-1])) + 1
@@ -310,8 +319,8 @@ class JaccardJoin:
         spark = docs.sparkSession
         tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
         plain = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-        scan = stored(plain.mapInArrow(_scan, "_id bigint, n bigint, k1 bigint, k2 bigint, bits binary, token bigint, hits bigint"), "sets")
-        sets = scan.filter("k1 is not null").select("_id", "n", "k1", "k2", "bits")
+        scan = stored(plain.mapInArrow(_scan, "_id bigint, n bigint, k1 bigint, k2 bigint, bits binary, fold binary, token bigint, hits bigint"), "sets")
+        sets = scan.filter("k1 is not null").select("_id", "n", "k1", "k2", "bits", "fold")
         top = scan.filter("token is not null").groupBy("token").agg(F.sum("hits").alias("hits")).filter(F.col("hits") >= LEAST_FREQUENT)
         top = top.orderBy(F.desc("hits"), "token").limit(FREQUENT).toArrow()  # at most FREQUENT rows of 16 bytes
         token = top.column("token").to_numpy().view(np.uint64)
@@ -319,8 +328,8 @@ class JaccardJoin:
         frequent, rank = token[order], top.column("hits").to_numpy()[order]
         self.frequent, self.rank = frequent, rank
 
-        reps = sets.filter("n > 0").groupBy("k1", "k2").agg(F.min(F.struct("_id", "n", "bits")).alias("least"))
-        reps = stored(reps.select("k1", "k2", F.col("least._id").alias("rep"), "least.n", "least.bits"), "reps", large=False)
+        reps = sets.filter("n > 0").groupBy("k1", "k2").agg(F.min(F.struct("_id", "n", "bits", "fold")).alias("least"))
+        reps = stored(reps.select("k1", "k2", F.col("least._id").alias("rep"), "least.n", "least.bits", "least.fold"), "reps", large=False)
         rep_texts = plain.join(reps.select(F.col("rep").alias("_id"), "k1", "k2"), "_id")
         postings = rep_texts.select("_id", "_text", "k1", "k2").mapInArrow(_postings(frequent, rank), "token bigint, rep bigint, size int, pos int")
         lists = postings.repartition(tasks, "token").sortWithinPartitions("token", "size", "rep")
@@ -359,17 +368,17 @@ class JaccardJoin:
         first = first.unionByName(middle)
         roots = stored(components(first.select("a", "b")), "roots", large=False)
 
-        index = mixed(roots)
+        index = mixed(roots).join(reps.select("rep", "fold"), "rep")
         parts = F.ceil(F.col("size_of_list") / LIST_BLOCK).cast("int")
         index = index.withColumn("own", F.pmod(F.xxhash64("rep"), parts).cast("int")).withColumn("with", F.explode(F.sequence(F.lit(0), parts - 1)))
-        index = index.select("token", F.least("own", "with").alias("lo"), F.greatest("own", "with").alias("hi"), "rep", "size", "pos", "root", "own")
+        index = index.select("token", F.least("own", "with").alias("lo"), F.greatest("own", "with").alias("hi"), "rep", "size", "pos", "root", "own", "fold")
         index = index.repartition(tasks, "token", "lo", "hi").sortWithinPartitions("token", "lo", "hi")
         far = index.mapInArrow(_across, "a bigint, b bigint").distinct().join(near.unionByName(met), ["a", "b"], "left_anti")
         second = verify(far, "links")
 
         self.links = first.unionByName(second)
         roots = components(self.links.select("a", "b"))
-        own = sets.drop("bits").join(reps.select("k1", "k2", "rep"), ["k1", "k2"], "left").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
+        own = sets.drop("bits", "fold").join(reps.select("k1", "k2", "rep"), ["k1", "k2"], "left").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
         real = lambda c: F.when(c != F.lit(NO_ID), c)
         self.classes = own.select(real(F.col("_id")).alias("doc_id"), F.col("n").alias("n_shingles"), real(F.coalesce("root", "rep", "_id")).alias("component_id"))
 

@@ -48,6 +48,9 @@ DISGUISED = re.compile(
     re.IGNORECASE,
 )
 
+#: A cheap test of a whole text: a sign or mark before a letter, a letter three times in a row, or lone characters in a row.
+SUSPECT = re.compile(rf"[{SIGNS}\-._*~'](?=[^\W\d_])|([^\W\d_])\1\1|(?<!\S)[^\W_] [^\W_] [^\W_] [^\W_]", re.IGNORECASE)
+
 _CLASS = np.full(256, EDGE, dtype=np.int64)
 _CLASS[128:] = OTHER
 _CLASS[65:91] = _CLASS[97:123] = np.arange(26)
@@ -131,6 +134,8 @@ class Channel:
         return self.memory[word]
 
     def restore_text(self, text: str) -> str:
+        if not SUSPECT.search(text):
+            return text
         return DISGUISED.sub(lambda m: self.restore(m.group(0)), text)
 
 
