@@ -70,8 +70,8 @@ def main() -> None:
     from pitspark.plans.research import Research
     from pitspark.session import checkpoint_dir, local_session
 
-    spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "8")), app="pitspark-bench")
-    base = checkpoint_dir(spark, fallback=tempfile.mkdtemp(prefix="pitspark-bench-"))
+    spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "8")), app="pitspark-bench", checkpoints=tempfile.mkdtemp(prefix="pitspark-bench-"))
+    base = checkpoint_dir(spark)
     key = (spark.sparkContext.applicationId, os.path.realpath(sf_dir))
 
     def one_run(tag: str) -> tuple[float, dict[str, float]]:

@@ -108,7 +108,7 @@ CTES: list[tuple[str, str]] = [
     ("g_div_first", """
         SELECT k, CAST(floor(dno / 365) AS BIGINT) AS m, min(d) AS first_day
         FROM g_groups
-        WHERE CAST(floor(dno / 365) AS BIGINT) BETWEEN 1 AND 6 AND k % 5 <> 4
+        WHERE CAST(floor(dno / 365) AS BIGINT) >= 1 AND k % 5 <> 4
         GROUP BY 1, 2"""),
     ("g_div_ex", """
         SELECT *, CASE WHEN k % 5 = 0 THEN b WHEN k % 5 = 1 THEN first_day

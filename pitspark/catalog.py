@@ -8,7 +8,6 @@ the public form of every dataset.
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -29,8 +28,7 @@ def research_for(spark: SparkSession, sf_dir: str) -> Research:
     """One research build per (Spark application, input folder).
 
     Reused tables are stored under the session's checkpoint folder
-    (``spark.checkpoint.dir``; a scratch folder only when none is set, as in
-    local runs), so every query of the session scans them instead of
+    (``spark.checkpoint.dir``, which must be set), so every query of the session scans them instead of
     re-deriving the chain.  ``PITSPARK_STORE=0`` keeps everything lazy.
     """
     key = (spark.sparkContext.applicationId, os.path.realpath(sf_dir))
@@ -38,7 +36,7 @@ def research_for(spark: SparkSession, sf_dir: str) -> Research:
     if build is None:
         store = None
         if os.environ.get("PITSPARK_STORE", "1") != "0":
-            base = checkpoint_dir(spark, fallback=tempfile.mkdtemp(prefix="pitspark-"))
+            base = checkpoint_dir(spark)
             store = f"{base.rstrip('/')}/research-{uuid.uuid4().hex[:12]}"
         build = Research.from_driver(spark, sf_dir, store=store)
         _BUILDS[key] = build
@@ -582,7 +580,7 @@ def _stream_upsert(r: Research) -> DataFrame:
     from .streaming.ingest import month_partition, start_keyed_ingest
 
     spark = r.spark
-    base_dir = r.store or checkpoint_dir(spark, fallback=tempfile.mkdtemp(prefix="pitspark-"))
+    base_dir = r.store or checkpoint_dir(spark)
     root = f"{base_dir.rstrip('/')}/stream-{uuid.uuid4().hex[:12]}"
     target, landing = f"{root}/target", f"{root}/landing"
     month_partition(r.src("raw_kline_unadj").select(*KLINE)).write.partitionBy("ym").parquet(target)
@@ -659,7 +657,7 @@ def adjudication_candidates(official: DataFrame) -> DataFrame:
     confirmation (supported, not extending), 4 a backfill overlapping the
     previous interval (rejected)."""
     o = official.where(F.col("industry_schema") == "sw2021_l1")
-    d = F.substring("security_id", 1, 6).cast("int") % 5
+    d = F.regexp_extract("security_id", "^[0-9]+", 0).cast("bigint") % 5
     day = F.expr("INTERVAL 1 DAY")
     end = F.col("effective_at")
     kind = (F.when(d == 0, F.lit("external_left_edge_backfill")).when(d == 1, F.lit("external_left_edge_backfill"))
@@ -690,7 +688,7 @@ def _export_csv(r: Research) -> DataFrame:
     """The normalized bars written as CSV with a header and read back."""
     from .sources import sinks as _sinks
 
-    base = r.store or checkpoint_dir(r.spark, fallback=tempfile.mkdtemp(prefix="pitspark-"))
+    base = r.store or checkpoint_dir(r.spark)
     path = f"{base.rstrip('/')}/export-{uuid.uuid4().hex[:12]}/stock_bar_normalized_daily"
     bars = r.stock_bar_normalized_daily
     _sinks.export_table(bars, path, "csv")

@@ -25,7 +25,7 @@ def upsert_replace(target: DataFrame, batch: DataFrame, keys: Sequence[str]) ->
     """Rows of ``target`` whose key appears in ``batch`` are replaced by the
     whole batch.  Duplicates inside the batch are all kept; a NULL key never
     matches (plain equality), so such rows are simply appended."""
-    batch_keys = batch.select(*keys).where(_all_not_null(keys)).distinct()
+    batch_keys = batch.select(*keys).where(_all_not_null(keys))
     kept = target.join(batch_keys, list(keys), "left_anti")
     return kept.unionByName(batch.select(*target.columns))
 

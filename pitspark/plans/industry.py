@@ -295,14 +295,16 @@ def official_industry_rows(ledger: DataFrame, codes: DataFrame, sheet: DataFrame
             F.struct(F.lit("quarantined_placeholder_rows").alias("counter"), F.lit("").alias("level"), F.col("placeholder").alias("value")),
             F.struct(F.lit("quarantined_pre_window_rows").alias("counter"), F.lit("").alias("level"), F.col("pre_window").alias("value")),
         )).alias("_c")).select("_c.*")
-    per_level = (
-        window_rows.where(F.col("level_code") == "").groupBy("level").agg(F.count(F.lit(1)).alias("value"))
-        .select(F.lit("quarantined_unresolved_rows").alias("counter"), "level", "value")
-        .unionByName(carry.groupBy("level").agg(F.count(F.lit(1)).alias("value"))
-                     .select(F.lit("window_carry_forward_rows").alias("counter"), "level", "value"))
-        .unionByName(backfill.groupBy("level").agg(F.count(F.lit(1)).alias("value"))
-                     .select(F.lit("snapshot_backfill_rows").alias("counter"), "level", "value"))
+    counted = (
+        window_rows.where(F.col("level_code") == "").select(F.lit("quarantined_unresolved_rows").alias("counter"), "level")
+        .unionByName(carry.select(F.lit("window_carry_forward_rows").alias("counter"), "level"))
+        .unionByName(backfill.select(F.lit("snapshot_backfill_rows").alias("counter"), "level"))
+        .groupBy("counter", "level").agg(F.count(F.lit(1)).alias("value"))
     )
+    # Every counter reports every level, zeros included: a fixed grid of counters x levels.
+    names = ("quarantined_unresolved_rows", "window_carry_forward_rows", "snapshot_backfill_rows")
+    grid = one.select(F.explode(F.array(*(F.struct(F.lit(n).alias("counter"), F.lit(lv).alias("level")) for n in names for lv in params.levels))).alias("_g")).select("_g.*")
+    per_level = grid.join(counted, ["counter", "level"], "left").select("counter", "level", F.coalesce("value", F.lit(0)).cast("bigint").alias("value"))
     return OfficialImport(cut_lineage(closed.select("security_id", "industry_schema", "industry_code", "effective_at", "removed_at")),
                           counters.unionByName(per_level))
 

@@ -373,7 +373,7 @@ def jump_examples(unres: DataFrame, dividends: DataFrame, suspend: DataFrame | N
         magnitude_bucket(F.abs(F.col("factor_ratio") - 1.0)).alias("magnitude_bucket"),
         "dividend_proximity_bucket", "nearest_implemented_dividend_ex_date",
         F.col("nearest_implemented_dividend_days").cast("bigint").alias("nearest_implemented_dividend_days"),
-        "has_suspend_window", "factor_pre_close_basis_diff", "triage_class",
+        "has_suspend_window", F.round("factor_pre_close_basis_diff", 12).alias("factor_pre_close_basis_diff"), "triage_class",
         F.lit(RECOMMENDED_ACTION).alias("recommended_action"),
     )
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 # SQL settings that change results or plans; applied to every session we touch.
@@ -25,8 +26,6 @@ SQL_SETTINGS = {
     # alone, so the bar spine, its per-security windows and the security-keyed
     # lookups share one exchange per input.
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
-    # Write dynamic partitions instead of truncating whole tables (keyed replace).
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -36,8 +35,11 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "pitspark") -> SparkSession:
-    """Local session for tests and the benchmark (UI off, no ports beyond Spark's own)."""
+def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "pitspark", checkpoints: str | None = None) -> SparkSession:
+    """Local session for tests and the benchmark (UI off, no ports beyond Spark's own).
+
+    ``checkpoints`` names its checkpoint folder where the Spark configuration names none.
+    """
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
@@ -52,25 +54,22 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         builder = builder.config("spark.driver.extraJavaOptions", java_opts)
     for key, value in SQL_SETTINGS.items():
         builder = builder.config(key, value)
+    if checkpoints and not SparkConf().contains("spark.checkpoint.dir"):
+        builder = builder.config("spark.checkpoint.dir", checkpoints)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return configure(spark)
 
 
-def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``, which the driver and all executors share.
 
-    Only when the session names none (tests, local runs) is ``fallback`` set as
-    the checkpoint folder; on a cluster the configured shared folder is used.
+    There is no fallback: a folder of one machine would lose the other executors' files.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if configured:
-        return configured
-    if fallback is None:
-        raise RuntimeError("spark.checkpoint.dir is not set and no fallback folder was given")
-    spark.sparkContext.setCheckpointDir(fallback)
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    if not configured:
+        raise RuntimeError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share")
+    return configured
 
 
 def cut_lineage(df):
@@ -80,7 +79,5 @@ def cut_lineage(df):
     branches then scan the checkpoint files instead of re-running the shared
     subtree, and a lost executor recomputes from those files.
     """
-    import tempfile
-
-    checkpoint_dir(df.sparkSession, fallback=tempfile.mkdtemp(prefix="pitspark-ckpt-"))
+    checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)

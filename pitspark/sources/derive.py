@@ -262,7 +262,7 @@ class DriverTables:
     def raw_dividend(self) -> DataFrame:
         """Dividend events around the factor steps (see module doc)."""
         g = self.bars.select("k", "d", "dno", (F.floor(F.col("dno") / 365)).alias("m")).where(
-            (F.col("m") >= 1) & (F.col("m") <= 6) & (_k() % 5 != 4)
+            (F.col("m") >= 1) & (_k() % 5 != 4)
         )
         per = g.groupBy("k", "m").agg(F.min("d").alias("first_day"))
         k, m = _k(), F.col("m")

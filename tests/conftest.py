@@ -9,10 +9,9 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 @pytest.fixture(scope="session")
 def spark():
-    from pitspark.session import checkpoint_dir, local_session
+    from pitspark.session import local_session
 
-    s = local_session(4, shuffle_partitions=4, app="pitspark-tests")
-    checkpoint_dir(s, fallback=tempfile.mkdtemp(prefix="pitspark-test-ckpt-"))
+    s = local_session(4, shuffle_partitions=4, app="pitspark-tests", checkpoints=tempfile.mkdtemp(prefix="pitspark-test-ckpt-"))
     yield s
     s.stop()
 
