@@ -19,7 +19,7 @@ from pitspark.llm.toxicity import judge
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not hold for toxic."""
-    return judge(docs, table(spark, sf_dir, "labels")).filter("score < 0.5").select(*docs.columns)
+    return judge(docs, table(spark, sf_dir, "labels"), restored=False).filter("score < 0.5").select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -159,7 +159,7 @@ class TrieBpe:
                 i -= size[i]
             out[word] = ids[::-1]
             before = word
-        if len(fits) > 4 * CACHE_WORDS:
+        if len(fits) > CACHE_WORDS:
             fits.clear()
         return out
 

@@ -197,26 +197,27 @@ def fit(texts: list[str], labels: np.ndarray) -> Judge:
     if not n_pos or n_pos == n:
         return Judge(np.zeros(0, np.uint64), np.zeros(0), [])
     base = n_pos / n
-    blocks = []
-    for at in range(0, n, 200):
-        f, d = _features(*_join_texts(texts[at : at + 200]))
+
+    def distinct(some: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        f, d = _features(*_join_texts(some))
         order = np.lexsort((f, d))
         f, d = f[order], d[order]
         first = np.ones(len(f), dtype=bool)
         first[1:] = (f[1:] != f[:-1]) | (d[1:] != d[:-1])
-        blocks.append((f[first], (d[first] + at).astype(np.int32)))
-    # Only features of toxic documents can speak for toxicity.
-    toxic = [f[labels[d] == 1] for f, d in blocks]
-    known, pos = np.unique(np.concatenate(toxic), return_counts=True)
+        return f[first], d[first]
+
+    # Only features of toxic documents can speak for toxicity; the others are never kept.
+    toxic = [t for t, y in zip(texts, labels, strict=True) if y]
+    known, pos = np.unique(np.concatenate([distinct(toxic[at : at + 200])[0] for at in range(0, len(toxic), 200)]), return_counts=True)
     known, pos = known[pos >= 3], pos[pos >= 3].astype(float)
     neg = np.zeros(len(known))
     hits = []
-    for f, d in blocks:
-        at = np.minimum(np.searchsorted(known, f), max(len(known) - 1, 0))
-        hit = known[at] == f if len(known) else np.zeros(len(f), dtype=bool)
-        hits.append((at[hit], d[hit]))
-        np.add.at(neg, at[hit][labels[d[hit]] == 0], 1)
-    del blocks, toxic
+    for at in range(0, n, 200):
+        f, d = distinct(texts[at : at + 200])
+        place = np.minimum(np.searchsorted(known, f), max(len(known) - 1, 0))
+        hit = known[place] == f if len(known) else np.zeros(len(f), dtype=bool)
+        hits.append((place[hit].astype(np.int32), (d[hit] + at).astype(np.int32)))
+        np.add.at(neg, hits[-1][0][labels[hits[-1][1]] == 0], 1)
     precision = lambda p, q: (p + PRIOR * base) / (p + q + PRIOR)
     logit = lambda p: np.log(p / (1 - p))
     strong = np.flatnonzero(precision(pos, neg) >= STRONG)
@@ -266,28 +267,31 @@ def fit_judge(docs: DataFrame, labels: DataFrame, channel: Channel, rows: int =
     return Judge(np.frombuffer(got[0].known, dtype=np.uint64), np.frombuffer(got[0].weight), list(got[0].curve))
 
 
-def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
-    """The documents with ``restored`` (text without disguise) and ``score`` (0 to 1)."""
+def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", restored: bool = True) -> DataFrame:
+    """The documents with ``score`` (0 to 1) and, if asked for, ``restored`` (text without disguise)."""
     plain = id_text(docs, id_col, text_col)
     marks = labels.select(F.col(id_col).cast("long").alias("_id"), F.col(label_col).cast("int").alias("_label")).filter("_id is not null and _label in (0, 1)")
     channel = Channel(trigram_counts(plain))
     model = fit_judge(plain, marks, channel)
     at = docs.columns
+    text_at = at.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [channel.restore_text(t or "") for t in batch.column("_text").to_pylist()]
-            cols = [batch.column(k) for k in range(len(at))]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(texts, pa.string()), pa.array(model.score(texts), pa.float64())], names=[*(f"_c{k}" for k in range(len(at))), "_restored", "_score"])
+        for whole in batches:
+            for start in range(0, whole.num_rows, 500):
+                batch = whole.slice(start, 500)
+                texts = [channel.restore_text(t or "") for t in batch.column(text_at).to_pylist()]
+                more = [pa.array(texts, pa.string())] * restored + [pa.array(model.score(texts), pa.float64())]
+                yield pa.RecordBatch.from_arrays([*batch.columns, *more], names=[*batch.schema.names, *["_restored"] * restored, "_score"])
 
-    renamed = docs.select(*(F.col(c).alias(f"_c{k}") for k, c in enumerate(at)), F.col(text_col).alias("_text"))
-    kinds = ", ".join(f"{c} {t}" for c, t in renamed.drop("_text").dtypes)
-    out = renamed.mapInArrow(run, f"{kinds}, _restored string, _score double")
-    return out.select(*(F.col(f"_c{k}").alias(c) for k, c in enumerate(at)), F.col("_restored").alias("restored"), F.col("_score").alias("score"))
+    renamed = docs.select(*(F.col(c).alias(f"_c{k}") for k, c in enumerate(at)))
+    kinds = ", ".join([f"{c} {t}" for c, t in renamed.dtypes] + ["_restored string"] * restored + ["_score double"])
+    out = renamed.mapInArrow(run, kinds)
+    return out.select(*(F.col(f"_c{k}").alias(c) for k, c in enumerate(at)), *[F.col("_restored").alias("restored")] * restored, F.col("_score").alias("score"))
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with the score of their restored text."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = judge(docs, table(spark, sf_dir, "labels"))
+    out = judge(docs, table(spark, sf_dir, "labels"), restored=False)
     return out.select("doc_id", held_out("doc_id", 5).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
