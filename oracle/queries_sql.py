@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .events_sql import PROXIMITY, TRIAGE, TRIAGE_ORDER, first_that_holds, place_in
 from .pipeline_sql import K, TSX
 
 QUERIES: dict[str, str] = {
@@ -59,23 +60,12 @@ QUERIES: dict[str, str] = {
         SELECT security_id, {K('previous_trade_date')} AS previous_trade_date, {K('trade_date')} AS trade_date, factor_ratio
         FROM unres_vs_actions""",
     "explained_flag": f"""
-        SELECT j.security_id, {K('j.trade_date')} AS trade_date,
-               EXISTS (SELECT 1 FROM ledger c WHERE c.security_id = j.security_id AND (
-                   (c.ex_date IS NOT NULL AND c.ex_date > j.previous_trade_date AND c.ex_date <= j.trade_date)
-                OR (c.book_date IS NOT NULL AND c.book_date > j.previous_trade_date AND c.book_date <= j.trade_date)))
-                   AS has_explaining_corporate_action
-        FROM sig_jumps j""",
+        SELECT security_id, {K('trade_date')} AS trade_date, has_explaining_corporate_action FROM jump_facts""",
     "nearest_dividend": f"""
-        SELECT j.security_id, {K('j.trade_date')} AS trade_date,
-               (SELECT min(abs(date_diff('day', r.ex_date, j.trade_date))) FROM dividend r
-                 WHERE r.ts_code = j.security_id AND r.div_proc = '实施' AND r.ex_date IS NOT NULL)
-                   AS nearest_implemented_dividend_days
-        FROM sig_jumps j""",
+        SELECT security_id, {K('trade_date')} AS trade_date, nearest_days AS nearest_implemented_dividend_days FROM jump_facts""",
     "suspend_in_window": f"""
-        SELECT j.security_id, {K('j.previous_trade_date')} AS previous_trade_date, {K('j.trade_date')} AS trade_date,
-               EXISTS (SELECT 1 FROM suspend s WHERE s.ts_code = j.security_id AND s.trade_date > j.previous_trade_date
-                       AND s.trade_date <= j.trade_date) AS has_suspend_window
-        FROM sig_jumps j""",
+        SELECT security_id, {K('previous_trade_date')} AS previous_trade_date, {K('trade_date')} AS trade_date, has_suspend_window
+        FROM jump_facts""",
     "inferred_repairs": f"""
         SELECT * REPLACE ({K('record_date')} AS record_date, {K('book_date')} AS book_date, {K('ex_date')} AS ex_date)
         FROM inferred_repairs""",
@@ -130,66 +120,47 @@ QUERIES.update({
         SELECT 'max_missing_limit', CAST(missing_limit_count AS DOUBLE), CAST(1000 AS DOUBLE),
                CASE WHEN missing_limit_count > 1000 THEN 'failure' ELSE 'pass' END FROM issue_counts""",
     "jump_totals": """
-        SELECT count(*) AS total_rows, count(*) FILTER (WHERE has_explaining_corporate_action) AS explained_rows,
-               count(*) FILTER (WHERE NOT has_explaining_corporate_action) AS unresolved_rows
-        FROM q_classified""",
+        SELECT explained_rows + unresolved_rows AS total_rows, explained_rows, unresolved_rows
+        FROM (SELECT count_if(has_explaining_corporate_action)::BIGINT AS explained_rows,
+                     count_if(NOT has_explaining_corporate_action)::BIGINT AS unresolved_rows FROM jump_facts)""",
     "jump_years": f"""
         SELECT strftime(trade_date, '%Y') AS year, count(*) AS rows, count(DISTINCT security_id) AS securities,
                {K('min(trade_date)')} AS earliest_date, {K('max(trade_date)')} AS latest_date
         FROM q_unresolved GROUP BY 1""",
     "magnitude_summary": """
-        SELECT CASE WHEN abs(factor_ratio - 1.0) <= 0.005 THEN '<=50bp' WHEN abs(factor_ratio - 1.0) <= 0.02 THEN '<=2pct'
-                    WHEN abs(factor_ratio - 1.0) <= 0.10 THEN '<=10pct' ELSE '>10pct' END AS bucket,
-               count(*) AS rows, count(DISTINCT security_id) AS securities,
-               CAST(min(CASE WHEN abs(factor_ratio - 1.0) <= 0.005 THEN 1 WHEN abs(factor_ratio - 1.0) <= 0.02 THEN 2
-                        WHEN abs(factor_ratio - 1.0) <= 0.10 THEN 3 ELSE 4 END) AS BIGINT) AS bucket_order
-        FROM q_unresolved GROUP BY 1""",
+        SELECT bucket, count(*) AS rows, count(DISTINCT security_id) AS securities, CAST(any_value(place) AS BIGINT) AS bucket_order
+        FROM q_unresolved JOIN size_bands USING (bucket) GROUP BY 1""",
     "top_securities": f"""
         SELECT security_id, count(*) AS rows, {K('min(trade_date)')} AS earliest_date, {K('max(trade_date)')} AS latest_date,
                min(factor_ratio) AS min_factor_ratio, max(factor_ratio) AS max_factor_ratio
         FROM q_unresolved GROUP BY 1 ORDER BY rows DESC, security_id LIMIT 30""",
-    "dividend_proximity": """
+    "dividend_proximity": f"""
         SELECT dividend_proximity_bucket AS bucket, count(*) AS rows, count(DISTINCT security_id) AS securities,
-               CAST(min(CASE dividend_proximity_bucket WHEN 'same_date_implemented' THEN 1
-                    WHEN 'same_date_nonimplemented_only' THEN 2 WHEN 'implemented_within_5d' THEN 3
-                    WHEN 'implemented_within_30d' THEN 4 WHEN 'no_implemented_within_30d' THEN 5 ELSE 6 END) AS BIGINT) AS bucket_order
+               {place_in(PROXIMITY, 'dividend_proximity_bucket')} AS bucket_order
         FROM q_ctx GROUP BY 1""",
-    "triage_summary": """
+    "triage_summary": f"""
         SELECT triage_class, count(*) AS rows, count(DISTINCT security_id) AS securities,
-               CAST(min(CASE triage_class WHEN 'implemented_dividend_outside_factor_window' THEN 1
-                    WHEN 'nonimplemented_dividend_same_date' THEN 2 WHEN 'daily_pre_close_ex_right_without_ledger' THEN 3
-                    WHEN 'low_materiality_provider_factor_noise' THEN 4
-                    WHEN 'provider_factor_jump_without_event_evidence' THEN 5 ELSE 6 END) AS BIGINT) AS triage_order
+               {place_in(TRIAGE_ORDER, 'triage_class')} AS triage_order
         FROM q_ctx GROUP BY 1""",
-    "triage_no_dividend": """
+    "triage_no_dividend": f"""
         SELECT triage_class, count(*) AS rows, count(DISTINCT security_id) AS securities,
-               CAST(min(CASE triage_class WHEN 'implemented_dividend_outside_factor_window' THEN 1
-                    WHEN 'nonimplemented_dividend_same_date' THEN 2 WHEN 'daily_pre_close_ex_right_without_ledger' THEN 3
-                    WHEN 'low_materiality_provider_factor_noise' THEN 4
-                    WHEN 'provider_factor_jump_without_event_evidence' THEN 5 ELSE 6 END) AS BIGINT) AS triage_order
-        FROM (SELECT security_id,
-                     CASE WHEN abs(factor_ratio / NULLIF(previous_close / NULLIF(pre_close, 0.0), 0.0) - 1.0) <= 0.001
-                          THEN 'daily_pre_close_ex_right_without_ledger'
-                          WHEN abs(factor_ratio - 1.0) <= 0.005 THEN 'low_materiality_provider_factor_noise'
-                          ELSE 'raw_dividend_missing' END AS triage_class
+               {place_in(TRIAGE_ORDER, 'triage_class')} AS triage_order
+        FROM (SELECT security_id, {first_that_holds([*TRIAGE[2:4], 'raw_dividend_missing'], ['factor_pre_close_basis_diff <= CAST(0.001 AS DOUBLE)', "severity = 'low'"])} AS triage_class
               FROM q_unresolved)
         GROUP BY 1""",
     "nearest_dividend_row": f"""
-        SELECT u.security_id, {K('u.trade_date')} AS trade_date,
-               {K('n.nearest_implemented_dividend_ex_date')} AS nearest_implemented_dividend_ex_date,
-               CAST(n.nearest_implemented_dividend_days AS BIGINT) AS nearest_implemented_dividend_days
-        FROM q_unresolved u LEFT JOIN q_nearest_row n ON n.security_id = u.security_id AND n.trade_date = u.trade_date""",
+        SELECT security_id, {K('trade_date')} AS trade_date,
+               {K('nearest_implemented_dividend_ex_date')} AS nearest_implemented_dividend_ex_date,
+               nearest_days AS nearest_implemented_dividend_days
+        FROM q_ctx""",
     "jump_examples": f"""
-        SELECT c.security_id, {K('c.previous_trade_date')} AS previous_trade_date, {K('c.trade_date')} AS trade_date,
-               c.factor_ratio,
-               CASE WHEN abs(c.factor_ratio - 1.0) <= 0.005 THEN '<=50bp' WHEN abs(c.factor_ratio - 1.0) <= 0.02 THEN '<=2pct'
-                    WHEN abs(c.factor_ratio - 1.0) <= 0.10 THEN '<=10pct' ELSE '>10pct' END AS magnitude_bucket,
-               c.dividend_proximity_bucket, {K('n.nearest_implemented_dividend_ex_date')} AS nearest_implemented_dividend_ex_date,
-               CAST(n.nearest_implemented_dividend_days AS BIGINT) AS nearest_implemented_dividend_days,
-               c.has_suspend_window, round(c.factor_pre_close_basis_diff, 12) AS factor_pre_close_basis_diff, c.triage_class,
+        SELECT security_id, {K('previous_trade_date')} AS previous_trade_date, {K('trade_date')} AS trade_date, factor_ratio,
+               bucket AS magnitude_bucket, dividend_proximity_bucket,
+               {K('nearest_implemented_dividend_ex_date')} AS nearest_implemented_dividend_ex_date,
+               nearest_days AS nearest_implemented_dividend_days, has_suspend_window,
+               round(factor_pre_close_basis_diff, 12) AS factor_pre_close_basis_diff, triage_class,
                'quarantine_security_window_from_promotion' AS recommended_action
-        FROM q_ctx c JOIN q_top t ON t.security_id = c.security_id AND t.trade_date = c.trade_date
-        LEFT JOIN q_nearest_row n ON n.security_id = c.security_id AND n.trade_date = c.trade_date""",
+        FROM (FROM q_ctx ORDER BY abs_factor_change DESC, security_id, q_ctx.trade_date LIMIT 500)""",
     "bad_dates": f"""
         SELECT DISTINCT {K('trade_date')} AS trade_date, issue_type, issue_severity FROM flags
         WHERE issue_type = 'INCOMPLETE_TRADING_DATE'""",
