@@ -415,9 +415,9 @@ def _incremental(r: Research) -> DataFrame:
 
     d = df.withColumn("_d", parse_date_key("trade_date"))
     last = d.where(F.col("trade_date") < PREVIOUS_SYNC_END).agg(F.max("_d").alias("_last")).select(
-        F.greatest(F.date_add("_last", 1), F.to_date(F.lit(REQUESTED_SINCE), "yyyyMMdd")).alias("_since"), F.lit(1).alias("_one"))
-    # one-row mark: broadcast is bounded by construction
-    return d.withColumn("_one", F.lit(1)).join(F.broadcast(last), "_one").where(F.col("_d") >= F.col("_since")).select("ts_code", "trade_date")
+        F.greatest(F.date_add("_last", 1), F.to_date(F.lit(REQUESTED_SINCE), "yyyyMMdd")).alias("_since"))
+    # the mark is one value: a scalar subquery, so the filter runs inside the scan's stage and nothing is joined
+    return d.where(F.col("_d") >= last.scalar()).select("ts_code", "trade_date")
 
 
 @query("feed_a_normalize")

@@ -78,15 +78,12 @@ def check_calendar_coverage(t: Mapping[str, DataFrame]) -> DataFrame:
         return _skip(t, "trade_calendar_coverage", "advisory", "raw_trade_cal absent; skipping calendar coverage check.")
     if bars is None:
         return _skip(t, "trade_calendar_coverage", "advisory", "raw_kline_unadj absent; calendar exists but no kline data to verify.")
-    span = cal.agg(F.min("cal_date").alias("lo"), F.max("cal_date").alias("hi"), F.count(F.lit(1)).alias("n")).withColumn("_one", F.lit(1))
-    days = bars.select("trade_date").distinct().withColumn("_one", F.lit(1))
-    # the calendar span is one row: broadcast is bounded by construction
-    j = days.join(F.broadcast(span), "_one", "right").agg(
-        F.max("n").alias("n"),
-        F.count_if((F.col("trade_date") < F.col("lo")) | (F.col("trade_date") > F.col("hi"))).alias("bad"),
-        F.count("trade_date").alias("days"),
-        F.min("lo").alias("lo"), F.max("hi").alias("hi"),
-    )
+    # the span is three single values: scalar subqueries, so the bars are not joined with anything
+    n, lo, hi = (cal.agg(f.alias("v")).scalar() for f in (F.count(F.lit(1)), F.min("cal_date"), F.max("cal_date")))
+    days = bars.select("trade_date").distinct()
+    days = days.withColumn("_out", (F.col("trade_date") < lo) | (F.col("trade_date") > hi))
+    j = days.agg(F.count_if("_out").alias("bad"), F.count("trade_date").alias("days"))
+    j = j.select("bad", "days", n.alias("n"), lo.alias("lo"), hi.alias("hi"))
     return _row(
         j, "trade_calendar_coverage",
         F.when(F.col("n") == 0, F.lit("advisory")).otherwise(F.lit("blocking")),

@@ -28,6 +28,15 @@ def test_no_nested_loop_or_cartesian(research, name):
     assert "BroadcastNestedLoopJoin" not in plan
 
 
+@pytest.mark.parametrize("key", ["incremental_filter", "calendar_coverage"])
+def test_single_values_are_subqueries(spark, key):
+    from __spark_entry__ import queries
+
+    plan = _plan(queries()[key](spark, SF))
+    assert "Subquery" in plan
+    assert "NestedLoopJoin" not in plan
+
+
 def test_jump_window_single_key_exchange(spark, research):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
