@@ -263,3 +263,28 @@ def test_model_is_a_distribution():
     ids = np.arange(2001)
     total = np.exp(net.log_classes(h)[0, classes.outputs] + classes.log_within(np.ones(2001, dtype=int), ids)).sum()
     assert total == pytest.approx(1, abs=1e-4)
+
+
+def test_attention_learns_from_every_window_of_every_bucket(spark):
+    rng = np.random.default_rng(4)
+    ways = [(np.arange(40) * 7 + 3) % 40, (np.arange(40) * 11 + 9) % 40 + 40]  # each bucket's texts go their own way through their own ids
+
+    def walk(k):
+        ids = [int(rng.integers(40)) + 40 * k]
+        for _ in range(200):
+            ids.append(int(ways[k][ids[-1] % 40]))
+        return ids
+
+    texts = [[walk(k) for _ in range(1500)] for k in range(2)]
+    piles = [language_model.Ids(np.arange(len(t) + 1) * 201, np.array(t, dtype=np.int32).ravel()) for t in texts]
+    classes = language_model.Classes(np.bincount(np.concatenate([p.ids for p in piles]), minlength=1001).astype(float), np.zeros(1000, dtype=bool))
+    for p in piles:
+        again = language_model.Ids.unpack(p.pack())
+        assert (again.ids == p.ids).all() and (again.first == p.first).all()
+        got = list(language_model._batches(p, classes, [0, 1]))
+        assert sum(int(scored[:, language_model.OVERLAP :].sum()) for _, _, scored in got) == len(p.ids)  # each id is learned once a round
+    n = [int((-(-np.diff(p.first) // language_model.STRIDE)).sum()) for p in piles]
+    taught = spark.createDataFrame([(k, p.pack(), n[k]) for k, p in enumerate(piles)], "bucket int, windows binary, n long")
+    net = language_model.Attention(language_model._train(taught, classes))
+    loss = [np.mean([net.gradient(*b)[1] for b in language_model._batches(p, classes, [9])]) for p in piles]
+    assert max(loss) < 2 and abs(loss[0] - loss[1]) < 0.3
