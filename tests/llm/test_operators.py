@@ -288,3 +288,26 @@ def test_attention_learns_from_every_window_of_every_bucket(spark):
     net = language_model.Attention(language_model._train(taught, classes))
     loss = [np.mean([net.gradient(*b)[1] for b in language_model._batches(p, classes, [9])]) for p in piles]
     assert max(loss) < 2 and abs(loss[0] - loss[1]) < 0.3
+
+
+def test_line_dedup_of_long_lines_against_brute_force(spark):
+    rng = random.Random(6)
+    line = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    pool = [line(n) for n in (1, 5, 20, 25, 29, 30, 49, 50, 51, 70, 432)] + ["", " \t ".join(["x"] * 50)]
+    texts = ["\n".join(rng.choice(pool) if rng.random() < 0.6 else line(rng.choice([2, 30])) for _ in range(rng.choice([1, 1, 2, 3, 6, 12]))) for _ in range(120)]
+    texts += [pool[8], pool[8], pool[3] + "\n" + pool[4], pool[3] + "\n" + pool[4], pool[6], pool[6], None, ""]
+    rows = [(k, t) for k, t in enumerate(texts)] + [(None, pool[9]), (5, texts[5])]
+    seen, want = set(), {}
+    for doc, text in sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or 0)):
+        lines, gone = (text or "").split("\n"), set()
+        for p in range(len(lines)):
+            for size in range(1, 4):
+                window = tuple(lines[p : p + size])
+                if len(window) == size and (size == 3 or len(" ".join(window).split()) >= 50):
+                    gone |= set(range(p, p + size)) if window in seen else set()
+                    seen.add(window)
+        want[doc] = (len(gone), sum(k - 1 not in gone for k in gone), "\n".join(x for k, x in enumerate(lines) if k not in gone))
+    got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert len(got) == len(rows)
+    assert all((r["n_removed"], len(r["removed_runs"]), r["text"] or "") == want[r["doc_id"]] for r in got)
+    assert sum(v[2] == "" and v[0] > 0 for v in want.values()) >= 3
