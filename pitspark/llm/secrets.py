@@ -64,7 +64,7 @@ def scan_new(versions: DataFrame, ledger: DataFrame | None = None, rules: list[t
     unseen = versions.groupBy("blob").agg(F.min("_id").alias("_id"))
     if ledger is not None:
         unseen = unseen.join(ledger.filter(F.col("rule_version") == rule_version), "blob", "left_anti")
-    texts = versions.join(unseen, ["blob", "_id"], "left_semi").select("blob", "_text")
+    texts = versions.join(unseen, ["blob", "_id"], "left_semi").dropDuplicates(["blob", "_id"]).select("blob", "_text")  # one row a blob
     spans = scan_blobs(texts, rules).groupBy("blob").agg(F.sort_array(F.collect_set(F.struct("start", "kind_no", "kind", "end"))).alias("spans"))
     none = F.array().cast("array<struct<start:bigint,kind_no:int,kind:string,end:bigint>>")
     return unseen.select("blob").join(spans, "blob", "left").select("blob", F.lit(rule_version).alias("rule_version"), F.coalesce("spans", none).alias("spans"))

@@ -311,3 +311,16 @@ def test_line_dedup_of_long_lines_against_brute_force(spark):
     assert len(got) == len(rows)
     assert all((r["n_removed"], len(r["removed_runs"]), r["text"] or "") == want[r["doc_id"]] for r in got)
     assert sum(v[2] == "" and v[0] > 0 for v in want.values()) >= 3
+
+
+def test_secrets_of_repeated_rows(spark):
+    text = "a token=abcdef12 and password: hunter2hunter2 " + "0f" * 12
+    rows = [(1, text), (1, text), (None, text + " x"), (None, text + " x"), (None, text), (2, "AKIA" + "A" * 16), (2, "AKIA" + "A" * 16)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = [(r["doc_id"], r["blob"], [tuple(s) for s in r["spans"]]) for r in secrets.find_secrets(docs).collect()]
+    want = [
+        (doc, hashlib.sha256(t.encode()).hexdigest(), sorted((m.start(), no, kind, m.end()) for no, (kind, p, group, least) in enumerate(secrets.RULES) for m in re.finditer(p, t, re.ASCII) if len(m.group(group)) >= least))
+        for doc, t in rows
+    ]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert secrets.scan_new(secrets.address(docs)).count() == 3
