@@ -48,8 +48,12 @@ DISGUISED = re.compile(
     re.IGNORECASE,
 )
 
-#: A cheap test of a whole text: a sign or mark before a letter, a letter three times in a row, or lone characters in a row.
-SUSPECT = re.compile(rf"[{SIGNS}\-._*~'](?=[^\W\d_])|([^\W\d_])\1\1|(?<!\S)[^\W_] [^\W_] [^\W_] [^\W_]", re.IGNORECASE)
+#: A cheap test of a whole text, true wherever DISGUISED matches: a sign beside a letter, a mark before one, a letter three times in a row, or characters kept apart.
+SUSPECT = re.compile(
+    rf"[{SIGNS}\-._*~'](?=[^\W\d_])|[^\W\d_][{SIGNS}]|([^\W\d_])\1\1"
+    rf"|(?<!\S)[^\W_](?:[{re.escape(APART)}](?:[^\W_]|[{SIGNS}])){{3}}",
+    re.IGNORECASE,
+)
 
 _CLASS = np.full(256, EDGE, dtype=np.int64)
 _CLASS[128:] = OTHER

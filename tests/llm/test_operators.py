@@ -324,3 +324,13 @@ def test_secrets_of_repeated_rows(spark):
     ]
     assert sorted(got, key=str) == sorted(want, key=str)
     assert secrets.scan_new(secrets.address(docs)).count() == 3
+
+
+def test_every_disguised_word_makes_its_text_suspect():
+    rng = random.Random(8)
+    some = ["a55", "sh17", "dumba55", "b55", "i d ! o t", "x-y_z*w", "i.d-i~o't", "fr$", "a!", "a b c d", "sooo", "a @ $ $", "it's", "é55"]
+    signs = "".join(toxicity.STANDS_FOR) + toxicity.APART
+    some += ["".join(rng.choice("aBzé7_\n" + signs) for _ in range(rng.randint(2, 9))) for _ in range(20_000)]
+    hit = [t for t in some if toxicity.DISGUISED.search(t)]
+    assert set(some[:5]) <= set(hit) and len(hit) > 1000
+    assert [t for t in hit if not toxicity.SUSPECT.search(t)] == []
