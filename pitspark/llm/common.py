@@ -193,3 +193,26 @@ def text_blocks(batch: pa.RecordBatch, column: str = "_text", limit: int = BLOCK
         to = max(at + 1, int(np.searchsorted(off, off[at] + limit, side="right")) - 1)
         yield at, to, data[off[at] : off[to]], off[at : to + 1] - off[at]
         at = to
+
+
+def distinct_runs(data: np.ndarray, start: np.ndarray, end: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Equal byte ranges found by their hashes and compared byte by byte: an index of one range of each kind, and the kind of every range."""
+    order = np.argsort(hashes, kind="stable")
+    in_order = hashes[order]
+    new = np.ones(len(order), dtype=bool)
+    np.not_equal(in_order[1:], in_order[:-1], out=new[1:])
+    one = order[new]
+    kind = np.empty(len(order), dtype=np.int64)
+    kind[order] = np.cumsum(new) - 1
+    rep = one[kind]
+    long = end - start
+    same = np.array_equal(long, long[rep])
+    if same:
+        at = np.repeat(start - np.cumsum(long) + long, long) + np.arange(int(long.sum()))
+        same = np.array_equal(data[at], data[at + np.repeat(start[rep] - start, long)])
+    if not same:  # two ranges with one hash: count them by their bytes
+        raw = data.tobytes()
+        seen: dict[bytes, int] = {}
+        kind = np.array([seen.setdefault(raw[a:b], len(seen)) for a, b in zip(start.tolist(), end.tolist(), strict=True)], dtype=np.int64)
+        one = np.unique(kind, return_index=True)[1]
+    return one, kind

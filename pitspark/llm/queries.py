@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pitspark.llm import ann, bpe, decontaminate, jaccard, language_model, line_dedup, secrets, suffix_dedup, token_files, toxicity
+from pitspark.llm import ann, bpe, conversations, decontaminate, jaccard, language_model, line_dedup, packing, ranked_search, secrets, suffix_dedup, token_files, toxicity
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard": jaccard.op1_ngram_jaccard,
@@ -19,8 +19,13 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": line_dedup.op8_line_dedup,
     "op9_suffix_dedup": suffix_dedup.op9_suffix_dedup,
     "op10_secrets": secrets.op10_secrets,
+    "op11_ranked_search": ranked_search.op11_ranked_search,
+    "op12_packing": packing.op12_packing,
+    "op13_conversation_repair": conversations.op13_conversation_repair,
 }
 
 LLM_ORACLE: dict[str, str] = {
     "op8_line_dedup": line_dedup.ORACLE,
+    "op11_ranked_search": ranked_search.ORACLE,
+    "op13_conversation_repair": conversations.ORACLE,
 }
