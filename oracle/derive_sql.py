@@ -217,7 +217,7 @@ CTES: list[tuple[str, str]] = [
         SELECT split_part(ts_code, '.', 1) AS symbol, strftime(d, '%Y-%m-%d') AS "日期",
                open_u AS "开盘", close_u AS "收盘", hi AS "最高", lo AS "最低", vol_u AS "成交量",
                amount_u AS "成交额", pct_chg_u AS "涨跌幅", change_u AS "涨跌额"
-        FROM g_bars WHERE (k + dno) % 11 <> 0 AND k % 2 = 0"""),
+        FROM g_bars WHERE (k + dno) % 11 <> 0 AND (k + dno) % 17 <> 0"""),
     ("feed_b", """
         SELECT lower(split_part(ts_code, '.', 2)) || '.' || split_part(ts_code, '.', 1) AS code,
                strftime(d, '%Y-%m-%d') AS date,
@@ -226,7 +226,7 @@ CTES: list[tuple[str, str]] = [
                CAST(pre_close_u AS VARCHAR) AS preclose,
                CASE WHEN (k + dno) % 19 = 0 THEN 'N/A' ELSE CAST(vol_u AS VARCHAR) END AS volume,
                CAST(amount_u AS VARCHAR) AS amount, CAST(pct_chg_u AS VARCHAR) AS "pctChg"
-        FROM g_bars WHERE (k + dno) % 11 <> 0 AND k % 2 = 1"""),
+        FROM g_bars WHERE (k + dno) % 11 <> 0 AND (2 * k + dno) % 13 <> 0"""),
 ]
 
 CTES += [

@@ -280,6 +280,30 @@ QUERIES.update({
 
 QUERIES["stream_upsert"] = QUERIES["upsert_replace"]
 
+_BAR = "ts_code, trade_date, open, high, low, close, pre_close, change, pct_chg, vol, amount, source_table"
+QUERIES.update({
+    "stream_deliveries": f"""
+        SELECT {_BAR} FROM (
+            SELECT {_BAR}, 0 AS delivery FROM raw_kline_unadj
+            UNION ALL SELECT {_BAR}, 1 FROM feed_a_norm
+            UNION ALL SELECT * REPLACE (vol * 100 AS vol), 2 FROM (SELECT {_BAR} FROM feed_a_norm) WHERE trade_date[7:8]::INT <= 10
+            UNION ALL SELECT * REPLACE (NULL AS change, NULL AS pct_chg), 3 FROM (SELECT {_BAR} FROM feed_a_norm)
+                WHERE trade_date[7:8]::INT BETWEEN 8 AND 12)
+        QUALIFY delivery = max(delivery) OVER (PARTITION BY ts_code, trade_date)""",
+    "table_versions": f"""
+        SELECT version::BIGINT AS version, step, count(trade_date) AS rows, coalesce(count_if(source_table = 'feed_a.daily'), 0)::BIGINT AS corrected,
+               min(trade_date) AS first_date, max(trade_date) AS last_date
+        FROM (VALUES (1, 'replace', 'old'), (2, 'upsert', 'upserted'), (3, 'replay', 'upserted'), (4, 'reset', ''), (5, 'append', 'appended')) held(version, step, rowset)
+        LEFT JOIN (
+            SELECT 'old' AS rowset, trade_date, source_table FROM raw_kline_unadj
+            UNION ALL SELECT 'upserted', trade_date, source_table FROM feed_a_norm WHERE trade_date[5:6] = '03'
+            UNION ALL SELECT 'upserted', trade_date, source_table FROM raw_kline_unadj
+                ANTI JOIN (SELECT ts_code, trade_date FROM feed_a_norm WHERE trade_date[5:6] = '03') USING (ts_code, trade_date)
+            UNION ALL SELECT 'appended', trade_date, source_table FROM (
+                SELECT {_BAR} FROM raw_kline_unadj UNION SELECT {_BAR} FROM feed_a_norm WHERE trade_date[5:6] = '03')
+        ) USING (rowset) GROUP BY ALL""",
+})
+
 from .pipeline_sql import CUT_TS  # noqa: E402,F401
 
 _T = "strftime({0}, '%Y-%m-%d %H:%M:%S')"

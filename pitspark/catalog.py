@@ -573,23 +573,78 @@ def _registry(r: Research) -> DataFrame:
 
 
 # --------------------------------------------------------------- streaming
+TABLE_DIGITS = 4  # files of the bar table are cut by year
+
+
+def _bar_table(r: Research, purpose: str):
+    """The unadjusted bars as version 1 of a table of their own, and a landing folder beside it."""
+    from .operators.versioned import VersionedTable
+    from .streaming.ingest import date_partition
+
+    root = f"{(r.store or checkpoint_dir(r.spark)).rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
+    bars = date_partition(r.src("raw_kline_unadj").select(*KLINE), TABLE_DIGITS)
+    table = VersionedTable(r.spark, f"{root}/table", bars.schema, ["ts_code", "trade_date"], "part")
+    table.replace(bars)
+    return table, f"{root}/landing", f"{root}/checkpoint"
+
+
 @query("stream_upsert")
 def _stream_upsert(r: Research) -> DataFrame:
     """Feed A corrections streamed from a landing folder into the
     unadjusted-bar table with a keyed replace per micro-batch."""
-    from .streaming.ingest import month_partition, start_keyed_ingest
-
-    spark = r.spark
-    base_dir = r.store or checkpoint_dir(spark)
-    root = f"{base_dir.rstrip('/')}/stream-{uuid.uuid4().hex[:12]}"
-    target, landing = f"{root}/target", f"{root}/landing"
-    month_partition(r.src("raw_kline_unadj").select(*KLINE)).write.partitionBy("ym").parquet(target)
-    corrections = month_partition(_feeds.normalize_feed_a(r.raw.feeds["feed_a"]))
-    corrections.write.partitionBy("ym").parquet(landing)
-    q = start_keyed_ingest(spark, landing=landing, schema=corrections.schema, target=target,
-                           keys=["ts_code", "trade_date"], checkpoint=f"{root}/checkpoint", max_files_per_trigger=32)
+    from .streaming.ingest import date_partition, start_keyed_ingest
+
+    table, landing, checkpoint = _bar_table(r, "stream")
+    corrections = date_partition(_feeds.normalize_feed_a(r.raw.feeds["feed_a"]), TABLE_DIGITS).withColumn("delivery", F.lit(1))
+    corrections.write.partitionBy("part").parquet(landing)
+    q = start_keyed_ingest(r.spark, landing=landing, schema=corrections.schema, table=table, checkpoint=checkpoint, max_files_per_trigger=32)
     q.awaitTermination()
-    return spark.read.parquet(target).drop("ym")
+    return table.read().drop("part")
+
+
+def bar_deliveries(bars: DataFrame) -> list[DataFrame]:
+    """Three deliveries of the same feed: all bars; volume of days 1 to 10 in other units; days 8 to 12 without change columns."""
+    day = F.substring("trade_date", 7, 2).cast("int")
+    second = bars.where(day <= 10).withColumn("vol", F.col("vol") * 100.0)
+    third = bars.where(day.between(8, 12)).withColumns({"change": F.lit(None).cast("double"), "pct_chg": F.lit(None).cast("double")})
+    return [bars, second, third]
+
+
+@query("stream_deliveries")
+def _stream_deliveries(r: Research) -> DataFrame:
+    """Overlapping deliveries that land in the wrong order; of each key the latest delivery stays."""
+    from .streaming.ingest import date_partition, start_keyed_ingest
+
+    table, landing, checkpoint = _bar_table(r, "deliveries")
+    feed = date_partition(_feeds.normalize_feed_a(r.raw.feeds["feed_a"]), TABLE_DIGITS)
+    schema = None
+    for number, rows in reversed(list(enumerate(bar_deliveries(feed), 1))):
+        landed = rows.withColumn("delivery", F.lit(number))
+        landed.repartition(F.col("ts_code")).write.parquet(f"{landing}/arrived={number}")
+        schema = landed.schema
+    q = start_keyed_ingest(r.spark, landing=f"{landing}/*", schema=schema, table=table, checkpoint=checkpoint, max_files_per_trigger=8)
+    q.awaitTermination()
+    return table.read().drop("part")
+
+
+@query("table_versions")
+def _table_versions(r: Research) -> DataFrame:
+    """What readers of each version of a table see: replaced, upserted, replayed, reset, appended without repeats."""
+    from .streaming.ingest import date_partition
+
+    table, _, _ = _bar_table(r, "versions")
+    corrections = date_partition(_feeds.normalize_feed_a(r.raw.feeds["feed_a"]), TABLE_DIGITS).where(F.substring("trade_date", 5, 2) == "03")
+    table.upsert(corrections, delivery=1)
+    table.upsert(corrections, delivery=1)  # a replay
+    table.reset()
+    table.replace(_keyed.append_dedup(table.read(1), corrections))
+    out = None
+    for version, step in enumerate(["replace", "upsert", "replay", "reset", "append"], 1):
+        seen = table.read(version).agg(F.lit(version).alias("version"), F.lit(step).alias("step"), F.count(F.lit(1)).alias("rows"),
+                                       F.count_if(F.col("source_table") == "feed_a.daily").alias("corrected"),
+                                       F.min("trade_date").alias("first_date"), F.max("trade_date").alias("last_date"))
+        out = seen if out is None else out.unionByName(seen)
+    return out
 
 
 # ------------------------------------------------------- official industry

@@ -470,8 +470,8 @@ class DriverTables:
 
     # ------------------------------------------------ alternative bar feeds
     def feed_a(self) -> DataFrame:
-        """Unadjusted bars of even k with Chinese column headers and ISO dates."""
-        b = self.bars.where(((_k() + _dno()) % 11 != 0) & (_k() % 2 == 0))
+        """Unadjusted bars with Chinese column headers and ISO dates; the feed lacks days with (k + dno) % 17 = 0."""
+        b = self.bars.where(((_k() + _dno()) % 11 != 0) & ((_k() + _dno()) % 17 != 0))
         return b.select(
             F.split_part("ts_code", F.lit("."), F.lit(1)).alias("symbol"),
             F.date_format("d", "yyyy-MM-dd").alias("日期"),
@@ -481,10 +481,10 @@ class DriverTables:
         )
 
     def feed_b(self) -> DataFrame:
-        """Unadjusted bars of odd k as all-text positional rows ('sz.000001'
-        codes, ISO dates); open blank when (k + dno) % 7 = 0, volume 'N/A' when
-        (k + dno) % 19 = 0."""
-        b = self.bars.where(((_k() + _dno()) % 11 != 0) & (_k() % 2 == 1))
+        """Unadjusted bars as all-text positional rows ('sz.000001' codes, ISO
+        dates); the feed lacks days with (2k + dno) % 13 = 0; open blank when
+        (k + dno) % 7 = 0, volume 'N/A' when (k + dno) % 19 = 0."""
+        b = self.bars.where(((_k() + _dno()) % 11 != 0) & ((_k() * 2 + _dno()) % 13 != 0))
         kd = _k() + _dno()
         code = F.concat(
             F.lower(F.split_part("ts_code", F.lit("."), F.lit(2))), F.lit("."), F.split_part("ts_code", F.lit("."), F.lit(1))
