@@ -257,7 +257,7 @@ class RankedSearch:
         nothing = [F.array().cast(f"array<{kind}>").alias(c) for c, kind in (("acc_item", "int"), ("acc_doc", "int"), ("acc_score", "bigint"))]
         on_way = (
             blocks.select("block", "ids", m.alias("m"), of_block.alias("bundle"), F.pmod(F.xxhash64("block"), F.lit(salts)).cast("int").alias("salt"))
-            .join(load, ["bundle", "salt"])
+            .join(load.hint("merge"), ["bundle", "salt"])  # one copy of a bundle a salt: small on the wire, not in memory, so never broadcast
             .select("block", "bundle", "ids", "m", "load", "n_items", *nothing)
         )
         for owner in range(OWNERS):
