@@ -183,42 +183,36 @@ def _action_rows(r: Research) -> DataFrame:
 @query("adj_jumps")
 def _adj_jumps(r: Research) -> DataFrame:
     """Significant adjustment-factor jumps."""
-    return actions.significant_jumps(r.daily_bar_pit)
+    return r.jump_facts.select(*actions.JUMP_COLUMNS)
 
 
 @query("unexplained_jumps")
 def _unexplained(r: Research) -> DataFrame:
     """Jumps no dividend action explains."""
-    return actions.unexplained(actions.significant_jumps(r.daily_bar_pit), actions.action_rows(r.raw_dividend)).select(
-        "security_id", "previous_trade_date", "trade_date", "factor_ratio"
-    )
+    return r.jump_facts.where(~F.col("has_action")).select("security_id", "previous_trade_date", "trade_date", "factor_ratio")
 
 
 @query("explained_flag")
 def _explained_flag(r: Research) -> DataFrame:
     """Explained-by-ledger flag on every jump."""
-    return actions.explained_flag(actions.significant_jumps(r.daily_bar_pit), r.corporate_action_ledger).select(
-        "security_id", "trade_date", "has_explaining_corporate_action"
-    )
+    return r.classified_jumps.select("security_id", "trade_date", "has_explaining_corporate_action")
 
 
 @query("nearest_dividend")
 def _nearest(r: Research) -> DataFrame:
     """Nearest implemented dividend distance per jump."""
-    j = actions.significant_jumps(r.daily_bar_pit).select("security_id", "trade_date")
-    return actions.nearest_implemented_days(j, r.raw_dividend)
+    return r.jump_facts.select("security_id", "trade_date", F.col("nearest_days").alias("nearest_implemented_dividend_days"))
 
 
 @query("suspend_in_window")
 def _suspend_window(r: Research) -> DataFrame:
     """Suspension inside each jump window."""
-    j = actions.significant_jumps(r.daily_bar_pit).select("security_id", "previous_trade_date", "trade_date")
-    return actions.suspend_in_window(j, r.raw_suspend_d)
+    return r.jump_facts.select("security_id", "previous_trade_date", "trade_date", "has_suspend_window")
 
 
 @query("inferred_repairs")
 def _repairs(r: Research) -> DataFrame:
-    return actions.inferred_repairs(r.daily_bar_pit, r.raw_dividend)
+    return actions.repairs_of(r.jump_facts)
 
 
 @query("corporate_action_ledger")
@@ -337,12 +331,14 @@ def _triage_nodiv(r: Research) -> DataFrame:
 @query("nearest_dividend_row")
 def _nearest_row(r: Research) -> DataFrame:
     """Nearest implemented dividend (date and days) per unresolved jump."""
-    return quality.nearest_implemented_row(r.unresolved_jumps.select("security_id", "trade_date"), r.raw_dividend)
+    earlier = F.datediff("trade_date", "done_before") == F.col("nearest_days")  # a tie goes to the earlier one
+    return r.unresolved_jumps.select("security_id", "trade_date", F.when(earlier, F.col("done_before")).otherwise(F.col("done_after")).alias("nearest_implemented_dividend_ex_date"),
+                                     F.col("nearest_days").alias("nearest_implemented_dividend_days"))
 
 
 @query("jump_examples")
 def _examples(r: Research) -> DataFrame:
-    return quality.jump_examples(r.unresolved_jumps, r.raw_dividend, r.raw_suspend_d)
+    return quality.jump_examples(r.unresolved_context)
 
 
 @query("bad_dates")

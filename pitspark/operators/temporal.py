@@ -20,7 +20,8 @@ Scale notes (checked with ``explain``):
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -202,6 +203,53 @@ def asof_event(
     return found.where(~F.col("_is_ev")).drop("_pt", "_ev", "_is_ev")
 
 
+@dataclass(frozen=True)
+class Lookup:
+    """What ``asof_events`` finds among the events of some kinds.
+
+    how: 'last' (the latest date on or before the point), 'next' (the earliest on or after it), 'same' (how many on that
+    day) or 'total' (how many the key has).
+    """
+
+    out: str
+    how: str
+    kinds: tuple[str, ...]
+
+
+def asof_events(rows: DataFrame, events: Mapping[str, tuple[DataFrame, str, str]], *, key: str, point: str, lookups: Sequence[Lookup]) -> DataFrame:
+    """All lookups among events of all kinds in one pass forward and one back.
+
+    events: kind -> (frame, key column, date column); rows without key or date are no events.  Rows and events of all kinds
+    are united and shuffled once by the key.  The forward window answers 'last', 'same' and 'total', the backward one
+    'next'; frames are ranges of the date, so rows and events of one day see each other whatever their order.  A row with a null
+    key or point finds nothing (null dates, counts of 0).
+    """
+    tagged = None
+    for kind, (frame, of, date) in events.items():
+        e = frame.select(F.col(of).alias(key), F.col(date).cast("date").alias("_at"), F.lit(kind).alias("_kind")).where(F.col(key).isNotNull() & F.col("_at").isNotNull())
+        tagged = e if tagged is None else tagged.unionByName(e)
+    both = rows.withColumns({"_at": F.col(point), "_kind": F.lit(None).cast("string")})
+    if tagged is not None:
+        both = both.unionByName(tagged, allowMissingColumns=True)
+    forward, back = Window.partitionBy(key).orderBy(F.col("_at").asc_nulls_first()), Window.partitionBy(key).orderBy(F.col("_at").desc_nulls_first())
+    until_now = (Window.unboundedPreceding, Window.currentRow)
+    known = F.col(point).isNotNull() & F.col(key).isNotNull()
+    found = {}
+    for x in lookups:
+        hit = F.col("_kind").isin(*x.kinds)
+        if x.how == "last":
+            found[x.out] = F.when(known, F.max(F.when(hit, F.col("_at"))).over(forward.rangeBetween(*until_now)))
+        elif x.how == "next":
+            found[x.out] = F.when(known, F.min(F.when(hit, F.col("_at"))).over(back.rangeBetween(*until_now)))
+        elif x.how == "same":
+            found[x.out] = F.when(known, F.count_if(hit).over(forward.rangeBetween(Window.currentRow, Window.currentRow))).otherwise(0)
+        elif x.how == "total":
+            found[x.out] = F.when(known, F.count_if(hit).over(forward.rangeBetween(Window.unboundedPreceding, Window.unboundedFollowing))).otherwise(0)
+        else:
+            raise ValueError(f"unknown lookup {x.how}")
+    return both.withColumns(found).where(F.col("_kind").isNull()).select(*rows.columns, *found)
+
+
 def event_in_window(
     rows: DataFrame,
     events: DataFrame,
@@ -347,9 +395,3 @@ def forward_fill(df: DataFrame, *, order: str, value: Column, out: str, partitio
     """``out`` = last non-NULL ``value`` up to the current row (running)."""
     w = Window.partitionBy(*partition).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return df.withColumn(out, F.last(value, ignorenulls=True).over(w))
-
-
-def top_per_key(df: DataFrame, *, keys: Sequence[str], order: Sequence[Column], n: int = 1) -> DataFrame:
-    """Rows ranked <= n per key (planned with a per-key group limit)."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")

@@ -3,8 +3,9 @@ J8–J12, C1–C3, P11–P13).
 
 Order matters: repairs (C2) are tested against the dividend action rows only;
 the exception ledger (C3) is tested against the full ledger including repairs.
-All lookups are keyed by security_id: anti/semi joins with a range residual
-and per-jump aggregates, never a correlated per-row query.
+Everything known about a jump is gathered once, in ``jump_facts``: jumps, bookings, dividends by progress and
+suspensions are united, shuffled by security and scanned once forward and once back (``asof_events``).
+Repairs, exceptions and the quality report's context are projections of that frame.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from ..functions.market import (
     severity,
     triage_class,
 )
-from ..operators.temporal import event_in_window, nearest_distance
+from ..operators.temporal import Lookup, asof_events, event_in_window, nearest_distance
 
 JUMP_KEYS = ["security_id", "trade_date"]
 LEDGER_COLUMNS = ["action_id", "security_id", "action_type", "record_date", "book_date", "ex_date",
@@ -111,21 +112,59 @@ def action_rows(dividends: DataFrame) -> DataFrame:
     return cash.unionByName(share)
 
 
-def _in_window(c: F.Column, prev: F.Column, cur: F.Column) -> F.Column:
-    return c.isNotNull() & (c > prev) & (c <= cur)
+def action_dates(ledger: DataFrame) -> DataFrame:
+    """Every dated booking of the ledger as an event: ex dates, book dates and, where the ledger has them, action dates."""
+    out = None
+    for c in ("ex_date", "book_date", "action_date"):
+        if c in ledger.columns:
+            part = ledger.select("security_id", F.col(c).cast("date").alias("_d"))
+            out = part if out is None else out.unionByName(part)
+    return out.where(F.col("_d").isNotNull())
 
 
-def explaining_condition(j, a) -> F.Column:
-    """J8 residual: an action's ex_date or book_date in (previous day, jump day]."""
-    return _in_window(a("ex_date"), j("previous_trade_date"), j("trade_date")) | _in_window(
-        a("book_date"), j("previous_trade_date"), j("trade_date")
-    )
+JUMP_COLUMNS = ["security_id", "previous_trade_date", "trade_date", "previous_close", "pre_close", "previous_adj_factor",
+                "current_adj_factor", "factor_ratio", "abs_factor_change", "pre_close_factor_ratio"]
 
 
-def action_dates(ledger: DataFrame) -> DataFrame:
-    """Every dated booking of the ledger: ex dates and book dates as events."""
-    return ledger.select("security_id", F.col("ex_date").alias("_d")).unionByName(
-        ledger.select("security_id", F.col("book_date").alias("_d"))).where(F.col("_d").isNotNull())
+def jump_facts(jumps: DataFrame, ledger: DataFrame, dividends: DataFrame | None, suspend: DataFrame | None) -> DataFrame:
+    """Jumps with all that their security's events say about them (J8, J9, J10, J11, J12, J13 in one pass).
+
+    Adds last_action, last_halt, done_before, done_after (dates), done_same, open_same, blank_same, dividend_count
+    (dividends with an ex date: implemented, otherwise in progress or without progress that day, and all), has_action,
+    has_suspend_window and nearest_days.  An event in (previous day, jump day] is one whose last date on or before the jump
+    day lies after the previous day.
+    """
+    events = {"action": (action_dates(ledger), "security_id", "_d")}
+    if dividends is not None:
+        proc = F.col("div_proc")
+        for kind, cond in (("done", proc == IMPLEMENTED_DIVIDEND), ("open", proc != IMPLEMENTED_DIVIDEND), ("blank", proc.isNull())):
+            events[kind] = (dividends.where(cond), "ts_code", "ex_date")
+    if suspend is not None:
+        events["halt"] = (suspend, "ts_code", "trade_date")
+    facts = asof_events(jumps, events, key="security_id", point="trade_date", lookups=[
+        Lookup("last_action", "last", ("action",)), Lookup("last_halt", "last", ("halt",)),
+        Lookup("done_before", "last", ("done",)), Lookup("done_after", "next", ("done",)),
+        Lookup("done_same", "same", ("done",)), Lookup("open_same", "same", ("open",)), Lookup("blank_same", "same", ("blank",)),
+        Lookup("dividend_count", "total", ("done", "open", "blank")),
+    ])
+    day, previous = F.col("trade_date"), F.col("previous_trade_date")
+    return facts.withColumns({
+        "has_action": F.coalesce(F.col("last_action") > previous, F.lit(False)),
+        "has_suspend_window": F.coalesce(F.col("last_halt") > previous, F.lit(False)),
+        "nearest_days": F.least(F.datediff(day, F.col("done_before")), F.datediff(F.col("done_after"), day)),
+    })
+
+
+def is_repair() -> F.Column:
+    """No booking explains the jump, but dividend evidence makes it a factor repair."""
+    days = F.col("nearest_days")
+    diff = basis_diff(F.col("factor_ratio"), F.col("previous_close"), F.col("pre_close"))
+    return ~F.col("has_action") & F.coalesce((F.col("open_same") > 0) | days.between(1, 30) | ((diff <= 0.001) & days.between(1, 90)), F.lit(False))
+
+
+def is_explained() -> F.Column:
+    """J9 against the whole ledger: a repair is booked on its jump's day and on no day of another jump's window."""
+    return F.col("has_action") | is_repair()
 
 
 def explained_flag(jumps: DataFrame, ledger: DataFrame, name: str = "has_explaining_corporate_action") -> DataFrame:
@@ -180,19 +219,9 @@ def suspend_in_window(jumps: DataFrame, suspend: DataFrame, name: str = "has_sus
                            event_date="s_date", name=name)
 
 
-def inferred_repairs(bars: DataFrame, dividends: DataFrame) -> DataFrame:
-    """Unexplained jumps that dividend evidence makes a factor repair."""
-    j = unexplained(significant_jumps(bars), action_rows(dividends))
-    j = j.withColumn("factor_pre_close_basis_diff", basis_diff(F.col("factor_ratio"), F.col("previous_close"), F.col("pre_close")))
-    j = same_date_nonimplemented(j, dividends)
-    j = nearest_implemented_days(j, dividends)
-    days = F.col("nearest_implemented_dividend_days")
-    keep = (
-        F.col("has_same_date_nonimplemented_dividend")
-        | days.between(1, 30)
-        | ((F.col("factor_pre_close_basis_diff") <= 0.001) & days.between(1, 90))
-    )
-    return j.where(F.coalesce(keep, F.lit(False))).select(
+def repairs_of(facts: DataFrame) -> DataFrame:
+    """Ledger rows of the jumps that are factor repairs."""
+    return facts.where(is_repair()).select(
         colon_join(F.col("security_id"), date_key("trade_date"), F.lit("inferred_adj_factor_repair")).alias("action_id"),
         "security_id",
         F.lit("inferred_adj_factor_repair").alias("action_type"),
@@ -205,6 +234,11 @@ def inferred_repairs(bars: DataFrame, dividends: DataFrame) -> DataFrame:
     )
 
 
+def inferred_repairs(bars: DataFrame, dividends: DataFrame) -> DataFrame:
+    """Unexplained jumps that dividend evidence makes a factor repair."""
+    return repairs_of(jump_facts(significant_jumps(bars), action_rows(dividends), dividends, None))
+
+
 def corporate_action_ledger(bars: DataFrame, dividends: DataFrame) -> DataFrame:
     """C1 + C2: dividend bookings followed by inferred repairs."""
     return action_rows(dividends).select(*LEDGER_COLUMNS).unionByName(inferred_repairs(bars, dividends).select(*LEDGER_COLUMNS))
@@ -218,17 +252,10 @@ EXCEPTION_COLUMNS = [
 ]
 
 
-def exception_ledger(bars: DataFrame, ledger: DataFrame, dividends: DataFrame, suspend: DataFrame) -> DataFrame:
-    """Jumps no ledger row explains, with context and classification."""
-    j = unexplained(significant_jumps(bars), ledger)
-    j = j.withColumn(
-        "factor_pre_close_basis_diff",
-        F.abs(safe_ratio(F.col("factor_ratio"), F.col("pre_close_factor_ratio")) - 1.0),
-    )
-    j = suspend_in_window(j, suspend)
-    j = same_date_nonimplemented(j, dividends)
-    j = nearest_implemented_days(j, dividends)
+def exceptions_of(unexplained_facts: DataFrame) -> DataFrame:
+    """The given jumps with context and classification."""
     change = F.col("abs_factor_change")
+    j = unexplained_facts.withColumn("factor_pre_close_basis_diff", F.abs(safe_ratio(F.col("factor_ratio"), F.col("pre_close_factor_ratio")) - 1.0))
     return j.select(
         colon_join(F.col("security_id"), date_key("previous_trade_date"), date_key("trade_date"), F.lit("adj_factor_exception")).alias("exception_id"),
         "security_id", "previous_trade_date", "trade_date", "previous_adj_factor", "current_adj_factor", "factor_ratio",
@@ -236,8 +263,12 @@ def exception_ledger(bars: DataFrame, ledger: DataFrame, dividends: DataFrame, s
         magnitude_bucket(change).alias("magnitude_bucket"),
         severity(change).alias("severity"),
         "has_suspend_window",
-        triage_class(F.col("has_same_date_nonimplemented_dividend"), F.col("nearest_implemented_dividend_days"),
-                     F.col("factor_pre_close_basis_diff"), change).alias("triage_class"),
+        triage_class(F.col("open_same") > 0, F.col("nearest_days"), F.col("factor_pre_close_basis_diff"), change).alias("triage_class"),
         F.lit(RECOMMENDED_ACTION).alias("recommended_action"),
         F.lit(RECONCILIATION_SOURCE).alias("source_table"),
     )
+
+
+def exception_ledger(bars: DataFrame, ledger: DataFrame, dividends: DataFrame, suspend: DataFrame) -> DataFrame:
+    """Jumps no ledger row explains, with context and classification."""
+    return exceptions_of(jump_facts(significant_jumps(bars), ledger, dividends, suspend).where(~F.col("has_action")))

@@ -27,7 +27,7 @@ from ..functions.market import (
     triage_class,
     triage_class_without_dividends,
 )
-from ..operators.temporal import nearest_distance, shift_clamped
+from ..operators.temporal import shift_clamped
 from . import actions
 
 # Issue rules (severity and the five usability flags per issue type).
@@ -230,9 +230,9 @@ def source_ratios(tradeability: DataFrame) -> DataFrame:
 # ------------------------------------------------------ jump breakdowns
 def classified_jumps(bars: DataFrame, ledger: DataFrame) -> DataFrame:
     """Every significant jump with the explained-by-ledger flag."""
-    j = actions.significant_jumps(bars).select("security_id", "previous_trade_date", "trade_date", "previous_close",
-                                               "pre_close", "factor_ratio")
-    return actions.explained_flag(j, ledger)
+    facts = actions.jump_facts(actions.significant_jumps(bars), ledger, None, None)
+    return facts.select("security_id", "previous_trade_date", "trade_date", "previous_close", "pre_close", "factor_ratio",
+                        F.col("has_action").alias("has_explaining_corporate_action"))
 
 
 def unresolved(classified: DataFrame) -> DataFrame:
@@ -275,52 +275,32 @@ def top_securities(unres: DataFrame, n: int = TOP_SECURITIES) -> DataFrame:
     return g.orderBy(F.col("rows").desc(), F.col("security_id").asc()).limit(n)
 
 
+def context_of(facts: DataFrame, with_dividends: bool = True) -> DataFrame:
+    """Per unresolved jump of ``actions.jump_facts``: same-day implemented / non-implemented dividends (no progress
+    counts as non-implemented here; NULL where the security has no dividend, or none with progress), nearest implemented
+    distance, basis difference, suspension window and classes.  Without a dividend table (P14, T2) the jump is classified by
+    basis and size alone and has no proximity."""
+    n = F.col("dividend_count")
+    ctx = facts.withColumns({
+        "has_same_date_implemented": F.when(n == 0, F.lit(None).cast("boolean")).when(F.col("done_same") > 0, True).when(F.col("blank_same") == n, F.lit(None).cast("boolean")).otherwise(False),
+        "has_same_date_nonimplemented": F.when(n == 0, F.lit(None).cast("boolean")).otherwise(F.col("open_same") + F.col("blank_same") > 0),
+        "nearest_implemented_days": F.col("nearest_days"),
+        "factor_pre_close_basis_diff": basis_diff(F.col("factor_ratio"), F.col("previous_close"), F.col("pre_close")),
+    })
+    diff, change = F.col("factor_pre_close_basis_diff"), F.abs(F.col("factor_ratio") - 1.0)
+    if not with_dividends:
+        return ctx.withColumns({"triage_class": triage_class_without_dividends(diff, change), "dividend_proximity_bucket": F.lit("raw_dividend_missing")})
+    return ctx.withColumns({
+        "triage_class": triage_class(F.col("has_same_date_nonimplemented"), F.col("nearest_implemented_days"), diff, change),
+        "dividend_proximity_bucket": proximity_bucket(F.col("has_same_date_implemented"), F.col("has_same_date_nonimplemented"), F.col("nearest_implemented_days")),
+    })
+
+
 def dividend_context(unres: DataFrame, dividends: DataFrame, suspend: DataFrame | None) -> DataFrame:
-    """Per unresolved jump: same-day implemented / non-implemented dividends
-    (NULL progress counts as non-implemented here), nearest implemented
-    distance, basis difference and suspension window.
-
-    The same-day flags come from per-(security, day) and per-security counts
-    joined on keys (their NULL results match a per-jump ``bool_or`` over the
-    security's dividends: NULL when it has none); the nearest distance is an
-    as-of scan.  No jump is paired with every dividend of its security.
-    """
-    valid = dividends.where(F.col("ts_code").isNotNull() & F.col("ex_date").isNotNull())
-    impl = F.col("div_proc") == IMPLEMENTED_DIVIDEND
-    per_sec = valid.groupBy(F.col("ts_code").alias("security_id")).agg(F.count(F.lit(1)).alias("_n_valid"))
-    per_day = valid.groupBy(F.col("ts_code").alias("security_id"), F.col("ex_date").alias("trade_date")).agg(
-        F.count_if(impl).alias("_n_impl"),
-        F.count_if(F.col("div_proc").isNull()).alias("_n_null"),
-        F.count_if(F.coalesce(F.col("div_proc"), F.lit("")) != IMPLEMENTED_DIVIDEND).alias("_n_nonimpl"),
-    )
+    """The context of given jumps, their events gathered in one pass."""
+    nothing = unres.select("security_id", F.lit(None).cast("date").alias("ex_date")).limit(0)
     keys = ["security_id", "previous_trade_date", "trade_date", "previous_close", "pre_close", "factor_ratio"]
-    u = unres.select(*keys).join(per_sec, "security_id", "left").join(per_day, ["security_id", "trade_date"], "left")
-    n_valid = F.coalesce(F.col("_n_valid"), F.lit(0))
-    ctx = u.select(
-        *keys,
-        F.when(n_valid == 0, F.lit(None).cast("boolean"))
-        .when(F.coalesce(F.col("_n_impl"), F.lit(0)) > 0, F.lit(True))
-        .when(F.coalesce(F.col("_n_null"), F.lit(0)) == n_valid, F.lit(None).cast("boolean"))
-        .otherwise(F.lit(False)).alias("has_same_date_implemented"),
-        F.when(n_valid == 0, F.lit(None).cast("boolean"))
-        .otherwise(F.coalesce(F.col("_n_nonimpl"), F.lit(0)) > 0).alias("has_same_date_nonimplemented"),
-    )
-    ctx = nearest_distance(ctx, valid.where(impl).select(F.col("ts_code").alias("_div_sec"), F.col("ex_date").alias("_ex")),
-                           on=[("security_id", "_div_sec")], point="trade_date", event_date="_ex", out="nearest_implemented_days")
-    ctx = ctx.withColumn("factor_pre_close_basis_diff", basis_diff(F.col("factor_ratio"), F.col("previous_close"), F.col("pre_close")))
-    if suspend is not None:
-        ctx = actions.suspend_in_window(ctx, suspend)
-    else:
-        ctx = ctx.withColumn("has_suspend_window", F.lit(False))
-    change = F.abs(F.col("factor_ratio") - 1.0)
-    return ctx.withColumn(
-        "triage_class",
-        triage_class(F.col("has_same_date_nonimplemented"), F.col("nearest_implemented_days"),
-                     F.col("factor_pre_close_basis_diff"), change),
-    ).withColumn(
-        "dividend_proximity_bucket",
-        proximity_bucket(F.col("has_same_date_implemented"), F.col("has_same_date_nonimplemented"), F.col("nearest_implemented_days")),
-    )
+    return context_of(actions.jump_facts(unres.select(*keys), nothing, dividends, suspend))
 
 
 def dividend_proximity(ctx: DataFrame) -> DataFrame:
@@ -349,30 +329,16 @@ def triage_without_dividends(unres: DataFrame) -> DataFrame:
     )
 
 
-def nearest_implemented_row(jumps: DataFrame, dividends: DataFrame) -> DataFrame:
-    """Nearest implemented dividend per jump (ties to the earlier ex_date)."""
-    from ..operators.temporal import nearest_row
-
-    return nearest_row(jumps, actions.implemented_ex_dates(dividends), row_keys=["security_id", "trade_date"],
-                       on=[("security_id", "security_id")], point="trade_date", event_date="ex_date",
-                       out_date="nearest_implemented_dividend_ex_date", out_days="nearest_implemented_dividend_days")
-
-
-def jump_examples(unres: DataFrame, dividends: DataFrame, suspend: DataFrame | None, n: int = EXAMPLE_LIMIT) -> DataFrame:
-    """The n largest unresolved jumps, then enriched (top-n report).
-
-    Ranking first is exact because (security, day) is unique among jumps;
-    the enrichment joins then touch n rows only.
-    """
-    top = unres.orderBy(F.abs(F.col("factor_ratio") - 1.0).desc(), F.col("security_id").asc(), F.col("trade_date").asc()).limit(n)
-    ctx = dividend_context(top, dividends, suspend)
-    near = nearest_implemented_row(ctx.select("security_id", "trade_date"), dividends)
-    out = ctx.join(near, ["security_id", "trade_date"], "left")
-    return out.select(
+def jump_examples(ctx: DataFrame, n: int = EXAMPLE_LIMIT) -> DataFrame:
+    """The n largest unresolved jumps with their context (top-n report)."""
+    top = ctx.orderBy(F.abs(F.col("factor_ratio") - 1.0).desc(), F.col("security_id").asc(), F.col("trade_date").asc()).limit(n)
+    before, day = F.col("done_before"), F.col("trade_date")
+    earlier = F.datediff(day, before) == F.col("nearest_days")  # a tie goes to the earlier one
+    return top.select(
         "security_id", "previous_trade_date", "trade_date", "factor_ratio",
         magnitude_bucket(F.abs(F.col("factor_ratio") - 1.0)).alias("magnitude_bucket"),
-        "dividend_proximity_bucket", "nearest_implemented_dividend_ex_date",
-        F.col("nearest_implemented_dividend_days").cast("bigint").alias("nearest_implemented_dividend_days"),
+        "dividend_proximity_bucket", F.when(earlier, before).otherwise(F.col("done_after")).alias("nearest_implemented_dividend_ex_date"),
+        F.col("nearest_days").cast("bigint").alias("nearest_implemented_dividend_days"),
         "has_suspend_window", F.round("factor_pre_close_basis_diff", 12).alias("factor_pre_close_basis_diff"), "triage_class",
         F.lit(RECOMMENDED_ACTION).alias("recommended_action"),
     )

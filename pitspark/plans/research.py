@@ -139,13 +139,20 @@ class Research:
         return tradeability.merge_limit_sources(copies) if copies else first
 
     # ledgers and states
+    @cached_property
+    def jump_facts(self) -> DataFrame:
+        """Significant jumps with the evidence of all events; the ledgers and the quality report read it."""
+        jumps = actions.significant_jumps(self.daily_bar_pit)
+        return self._keep("research/jump_facts", actions.jump_facts(jumps, actions.action_rows(self.raw_dividend), self.raw_dividend, self.raw_suspend_d), bucket_by="security_id")
+
     @cached_property
     def corporate_action_ledger(self) -> DataFrame:
-        return self._keep("research/corporate_action_ledger", actions.corporate_action_ledger(self.daily_bar_pit, self.raw_dividend), bucket_by="security_id")
+        columns = actions.LEDGER_COLUMNS
+        return self._keep("research/corporate_action_ledger", actions.action_rows(self.raw_dividend).select(*columns).unionByName(actions.repairs_of(self.jump_facts).select(*columns)), bucket_by="security_id")
 
     @cached_property
     def corporate_action_exception_ledger(self) -> DataFrame:
-        return self._keep("research/corporate_action_exception_ledger", actions.exception_ledger(self.daily_bar_pit, self.corporate_action_ledger, self.raw_dividend, self.raw_suspend_d), bucket_by="security_id")
+        return self._keep("research/corporate_action_exception_ledger", actions.exceptions_of(self.jump_facts.where(~actions.is_explained())), bucket_by="security_id")
 
     @cached_property
     def tradeability_state_daily(self) -> DataFrame:
@@ -179,9 +186,7 @@ class Research:
 
     @cached_property
     def classified_jumps(self) -> DataFrame:
-        from . import quality
-
-        return self._keep("research/classified_jumps", quality.classified_jumps(self.daily_bar_pit, self.corporate_action_ledger), bucket_by="security_id")
+        return self.jump_facts.withColumn("has_explaining_corporate_action", actions.is_explained())
 
     @cached_property
     def unresolved_jumps(self) -> DataFrame:
@@ -193,7 +198,7 @@ class Research:
     def unresolved_context(self) -> DataFrame:
         from . import quality
 
-        return quality.dividend_context(self.unresolved_jumps, self.raw_dividend, self.raw_suspend_d)
+        return quality.context_of(self.unresolved_jumps)
 
 
 class _LazyStore(Mapping):

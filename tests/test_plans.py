@@ -65,3 +65,16 @@ def test_bucketed_spine_needs_no_exchange_for_jump_window(spark, tmp_path):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert "Window" in plan
     assert "Exchange" not in plan
+
+
+def test_jump_facts_take_one_exchange_and_one_window_each_way(spark, tmp_path):
+    r = Research.from_driver(spark, SF, store=str(tmp_path / "store"))
+    bars, dividends, halts = r.daily_bar_pit, r.raw_dividend, r.raw_suspend_d
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = _plan(actions.jump_facts(actions.significant_jumps(bars), actions.action_rows(dividends), dividends, halts))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(re.findall(r"Exchange ", plan)) == 1
+    assert len(re.findall(r"\bWindow \[", plan)) == 3  # the lag over bars, forward and back over jumps and events
+    assert "Join" not in plan

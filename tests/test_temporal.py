@@ -1,10 +1,12 @@
 """Generic temporal operators on hand-made inputs (model: SURVEY §5 new cases)."""
 
 import datetime as dt
+import random
 
 from pyspark.sql import functions as F
 
 from pitspark.operators import temporal as T
+from pitspark.plans import actions
 
 from .conftest import rows
 
@@ -112,3 +114,30 @@ def test_asof_event_directions(spark):
                             until="d", event_date="e", name="hit")
     assert rows(win, "security_id", "d", "hit") == [("A", D(2024, 1, 5), True), ("A", D(2024, 1, 20), False),
                                                     ("B", D(2024, 1, 5), True)]
+
+
+def test_asof_events_equals_a_walk(spark):
+    """Rows and events of several kinds on the same days, with nulls and repeats, against a plain walk."""
+    rng = random.Random(12)
+    day = lambda: dt.date(2024, 1, 1) + dt.timedelta(days=rng.randint(0, 40))
+    events = {k: [(rng.choice(["a", "b", None]), rng.choice([day(), day(), None])) for _ in range(40)] for k in ("x", "y")}
+    points = [(i, rng.choice(["a", "b", "c", None]), rng.choice([day(), day(), day(), None])) for i in range(60)]
+    frames = {k: (spark.createDataFrame(v, "who string, at date"), "who", "at") for k, v in events.items()}
+    lookups = [T.Lookup("last_x", "last", ("x",)), T.Lookup("next_x", "next", ("x",)), T.Lookup("same_y", "same", ("y",)), T.Lookup("all", "total", ("x", "y")), T.Lookup("last_any", "last", ("x", "y"))]
+    got = T.asof_events(spark.createDataFrame(points, "i int, k string, p date"), frames, key="k", point="p", lookups=lookups)
+    want = []
+    for i, k, p in points:
+        of = lambda *kinds: [d for kind in kinds for w, d in events[kind] if k is not None and w == k and d is not None and p is not None]
+        want.append((i, max((d for d in of("x") if d <= p), default=None), min((d for d in of("x") if d >= p), default=None),
+                     sum(d == p for d in of("y")), len(of("x", "y")), max((d for d in of("x", "y") if d <= p), default=None)))
+    assert rows(got, "i", "last_x", "next_x", "same_y", "all", "last_any") == sorted(want)
+
+
+def test_action_date_explains_a_jump(spark):
+    d = dt.date
+    jumps = spark.createDataFrame([("s", d(2024, 1, 2), d(2024, 1, 5), 1.0, 1.0, 1.1)], "security_id string, previous_trade_date date, trade_date date, previous_close double, pre_close double, factor_ratio double")
+    ledger = spark.createDataFrame([("s", None, None, d(2024, 1, 3))], "security_id string, ex_date date, book_date date, action_date date")
+    assert actions.jump_facts(jumps, ledger, None, None).first().has_action
+    assert not actions.jump_facts(jumps, ledger.drop("action_date"), None, None).first().has_action
+    on_previous = ledger.withColumn("action_date", F.lit(d(2024, 1, 2)))
+    assert not actions.jump_facts(jumps, on_previous, None, None).first().has_action
