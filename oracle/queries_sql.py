@@ -278,6 +278,7 @@ QUERIES.update({
         UNION ALL SELECT 'index_daily_bar_pit', 'green', count(*), {K('min(trade_date)')}, {K('max(trade_date)')} FROM index_daily_pit""",
 })
 
+QUERIES["membership_incremental"] = QUERIES["membership_intervals"]
 QUERIES["stream_upsert"] = QUERIES["upsert_replace"]
 
 _BAR = "ts_code, trade_date, open, high, low, close, pre_close, change, pct_chg, vol, amount, source_table"

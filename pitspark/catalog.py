@@ -17,7 +17,7 @@ from pyspark.sql.types import DateType, IntegerType, LongType, ShortType, Timest
 
 from .plans import actions, normalized, quality, tradeability
 from .plans.research import Research
-from .session import checkpoint_dir
+from .session import checkpoint_dir, cut_lineage
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -533,6 +533,20 @@ def _research_tables(r: Research) -> dict[str, DataFrame]:
     }
 
 
+@query("membership_incremental")
+def _membership_incremental(r: Research) -> DataFrame:
+    """Membership kept as a state: the first snapshots, then the others year by year, each reading only itself and the open intervals."""
+    weights = r.benchmark_weight_snapshot_pit
+    year = F.year("trade_date")
+    state = cut_lineage(_reference.membership_state(weights.where(year <= STATE_YEARS[0])))
+    for since, until in zip(STATE_YEARS, [*STATE_YEARS[1:], 9999], strict=True):
+        state = cut_lineage(_reference.extend_membership(state, weights.where((year > since) & (year <= until))))
+    return state.select("benchmark_id", "security_id", "effective_at", "removed_at")
+
+
+STATE_YEARS = [1995, 1996, 1998]
+
+
 @query("contract_check")
 def _contract(r: Research) -> DataFrame:
     """Contract checks; each verdict row carries the checked row count."""

@@ -358,6 +358,20 @@ def close_intervals(
     return df.withColumn(removed, F.least(F.col(removed), nxt))
 
 
+def _islands(rows: DataFrame, group: Sequence[str], member: Sequence[str], snapshot: str, aggregates: Mapping[str, Column]) -> DataFrame:
+    """Runs of consecutive snapshots of each member; ``_next`` is the group's snapshot after a row's."""
+    g, m = list(group), list(member)
+    dates = rows.select(*g, snapshot).distinct()
+    rank_w = Window.partitionBy(*g).orderBy(snapshot)
+    ranked_dates = dates.withColumn("_rank", F.row_number().over(rank_w)).withColumn(
+        "_next", F.lead(snapshot).over(rank_w)
+    )
+    ranked = rows.join(ranked_dates, [*g, snapshot])
+    member_w = Window.partitionBy(*g, *m).orderBy("_rank")
+    ranked = ranked.withColumn("_island", F.col("_rank") - F.row_number().over(member_w))
+    return ranked.groupBy(*g, *m, "_island").agg(*[c.alias(n) for n, c in aggregates.items()]).drop("_island")
+
+
 def islands(
     snapshots: DataFrame,
     *,
@@ -366,6 +380,7 @@ def islands(
     snapshot: str,
     start_out: str = "effective_at",
     end_out: str = "removed_at",
+    seen_out: str | None = None,
 ) -> DataFrame:
     """Membership intervals from full snapshots (gaps and islands).
 
@@ -374,21 +389,89 @@ def islands(
     member is in the group's last snapshot, and a re-entry opens a new
     interval.  Snapshot ranks come from the distinct snapshot dates per group
     (a small table), the island id from ``rank - row_number`` per member.
+    ``seen_out`` names a column for the last snapshot that holds the member;
+    with it the result is a state that ``extend_islands`` goes on from.
     """
-    g = list(group)
-    m = list(member)
-    dates = snapshots.select(*g, snapshot).distinct()
-    rank_w = Window.partitionBy(*g).orderBy(snapshot)
-    ranked_dates = dates.withColumn("_rank", F.row_number().over(rank_w)).withColumn(
-        "_next", F.lead(snapshot).over(rank_w)
-    )
-    rows = snapshots.select(*g, *m, snapshot).distinct().join(ranked_dates, [*g, snapshot])
-    member_w = Window.partitionBy(*g, *m).orderBy("_rank")
-    rows = rows.withColumn("_island", F.col("_rank") - F.row_number().over(member_w))
-    return rows.groupBy(*g, *m, "_island").agg(
-        F.min(snapshot).alias(start_out),
-        F.max_by(F.col("_next"), F.col("_rank")).alias(end_out),
-    ).drop("_island")
+    rows = snapshots.select(*group, *member, snapshot).distinct()
+    aggregates = {start_out: F.min(snapshot), end_out: F.max_by(F.col("_next"), F.col("_rank"))}
+    return _islands(rows, group, member, snapshot, aggregates | ({seen_out: F.max(snapshot)} if seen_out else {}))
+
+
+def extend_islands(
+    state: DataFrame,
+    snapshots: DataFrame,
+    *,
+    group: Sequence[str],
+    member: Sequence[str],
+    snapshot: str,
+    start_out: str = "effective_at",
+    end_out: str = "removed_at",
+    seen_out: str = "last_seen",
+) -> DataFrame:
+    """The state of ``islands`` after further snapshots, without reading earlier ones again.
+
+    Only open intervals take part: each stands for its member in the group's last snapshot, to which the new snapshots are
+    appended; an interval that goes on keeps its start.  Closed intervals pass through.  The state is read several times: hand in
+    a stored table or a checkpoint, and store the result before the next call.  A snapshot that isn't later than
+    the group's last one is an error: what lay between is not in the state.
+    """
+    g, m = list(group), list(member)
+    columns = [*g, *m, start_out, end_out, seen_out]
+    still = state.where(F.col(end_out).isNull())
+    last = still.groupBy(*[F.col(c).alias(f"_{c}") for c in g]).agg(F.max(seen_out).alias("_last"))
+    same_group = F.lit(True)
+    for c in g:
+        same_group = same_group & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    new = snapshots.select(*g, *m, snapshot).distinct().join(last, same_group, "left")
+    late = F.concat(F.lit("snapshot is not later than the state: "), F.col(snapshot).cast("string"))
+    new = new.select(*g, *m, F.when(F.col(snapshot) <= F.col("_last"), F.raise_error(late).cast("date")).otherwise(F.col(snapshot)).alias(snapshot), F.lit(None).cast(state.schema[start_out].dataType).alias("_from"))
+    rows = new.unionByName(still.select(*g, *m, F.col(seen_out).alias(snapshot), F.col(start_out).alias("_from")))
+    grown = _islands(rows, g, m, snapshot, {start_out: F.min(F.coalesce("_from", snapshot)), end_out: F.max_by(F.col("_next"), F.col("_rank")), seen_out: F.max(snapshot)})
+    return state.where(F.col(end_out).isNotNull()).select(*columns).unionByName(grown.select(*columns))
+
+
+def interval_sets(intervals: DataFrame, *, key: str, start: str, end: str, out: str) -> DataFrame:
+    """One row for each key: its closed day intervals, merged and sorted, as an array of (first, last).
+
+    A NULL end is open (``FAR_FUTURE``); intervals that overlap or follow each other without a day between become one;
+    those without a start, or with the end before it, hold no day.
+    """
+    far = F.to_date(F.lit(FAR_FUTURE))
+    known = intervals.select(key, F.col(start).alias("_s"), F.coalesce(F.col(end), far).alias("_e")).where(F.col(key).isNotNull() & (F.col("_s") <= F.col("_e")))
+    w = Window.partitionBy(key).orderBy("_s", "_e")
+    reach = F.max("_e").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.coalesce(F.datediff("_s", reach) > 1, F.lit(True)).cast("int")
+    numbered = known.withColumn("_opens", opens).withColumn("_nth", F.sum("_opens").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    merged = numbered.groupBy(key, "_nth").agg(F.min("_s").alias("first"), F.max("_e").alias("last"))
+    return merged.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("first", "last"))).alias(out))
+
+
+def in_interval_set(point: Column, intervals: Column) -> Column:
+    """Whether a day lies in one of a key's intervals (FALSE where there are none or the day is NULL)."""
+    return F.coalesce(F.exists(intervals, lambda x: (x["first"] <= point) & (point <= x["last"])), F.lit(False))
+
+
+def interval_set_days(sets: DataFrame, days: DataFrame, *, key: str, intervals: str, day: str) -> DataFrame:
+    """(key, day) for each of the given days, distinct ones, that lies in the key's set: days of a set are listed between the
+    first and the last of ``days`` and joined on the day."""
+    first, last = (days.agg(f(day).alias("_d")).scalar() for f in (F.min, F.max))
+    part = sets.select(key, F.explode(intervals).alias("_x")).select(key, F.greatest("_x.first", first).alias("_s"), F.least("_x.last", last).alias("_e"))
+    listed = part.where(F.col("_s") <= F.col("_e")).select(key, F.explode(F.sequence("_s", "_e")).alias(day))
+    return listed.join(days.select(day), day).select(key, day)
+
+
+def reach_before(rows: DataFrame, intervals: DataFrame, *, on: Sequence[str], point: str, start: str, end: str, out: str, inclusive: bool = False) -> DataFrame:
+    """``out`` = the greatest end among the key's intervals that start before ``point`` (or on it, if inclusive).
+
+    One sweep over rows and intervals of a key in order of point and start with a running maximum.  A row [a, b) overlaps an
+    interval exactly if the reach before b lies after a, and lies within one exactly if the reach up to a isn't before b.
+    """
+    both = rows.withColumns({"_pos": F.col(point), "_row": F.lit(True), "_end": F.lit(None).cast(intervals.schema[end].dataType)}).unionByName(
+        intervals.select(*on, F.col(start).alias("_pos"), F.col(end).alias("_end"), F.lit(False).alias("_row")), allowMissingColumns=True)
+    order = [F.col("_pos").asc_nulls_first(), F.col("_row").asc() if inclusive else F.col("_row").desc()]
+    w = Window.partitionBy(*on).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    swept = both.withColumn(out, F.max(F.when(F.col("_pos").isNotNull(), F.col("_end"))).over(w))
+    return swept.where("_row").drop("_pos", "_row", "_end")
 
 
 def forward_fill(df: DataFrame, *, order: str, value: Column, out: str, partition: Sequence[str] = ()) -> DataFrame:

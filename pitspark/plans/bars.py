@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import parse_date_key
 from ..functions.market import A_SHARE_EXCHANGES, board, exchange_of, is_st_name
 from ..functions.text import blank_to_null
-from ..operators.temporal import interval_join, next_asof
+from ..operators.temporal import in_interval_set, interval_set_days, interval_sets, next_asof
 
 BAR_KEYS = ["security_id", "trade_date"]
 
@@ -80,21 +80,15 @@ def st_windows(names: DataFrame) -> DataFrame:
     )
 
 
-def st_daily(calendar: DataFrame, names: DataFrame) -> DataFrame:
-    """Every calendar day inside an ST window of a security (distinct)."""
-    j = interval_join(calendar, st_windows(names), point="trade_date", start="st_start", end="st_end", closed="both")
-    return j.select("trade_date", "security_id", F.lit(True).alias("is_st")).distinct()
-
+def st_sets(names: DataFrame) -> DataFrame:
+    """The ST days of each security as one set of intervals."""
+    return interval_sets(st_windows(names), key="security_id", start="st_start", end="st_end", out="st_days")
 
-def st_keys(bar_keys: DataFrame, names: DataFrame) -> DataFrame:
-    """ST flag keys for bar rows: equi-join on security_id + window residual.
 
-    Same answer as joining the calendar-wide ``st_daily`` (every bar day is a
-    calendar day) without building calendar x windows.
-    """
-    w = st_windows(names)
-    j = interval_join(bar_keys, w, point="trade_date", start="st_start", end="st_end", on="security_id", how="left_semi")
-    return j.select(*BAR_KEYS).withColumn("is_st", F.lit(True))
+def st_daily(calendar: DataFrame, names: DataFrame) -> DataFrame:
+    """Every calendar day inside an ST window of a security (distinct)."""
+    days = interval_set_days(st_sets(names), calendar, key="security_id", intervals="st_days", day="trade_date")
+    return days.select("trade_date", "security_id", F.lit(True).alias("is_st"))
 
 
 def _keyed(df: DataFrame, prefix: str, columns: list[str]) -> DataFrame:
@@ -129,7 +123,8 @@ def daily_bar_pit(
     u = _keyed(unadj, "u_", PRICE_COLS)
     q = _keyed(qfq, "q_", PRICE_COLS)
     a = _keyed(adj, "a_", ["adj_factor", "source_table", "ingested_at"])
-    m = master.select("security_id", "exchange", "board")
+    # one row per security: the master with the security's ST days as a set, looked up row by row
+    m = master.select("security_id", "exchange", "board").join(st_sets(names), "security_id", "left")
     # the master (one row per security) filters the driving table first, so
     # every later join is keyed by (security_id, trade_date) and can reuse the
     # security_id partitioning
@@ -140,7 +135,6 @@ def daily_bar_pit(
         .join(q, BAR_KEYS, "left")
         .where(F.col("u_present").isNotNull() | F.col("q_present").isNotNull())
     )
-    j = j.join(st_keys(d.select(*BAR_KEYS), names), BAR_KEYS, "left")
     has_u = F.col("u_present").isNotNull()
 
     def pick(c: str) -> F.Column:
@@ -154,7 +148,7 @@ def daily_bar_pit(
         "trade_date",
         "exchange",
         "board",
-        F.coalesce(F.col("is_st"), F.lit(False)).alias("is_st"),
+        in_interval_set(F.col("trade_date"), F.col("st_days")).alias("is_st"),
         F.when(has_u, F.lit("unadjusted")).otherwise(F.lit("qfq_fallback")).alias("price_basis"),
         *[pick(c).alias(c) for c in ["open", "high", "low", "close", "pre_close", "change", "pct_chg"]],
         F.col("a_adj_factor").alias("adj_factor"),

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import clean_text, normalize_industry_code, normalize_security_id
-from ..operators.temporal import close_intervals, forward_fill
+from ..operators.temporal import close_intervals, forward_fill, reach_before
 from ..session import cut_lineage
 
 # Levels -> schema name, placeholder day, defaults of the import.
@@ -330,13 +330,10 @@ def supported_adjudications(adj: DataFrame, official: DataFrame) -> DataFrame:
     new_identity = official.select("security_id", "industry_schema").distinct()
     legacy = official.select(F.col("security_id").alias("legacy_security_id"), "industry_schema", "industry_code",
                              F.col("effective_at").alias("_ls"), F.col("removed_at").alias("_le"))
-    la = alias_rows.alias("a").join(
-        legacy.alias("l"),
-        (F.col("a.legacy_security_id") == F.col("l.legacy_security_id")) & (F.col("a.industry_schema") == F.col("l.industry_schema"))
-        & (F.col("a.industry_code") == F.col("l.industry_code")) & (F.col("l._ls") <= F.col("a.start_date"))
-        & (F.col("l._le").isNull() | (F.col("l._le") >= F.col("a.end_date"))),
-        "left_semi",
-    ).join(new_identity, ["security_id", "industry_schema"], "left_semi")
+    far = F.to_timestamp(F.lit(FAR_END))
+    held = ["legacy_security_id", "industry_schema", "industry_code"]
+    la = reach_before(alias_rows, legacy.select(*held, "_ls", F.coalesce("_le", far).alias("_le")), on=held, point="start_date", start="_ls", end="_le", out="_reach", inclusive=True)
+    la = la.where(F.col("_reach") >= F.col("end_date")).select(*adj.columns).join(new_identity, ["security_id", "industry_schema"], "left_semi")
     return direct.unionByName(la)
 
 
@@ -347,12 +344,11 @@ def apply_adjudications(official: DataFrame, adj: DataFrame) -> tuple[DataFrame,
     sup = supported_adjudications(adj, official).where(F.col("source_type").isin(*EXTENDING_TYPES))
     keyed = official.select("security_id", "industry_schema").distinct()
     sup = sup.join(keyed, ["security_id", "industry_schema"], "left_semi")
+    ends = official.select("security_id", "industry_schema", "effective_at", F.coalesce("removed_at", F.to_timestamp(F.lit(FAR_END))).alias("_to"))
+    swept = reach_before(sup, ends, on=["security_id", "industry_schema"], point="end_date", start="effective_at", end="_to", out="_reach")
+    no_overlap = swept.where(F.col("_reach").isNull() | (F.col("_reach") <= F.col("start_date"))).drop("_reach")
     o = official.alias("o")
-    a = sup.alias("a")
     key = (F.col("o.security_id") == F.col("a.security_id")) & (F.col("o.industry_schema") == F.col("a.industry_schema"))
-    overlap = (F.col("o.effective_at") < F.col("a.end_date")) & (
-        F.col("a.start_date") < F.coalesce(F.col("o.removed_at"), F.to_timestamp(F.lit(FAR_END))))
-    no_overlap = a.join(o, key & overlap, "left_anti")
     edge = (F.col("o.industry_code") == F.col("a.industry_code")) & (F.col("o.effective_at") == F.col("a.end_date"))
     touching = no_overlap.alias("a").join(o, key & edge, "left_semi")
     applied = touching.unionByName(no_overlap.where(F.col("source_type") == "security_code_alias_backfill")).distinct()

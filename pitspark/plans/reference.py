@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import parse_date_key
 from ..functions.text import clean_text, nullable_text
-from ..operators.temporal import close_intervals, islands
+from ..operators.temporal import close_intervals, extend_islands, islands
 
 # Industry levels -> (schema, code column of the membership feed).
 INDUSTRY_LEVELS = {"L1": ("sw2021_l1", "l1_code"), "L2": ("sw2021_l2", "l2_code"), "L3": ("sw2021_l3", "l3_code")}
@@ -22,6 +22,19 @@ def membership_intervals(weights: DataFrame) -> DataFrame:
     )
 
 
+MEMBERSHIP = {"group": ["benchmark_id"], "member": ["security_id"], "snapshot": "trade_date"}
+
+
+def membership_state(weights: DataFrame) -> DataFrame:
+    """Membership intervals with the last snapshot of each, from which later snapshots go on."""
+    return islands(weights, **MEMBERSHIP, seen_out="last_seen")
+
+
+def extend_membership(state: DataFrame, weights: DataFrame) -> DataFrame:
+    """The state after further weight snapshots."""
+    return extend_islands(state, weights, **MEMBERSHIP)
+
+
 def close_industry_intervals(rows: DataFrame) -> DataFrame:
     """W8 on industry rows: cut at the next start per (security, schema),
     ordered by (effective_at, industry_code)."""

@@ -1,5 +1,7 @@
 """Official industry import: precedence, crosswalk ambiguity, anchors."""
 
+import datetime as dt
+
 from pitspark.plans import industry as I
 
 from .conftest import rows
@@ -58,3 +60,29 @@ def test_anchor_only_without_cutover_day_record(spark):
                                  "`交易所` string, `行业代码` string, `股票代码` string, row_no bigint")
     anchors = I.cutover_anchors(I.snapshot_codes(snap), I.stock_records(ledger), I.ImportParams())
     assert [r[0] for r in rows(anchors, "security_id")] == ["600002.SH"]
+
+
+def test_alias_adjudication_takes_the_legacy_interval(spark):
+    """A new code takes over an interval that its legacy code held, unless one of its own rows overlaps it."""
+    t = lambda y, m=1: dt.datetime(y, m, 1)
+    official = spark.createDataFrame([
+        ("OLD.SZ", "sw2021_l1", "801010", t(2000), t(2010)), ("NEW.SZ", "sw2021_l1", "801020", t(2010), None),
+        ("BUSY.SZ", "sw2021_l1", "801020", t(2003), t(2004)),
+    ], "security_id string, industry_schema string, industry_code string, effective_at timestamp, removed_at timestamp")
+
+    def alias(new, start, end, code="801010", legacy="OLD.SZ", schema="sw2021_l1"):
+        return (new, start, end, schema, "L1", code, "security_code_alias_backfill", None, None, None, "medium", "", legacy)
+
+    adj = spark.createDataFrame([
+        alias("NEW.SZ", t(2001), t(2010)),            # held by the old code, touches no own row from the left
+        alias("BUSY.SZ", t(2002), t(2003, 6)),        # overlaps an own row
+        alias("BUSY.SZ", t(2005), t(2006)),           # free again
+        alias("NEW.SZ", t(1999), t(2001)),            # the old code began later
+        alias("NEW.SZ", t(2001), t(2002), "801099"),  # the old code held another industry
+        alias("NONE.SZ", t(2001), t(2002)),           # the new code has no rows
+    ], "security_id string, start_date timestamp, end_date timestamp, industry_schema string, industry_level string, industry_code string, source_type string, "
+       "evidence_url string, evidence_date timestamp, available_at timestamp, confidence string, adjudication_note string, legacy_security_id string")
+    closed, applied = I.apply_adjudications(official, adj)
+    assert rows(applied, "security_id", "start_date") == [("BUSY.SZ", t(2005)), ("NEW.SZ", t(2001))]
+    assert ("NEW.SZ", t(2001), t(2010)) in rows(closed, "security_id", "effective_at", "removed_at")
+    assert closed.count() == 5

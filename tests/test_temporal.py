@@ -3,6 +3,8 @@
 import datetime as dt
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from pitspark.operators import temporal as T
@@ -141,3 +143,59 @@ def test_action_date_explains_a_jump(spark):
     assert not actions.jump_facts(jumps, ledger.drop("action_date"), None, None).first().has_action
     on_previous = ledger.withColumn("action_date", F.lit(d(2024, 1, 2)))
     assert not actions.jump_facts(jumps, on_previous, None, None).first().has_action
+
+
+def _spans(rng, n, keys, null_end=0.2):
+    out = []
+    for _ in range(n):
+        s = D(2024, 1, 1) + dt.timedelta(days=rng.randint(0, 60))
+        out.append((rng.choice(keys), rng.choice([s, s, s, s, None]), None if rng.random() < null_end else s + dt.timedelta(days=rng.randint(-2, 12))))
+    return out
+
+
+def test_interval_sets_hold_the_days_of_their_intervals(spark):
+    rng = random.Random(13)
+    spans = _spans(rng, 60, ["a", "b", "c", "d", None], null_end=0.03)
+    sets = T.interval_sets(spark.createDataFrame(spans, "k string, s date, e date"), key="k", start="s", end="e", out="x")
+    for k, x in sets.collect():
+        assert all(a["last"] + dt.timedelta(days=1) < b["first"] for a, b in zip(x, x[1:])) and k is not None
+    days = [D(2023, 12, 25) + dt.timedelta(days=i) for i in range(100)]
+    points = spark.createDataFrame([(k, d) for k in "abcdz" for d in [*days, None]], "k string, d date")
+    inside = {(k, d) for k in "abcd" for d in days for w, s, e in spans if w == k and s is not None and s <= d and (e is None or d <= e)}
+    got = points.join(sets, "k", "left").where(T.in_interval_set(F.col("d"), F.col("x")))
+    assert set(rows(got, "k", "d")) == inside
+    listed = T.interval_set_days(sets, spark.createDataFrame([(d,) for d in days[::3]], "d date"), key="k", intervals="x", day="d")
+    assert rows(listed) == sorted((k, d) for k, d in inside if d in days[::3])
+
+
+def test_sweep_agrees_with_pairs(spark):
+    rng = random.Random(14)
+    official = [(k, s, e or D(2999, 1, 1)) for k, s, e in _spans(rng, 50, ["a", "b"]) if s]
+    candidates = [(i, k, s, e or D(2024, 3, 1)) for i, (k, s, e) in enumerate(_spans(rng, 80, ["a", "b", "c"])) if s]
+    o = spark.createDataFrame(official, "k string, s date, e date")
+    c = spark.createDataFrame(candidates, "i int, k string, a date, b date")
+    before = T.reach_before(c, o, on=["k"], point="b", start="s", end="e", out="r")
+    assert rows(before, "i", "r") == sorted((i, max((e for w, s, e in official if w == k and s < b), default=None)) for i, k, a, b in candidates)
+    swept = before.where(F.col("r").isNull() | (F.col("r") <= F.col("a"))).select("i")
+    pairs = c.alias("c").join(o.alias("o"), (F.col("c.k") == F.col("o.k")) & (F.col("o.s") < F.col("c.b")) & (F.col("c.a") < F.col("o.e")), "left_anti")
+    assert rows(swept) == rows(pairs, "i") and 0 < swept.count() < len(candidates)
+    upto = T.reach_before(c, o, on=["k"], point="a", start="s", end="e", out="r", inclusive=True)
+    assert rows(upto.where("r >= b"), "i") == sorted((i,) for i, k, a, b in candidates if any(w == k and s <= a and e >= b for w, s, e in official))
+
+
+def test_islands_extended_equal_islands_of_everything(spark):
+    rng = random.Random(15)
+    days = [D(2024, m, 1) for m in range(1, 9)]
+    snaps = [(g, m, d) for g in ("x", "y", None) for m in range(6) for d in days if rng.random() < 0.6 and not (g == "y" and d > D(2024, 5, 1))]
+    df = spark.createDataFrame(snaps, "g string, m int, d date").where("g is not null")
+    names = {"group": ["g"], "member": ["m"], "snapshot": "d"}
+    whole = rows(T.islands(df, **names))
+    for cuts in ([3], [1, 2, 3, 4, 6]):
+        state = T.islands(df.where(F.col("d") <= days[cuts[0] - 1]), **names, seen_out="last_seen").checkpoint()
+        for a, b in zip(cuts, [*cuts[1:], 8]):
+            state = T.extend_islands(state, df.where((F.col("d") > days[a - 1]) & (F.col("d") <= days[b - 1])), **names).checkpoint()
+        assert rows(state.drop("last_seen")) == whole
+    assert any(r[3] is not None for r in whole) and len({r[:2] for r in whole}) < len(whole)  # with members that come back
+    state = T.islands(df, **names, seen_out="last_seen")
+    with pytest.raises(Exception, match="not later"):
+        T.extend_islands(state, df.where(F.col("d") == days[2]), **names).collect()
