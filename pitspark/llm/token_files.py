@@ -17,7 +17,6 @@ chunk of many blocks; other columns are not read.
 
 from __future__ import annotations
 
-import os
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -29,50 +28,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pitspark.llm.bpe import PLAIN_WORD_CACHE, WORD, _groups
 from pitspark.llm.common import id_text, real_id, shared_dir, table
+from pitspark.llm.subwords import encoded
 
 BLOCK_IDS = 16_384  # ids in a block
 CHUNK_IDS = 1 << 17  # a chunk is closed by the document that reaches it
 CHUNK_SCHEMA = "shard int, chunk int, offset bigint, doc_ids array<bigint>, doc_tokens array<bigint>, n_ids bigint, plane_sizes array<int>, planes binary"
 
 
-class LibraryEncoder:
-    """The tokenizers library, asked once for each distinct word; a text's ids are those of its words in a row."""
-
-    def __init__(self, path: str):
-        import regex
-        from tokenizers import Tokenizer
-
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        self.library = Tokenizer.from_file(path)
-        self.library.no_truncation()
-        self.library.no_padding()
-        self.words = regex.compile(WORD)
-        self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.memory: dict[str, bytes] = {}
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian 32-bit integers."""
-        whole = [any(a in t for a in self.added) for t in texts]
-        cut = [[] if w else self.words.findall(t) for t, w in zip(texts, whole, strict=True)]
-        memory = self.memory
-        new = {p for ps in cut for p in ps if p not in memory}
-        if len(memory) + len(new) > PLAIN_WORD_CACHE:
-            memory.clear()
-            new = {p for ps in cut for p in ps}
-        order = list(new)
-        for p, e in zip(order, self.library.encode_batch_fast(order, add_special_tokens=False), strict=True):
-            memory[p] = np.array(e.ids, dtype="<u4").tobytes()
-        return [
-            np.array(self.library.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes() if w else b"".join([memory[p] for p in ps])
-            for t, w, ps in zip(texts, whole, cut, strict=True)
-        ]
-
-
-_ENCODERS: dict[str, LibraryEncoder] = {}
-
-
 def to_planes(ids: np.ndarray, kind: str = "byte") -> list[bytes]:
     """Byte planes (4) or bit planes (32) of one block of 32-bit ids."""
     by_byte = np.ascontiguousarray(ids.astype("<u4").view(np.uint8).reshape(-1, 4).T)
@@ -125,9 +88,6 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if tokenizer_path not in _ENCODERS:
-            _ENCODERS[tokenizer_path] = LibraryEncoder(tokenizer_path)
-        encoder = _ENCODERS[tokenizer_path]
         shard = TaskContext.get().partitionId()
         chunk = offset = held = 0
         doc_ids: list[int] = []
@@ -142,11 +102,12 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds, strict=True)], names=names)
 
         for batch in batches:
-            ids = iter(batch.column("_id").to_pylist())
-            for texts in _groups(batch.column("_text").to_pylist()):
-                for raw in encoder.encode(texts):
-                    doc_ids.append(next(ids))
-                    parts.append(raw + end)
+            names = batch.column("_id").to_pylist()
+            for at, to, flat, first in encoded(batch, tokenizer_path):
+                ids, edge = flat.astype("<u4"), first.tolist()
+                for k in range(to - at):
+                    doc_ids.append(names[at + k])
+                    parts.append(ids[edge[k] : edge[k + 1]].tobytes() + end)
                     held += len(parts[-1]) // 4
                     if held >= CHUNK_IDS:
                         yield close()
