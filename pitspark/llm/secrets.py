@@ -26,10 +26,11 @@ BASE_RULES = [
     ("access", r"AKIA[A-Z0-9]{16,}", 0, 20),
     ("hex", r"[0-9a-f]{24,}", 0, 24),
 ]
-# Kinds beyond the base: private key heads, signed web tokens, prefixed service tokens.
+# Kinds beyond the base: private key heads, signed web tokens, prefixed service tokens.  Repeated groups are bounded (the
+# matcher recurses into them) and a web token begins where its characters do (else a long run is read once for each "eyJ" in it).
 MORE_RULES = [
-    ("pem", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----", 0, 1),
-    ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 1),
+    ("pem", r"-----BEGIN (?:[A-Z]{1,20} ){0,4}PRIVATE KEY-----", 0, 1),
+    ("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 1),
     ("service", r"(?:gh[pousr]_[A-Za-z0-9]{36,}|xox[abpr]-[A-Za-z0-9-]{10,}|sk_live_[A-Za-z0-9]{16,})", 0, 1),
 ]
 RULES = BASE_RULES + MORE_RULES
