@@ -42,9 +42,10 @@ STANDS_FOR = {
 }
 APART = " .-_*~'"  # marks that may keep the letters of a word apart
 SIGNS = "".join(re.escape(c) for c in STANDS_FOR)
+#: Disguised words.  The second form begins where a run of its characters does, so a run is read once and not from each of its characters.
 DISGUISED = re.compile(
     rf"(?<!\S)[^\W_](?:[{re.escape(APART)}](?:[^\W_]|[{SIGNS}])){{3,}}(?!\S)"  # letters kept apart
-    rf"|(?:[^\W_]|[@$!])*(?:[^\W\d_](?:[{SIGNS}]|[-._*~'](?=[^\W\d_]))|[{SIGNS}][^\W\d_]|([^\W\d_])\1\1)(?:[^\W_]|[{SIGNS}]|[-._*~'](?=[^\W\d_]))*",
+    rf"|(?<![^\W_])(?<![@$!])(?:[^\W_]|[@$!])*(?:[^\W\d_](?:[{SIGNS}]|[-._*~'](?=[^\W\d_]))|[{SIGNS}][^\W\d_]|([^\W\d_])\1\1)(?:[^\W_]|[{SIGNS}]|[-._*~'](?=[^\W\d_]))*",
     re.IGNORECASE,
 )
 
