@@ -123,18 +123,19 @@ class Shard:
 
 
 def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """Rows (_id, _v) that take part."""
+    """Rows (_id, _v) that take part, of any length."""
     v = vectors.select(F.col(id_col).cast("long").alias("_id"), F.col(vec_col).cast("array<double>").alias("_v")).filter("_id is not null and _v is not null")
     fine = F.forall("_v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("_v", lambda x: x != 0)
-    v = v.filter(fine)
-    size = v.groupBy(F.size("_v").alias("n")).count().orderBy(F.desc("count"), "n").limit(1)
-    return v.join(F.broadcast(size.select("n")), F.size("_v") == F.col("n"), "left_semi")  # one row
+    return v.filter(fine)
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """The k best rows of ``vectors`` for each row of ``queries``: query_id, rank, vec_id, score."""
     spark = vectors.sparkSession
     rows, asked = usable(vectors, id_col, vec_col), usable(queries, id_col, vec_col)
+    # One length for both sides, the most frequent one among the candidates: other vectors have no inner product with them.
+    size = rows.groupBy(F.size("_v").alias("n")).count().orderBy(F.desc("count"), "n").first()
+    rows, asked = (v.filter(F.size("_v") == (size["n"] if size else 0)) for v in (rows, asked))
     schema = "query_id bigint, vec_id bigint, score double"
     facts = rows.agg(F.count("*").alias("n"), F.max(F.aggregate("_v", F.lit(0.0), lambda a, x: a + x * x)).alias("top")).first()
     if not facts["n"]:
