@@ -103,13 +103,16 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-ORACLE = f"""
+ORACLE = rf"""
 WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
                   generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents),
-run AS (SELECT doc_id, pos, line, string_agg(line, chr(10)) OVER v AS body, count(*) OVER v AS n
-        FROM l WINDOW v AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND {MIN_LINES - 1} FOLLOWING)),
-ranked AS (SELECT doc_id, pos, row_number() OVER (PARTITION BY body ORDER BY doc_id, pos) AS nth FROM run WHERE n = {MIN_LINES}),
-gone AS (SELECT DISTINCT doc_id, pos + k AS pos FROM ranked, range({MIN_LINES}) t(k) WHERE nth > 1),
+told AS (SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words FROM l),
+run AS ({" UNION ALL ".join(f"""
+        SELECT doc_id, pos, {k} AS size, string_agg(line, chr(10)) OVER v AS body, count(*) OVER v AS n, sum(words) OVER v AS words
+        FROM told WINDOW v AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND {k - 1} FOLLOWING)""" for k in range(1, MIN_LINES + 1))}),
+ranked AS (SELECT doc_id, pos, size, row_number() OVER (PARTITION BY size, body ORDER BY doc_id, pos) AS nth
+           FROM run WHERE n = size AND (size = {MIN_LINES} OR words >= {MIN_WORDS})),
+gone AS (SELECT DISTINCT doc_id, pos + k AS pos FROM ranked, range({MIN_LINES}) t(k) WHERE nth > 1 AND k < size),
 marked AS (SELECT l.doc_id, l.pos, l.line, gone.pos IS NOT NULL AS cut FROM l LEFT JOIN gone USING (doc_id, pos)),
 edged AS (SELECT *, cut AND NOT coalesce(lag(cut) OVER (PARTITION BY doc_id ORDER BY pos), false) AS opens FROM marked)
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (cut) AS n_removed, count(*) FILTER (opens) AS n_runs,
