@@ -214,9 +214,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that hold no benchmark item."""
-    hits = contaminated(docs, benchmark, id_col, text_col).select(F.col("doc_id").alias("_hit")).distinct()
-    return docs.join(hits, docs[id_col].eqNullSafe(hits["_hit"]), "left_anti")
+    """The documents that hold no benchmark item.  Rows are told apart by their texts, so ids may be null or repeat."""
+    key = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    hits = contaminated(docs.select(key.alias("_key"), F.col(text_col).alias("_body")), benchmark, "_key", "_body").select(F.col("doc_id").alias("_hit")).distinct()
+    return docs.join(hits, key == F.col("_hit"), "left_anti")
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -383,12 +383,44 @@ class JaccardJoin:
         self.classes = own.select(real(F.col("_id")).alias("doc_id"), F.col("n").alias("n_shingles"), real(F.coalesce("root", "rep", "_id")).alias("component_id"))
 
 
+def row_keys(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, bool]:
+    """The documents with ``_key``, their id where it is theirs alone, and whether others had to be made.
+
+    Rows with a null id, or with an id that other rows have too, get a number beyond 2**62 from their id and text, so that rows of
+    one id and different texts are different documents.
+    """
+    own = F.col(id_col).cast("long")
+    shared = stored(docs.groupBy(own.alias("_shared")).agg(F.count("*").alias("n")).filter("n > 1 or _shared is null").select("_shared", F.lit(True).alias("_made")), "shared-ids", large=False)
+    if shared.isEmpty():
+        return docs.withColumn("_key", own), False
+    made = F.lit(1 << 62) + F.xxhash64(own, F.coalesce(F.col(text_col), F.lit(""))).bitwiseAND(F.lit((1 << 61) - 1))
+    marked = docs.join(shared, own.eqNullSafe(F.col("_shared")), "left")
+    return marked.withColumn("_key", F.when(F.col("_made"), made).otherwise(own)).drop("_shared", "_made"), True
+
+
+def document_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row for each row of ``docs``: doc_id, n_shingles, component_id, the least id of the class."""
+    keyed, made = row_keys(docs.select(id_col, text_col), id_col, text_col)
+    classes = JaccardJoin(keyed, "_key", text_col).classes
+    if not made:
+        return classes
+    rows = keyed.select("_key", F.col(id_col).cast("long").alias("doc_id")).join(classes.distinct().withColumnRenamed("doc_id", "_key"), "_key")
+    least = rows.groupBy("component_id").agg(F.min("doc_id").alias("least"))
+    return rows.join(least, "component_id").select("doc_id", "n_shingles", F.col("least").alias("component_id"))
+
+
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents with only the least id of each class kept."""
-    kept = JaccardJoin(docs, id_col, text_col).classes.filter("doc_id <=> component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, docs[id_col].eqNullSafe(kept["_kept"]), "left_semi").dropDuplicates([id_col])
+    """The documents with only one of each class kept: that of the least id, null ids last; of rows that repeat id and text, one."""
+    keyed, made = row_keys(docs, id_col, text_col)
+    classes = JaccardJoin(keyed, "_key", text_col).classes
+    if not made:
+        kept = classes.filter("doc_id = component_id").select(F.col("doc_id").alias("_kept"))
+        return docs.join(kept, F.col(id_col).cast("long") == F.col("_kept"), "left_semi")
+    rows = keyed.select("_key", F.col(id_col).cast("long").alias("_own")).join(classes.distinct().withColumnRenamed("doc_id", "_key"), "_key")
+    best = rows.groupBy("component_id").agg(F.min(F.struct(F.col("_own").isNull().alias("none"), "_own", "_key")).alias("best"))
+    return keyed.join(best.select(F.col("best._key").alias("_kept")), F.col("_key") == F.col("_kept"), "left_semi").dropDuplicates(["_key"]).drop("_key")
 
 
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class of every document under links of Jaccard similarity 0.75 or more on 5-word shingles."""
-    return JaccardJoin(table(spark, sf_dir, "documents")).classes
+    return document_classes(table(spark, sf_dir, "documents"))
