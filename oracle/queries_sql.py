@@ -278,6 +278,54 @@ QUERIES.update({
         UNION ALL SELECT 'index_daily_bar_pit', 'green', count(*), {K('min(trade_date)')}, {K('max(trade_date)')} FROM index_daily_pit""",
 })
 
+def _section(name: str, key: str, place: str, top: str = "") -> str:
+    """Breakdown of the unresolved jumps by a class, numbered by its place."""
+    return f"""
+        SELECT '{name}' AS section, row_number() OVER (ORDER BY place, key) AS position, key, NULL::VARCHAR AS text, NULL::DOUBLE AS number, rows, securities,
+               {K('earliest_date')} AS earliest_date, {K('latest_date')} AS latest_date
+        FROM (SELECT {key} AS key, {place} AS place, count(*) AS rows, count(DISTINCT security_id) AS securities, min(trade_date) AS earliest_date,
+                     max(trade_date) AS latest_date FROM q_ctx GROUP BY key) {top}"""
+
+
+_NO_JUMP = "NULL::BIGINT AS rows, NULL::BIGINT AS securities, NULL::VARCHAR AS earliest_date, NULL::VARCHAR AS latest_date"
+_SUMMARY = """
+            SELECT metric AS key, value::DOUBLE AS number FROM quality_scalars
+            UNION ALL SELECT key, n::DOUBLE FROM (UNPIVOT issue_counts ON COLUMNS(*) INTO NAME key VALUE n)
+            UNION ALL SELECT 'official_ratio', official_ratio FROM source_ratios
+            UNION ALL SELECT 'fallback_ratio', fallback_ratio FROM source_ratios
+            UNION ALL SELECT 'adj_factor_jump_rows', count(*) FROM jump_facts
+            UNION ALL SELECT 'explained_adj_factor_jump_rows', count(*) FROM jump_facts WHERE has_explaining_corporate_action
+            UNION ALL SELECT 'unresolved_adj_factor_jump_rows', count(*) FROM q_unresolved"""
+
+
+def _said(section: str, position: int, key: str, test: str, tail: str = "''") -> str:
+    return f"""
+        SELECT '{section}' AS section, {position}::BIGINT AS position, key, key || '=' || number::BIGINT || {tail} AS text, NULL::DOUBLE AS number, {_NO_JUMP}
+        FROM ({_SUMMARY}) WHERE key = '{key}' AND number {test}"""
+
+
+QUERIES["quality_report"] = " UNION ALL ".join([
+    _section("years", "strftime(trade_date, '%Y')", "0"),
+    _section("magnitude_buckets", "bucket", "(SELECT any_value(b.place) FROM size_bands b WHERE b.bucket = q_ctx.bucket)"),
+    _section("dividend_proximity", "dividend_proximity_bucket", place_in(PROXIMITY, "dividend_proximity_bucket")),
+    _section("triage", "triage_class", place_in(TRIAGE_ORDER, "triage_class")),
+    _section("top_securities", "security_id", "0").replace("(ORDER BY place, key)", "(ORDER BY rows DESC, key)") + " QUALIFY position <= 30",
+    f"""
+        SELECT 'summary' AS section, row_number() OVER (ORDER BY key) AS position, key, NULL::VARCHAR AS text, number, {_NO_JUMP} FROM ({_SUMMARY})""",
+    f"""
+        SELECT 'state' AS section, 1::BIGINT AS position, 'adj_factor_jump_assessable' AS key, 'true' AS text, NULL::DOUBLE AS number, {_NO_JUMP}""",
+    f"""
+        SELECT 'state' AS section, 2::BIGINT AS position, 'promotion_blocking_quality_state' AS key,
+               CASE WHEN count(*) > 0 THEN 'blocked_unresolved_adj_factor_jumps' ELSE 'pass' END AS text, NULL::DOUBLE AS number, {_NO_JUMP} FROM q_unresolved""",
+    f"""
+        SELECT 'failures' AS section, 1::BIGINT AS position, 'official_ratio' AS key, format('official_ratio {{:.6f}} below min_official_ratio 0.500000', official_ratio) AS text,
+               NULL::DOUBLE AS number, {_NO_JUMP} FROM source_ratios WHERE official_ratio < 0.5""",
+    _said("warnings", 2, "tradeability_missing_limit_rows", "> 0"),
+    _said("warnings", 3, "incomplete_trading_date_count", "> 0"),
+    _said("failures", 4, "high_issue_count", "> 0"),
+    _said("failures", 5, "unresolved_adj_factor_jump_count", "> 100", "' exceeds 100'"),
+    _said("failures", 6, "missing_limit_count", "> 1000", "' exceeds 1000'"),
+])
 QUERIES["membership_incremental"] = QUERIES["membership_intervals"]
 QUERIES["stream_upsert"] = QUERIES["upsert_replace"]
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, IntegerType, LongType, ShortType, TimestampNTZType, TimestampType
 
-from .plans import actions, normalized, quality, tradeability
+from .plans import actions, normalized, quality, report, tradeability
 from .plans.research import Research
 from .session import checkpoint_dir, cut_lineage
 
@@ -293,6 +293,13 @@ def _gates(r: Research) -> DataFrame:
                                  scalars, GATES)
 
 
+@query("quality_report")
+def _quality_report(r: Research) -> DataFrame:
+    """The whole quality report as rows."""
+    jumps = quality.context_of(r.classified_jumps)
+    return report.quality_report(r.spark, report.ReportInputs(r.daily_bar_pit, r.corporate_action_ledger, r.tradeability_state_daily, r.usability_flags, jumps), GATES)
+
+
 @query("jump_totals")
 def _jump_totals(r: Research) -> DataFrame:
     return quality.jump_totals(r.classified_jumps)

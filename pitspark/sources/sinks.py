@@ -49,3 +49,12 @@ def write_report(df: DataFrame, path: str) -> str:
     """A small report frame (gates, audit checks, summaries) as JSON lines."""
     df.coalesce(1).write.mode("overwrite").json(path)
     return path
+
+
+def write_quality_report(report: DataFrame, path: str, fmt: str = "json") -> str:
+    """The assembled quality report (``plans.report``) as one JSON or Markdown file in the folder ``path``."""
+    from ..plans.report import as_json, as_markdown
+
+    text = {"json": as_json, "markdown": as_markdown}[fmt](report)
+    report.sparkSession.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    return path
