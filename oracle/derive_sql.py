@@ -344,3 +344,12 @@ CTES += [
                symbol AS "股票代码", CAST(k AS BIGINT) AS row_no
         FROM {_SUP}"""),
 ]
+
+CTES += [
+    ("raw_index_weight", "SELECT benchmark_id AS index_code, security_id AS con_code, trade_date, weight FROM benchmark_weight_snapshot_pit"),
+    ("raw_income", "SELECT ts_code, ann_date, end_date FROM pit_fina_indicator"),
+    ("raw_balancesheet", "FROM raw_income"),
+    ("raw_cashflow", "FROM raw_income"),
+    ("raw_forecast", "SELECT * FROM raw_income WHERE end_date[5:8] = '1231'"),
+    ("raw_express", "SELECT * FROM raw_income WHERE end_date[5:8] IN ('0630', '1231')"),
+]

@@ -183,17 +183,6 @@ QUERIES.update({
         SELECT DISTINCT * FROM (
             SELECT ts_code, trade_date, up_limit, down_limit FROM raw_stk_limit
             UNION ALL SELECT ts_code, trade_date, up_limit, down_limit FROM sup_raw_stk_limit)""",
-    "high_water_mark": """
-        SELECT 'stock_basic' AS dataset_id, 'static' AS axis, NULL::VARCHAR AS last_date
-        UNION ALL SELECT 'trade_cal', 'trade_date', max(cal_date) FROM raw_trade_cal
-        UNION ALL SELECT 'namechange', 'static', NULL
-        UNION ALL SELECT 'daily', 'trade_date', max(trade_date) FROM raw_kline_unadj
-        UNION ALL SELECT 'daily_basic', 'trade_date', max(trade_date) FROM raw_daily_basic
-        UNION ALL SELECT 'adj_factor', 'trade_date', max(trade_date) FROM raw_adj_factor
-        UNION ALL SELECT 'daily_qfq', 'trade_date', max(trade_date) FROM raw_kline_qfq
-        UNION ALL SELECT 'suspend_d', 'trade_date', max(trade_date) FROM raw_suspend_d
-        UNION ALL SELECT 'stk_limit', 'trade_date', max(trade_date) FROM raw_stk_limit
-        UNION ALL SELECT 'fina_indicator', 'period_end', max(end_date) FROM pit_fina_indicator""",
     "incremental_filter": f"""
         SELECT ts_code, trade_date FROM raw_daily_basic
         WHERE {PD('trade_date')} >= (SELECT greatest(max({PD('trade_date')}) + 1, DATE '1999-06-01')
@@ -278,6 +267,27 @@ QUERIES.update({
         UNION ALL SELECT 'index_daily_bar_pit', 'green', count(*), {K('min(trade_date)')}, {K('max(trade_date)')} FROM index_daily_pit""",
 })
 
+# Notes of the registry.
+NOTES = {
+    "daily_bar_pit": "one bar a security and day; unadjusted prices first, adjusted ones marked by their source",
+    "fundamental_snapshot_pit": "usable from the first trading day after the announcement",
+    "industry_classification_static": "present industry only, without history",
+    "market_trade_calendar": "days on which any listed security has a basic row",
+    "name_change_history": "source of the special-treatment windows",
+    "security_master_ref": "listed securities with their board",
+    "corporate_action_ledger": "implemented dividends and inferred factor repairs",
+    "corporate_action_exception_ledger": "factor jumps that no booking explains; rows keep a security window from promotion",
+    "tradeability_state_daily": "suspensions and limit locks with their source",
+    "benchmark_weight_snapshot_pit": "benchmark weights as delivered",
+    "industry_classification_pit": "industry intervals by schema",
+    "index_basic_ref": "index names and base values",
+    "index_daily_bar_pit": "index bars",
+}
+QUERIES["dataset_registry"] = f"""
+    SELECT dataset_id, status, row_count, earliest_date, latest_date, note FROM ({QUERIES['dataset_registry']})
+    JOIN (VALUES {", ".join(f"('{n}', '{t}')" for n, t in NOTES.items())}) notes(dataset_id, note) USING (dataset_id)"""
+
+
 def _section(name: str, key: str, place: str, top: str = "") -> str:
     """Breakdown of the unresolved jumps by a class, numbered by its place."""
     return f"""
@@ -394,16 +404,20 @@ QUERIES.update({
 })
 
 QUERIES["export_normalized_csv"] = QUERIES["normalized_bars"]
-QUERIES["sync_state"] = """
-    SELECT h.dataset_id, 'ok' AS status, h.last_date, c.row_count, NULL::VARCHAR AS error
-    FROM (""" + QUERIES["high_water_mark"] + """) h
-    JOIN (SELECT 'stock_basic' AS dataset_id, count(*) AS row_count FROM stock_basic_ref
-          UNION ALL SELECT 'trade_cal', count(*) FROM raw_trade_cal
-          UNION ALL SELECT 'namechange', count(*) FROM raw_namechange
-          UNION ALL SELECT 'daily', count(*) FROM raw_kline_unadj
-          UNION ALL SELECT 'daily_basic', count(*) FROM raw_daily_basic
-          UNION ALL SELECT 'adj_factor', count(*) FROM raw_adj_factor
-          UNION ALL SELECT 'daily_qfq', count(*) FROM raw_kline_qfq
-          UNION ALL SELECT 'suspend_d', count(*) FROM raw_suspend_d
-          UNION ALL SELECT 'stk_limit', count(*) FROM raw_stk_limit
-          UNION ALL SELECT 'fina_indicator', count(*) FROM pit_fina_indicator) c ON c.dataset_id = h.dataset_id"""
+# Registered datasets: table, kind of axis, its column.
+DATASETS = {
+    "stock_basic": ("stock_basic_ref", "static", None), "trade_cal": ("raw_trade_cal", "trade_date", "cal_date"),
+    "namechange": ("raw_namechange", "static", None), "index_member_all": ("raw_index_member_all", "static", None),
+    "fina_indicator": ("pit_fina_indicator", "period_end", "end_date"),
+    **{n: (t, "trade_date", "trade_date") for n, t in {
+        "daily": "raw_kline_unadj", "daily_basic": "raw_daily_basic", "adj_factor": "raw_adj_factor", "daily_qfq": "raw_kline_qfq",
+        "suspend_d": "raw_suspend_d", "stk_limit": "raw_stk_limit", "index_daily": "raw_index_daily", "index_weight": "raw_index_weight"}.items()},
+    **{n: (f"raw_{n}", "period_end", "end_date") for n in ("income", "balancesheet", "cashflow", "forecast", "express")},
+}
+QUERIES["high_water_mark"] = " UNION ALL ".join(
+    f"SELECT '{n}' AS dataset_id, '{axis}' AS axis, {f'max({c})' if c else 'any_value(NULL::VARCHAR)'} AS last_date FROM {t}" for n, (t, axis, c) in DATASETS.items())
+QUERIES["sync_state"] = " UNION ALL ".join(
+    f"SELECT '{n}' AS dataset_id, 'ok' AS status, {f'min({c})' if c else 'any_value(NULL::VARCHAR)'} AS start_date, {f'max({c})' if c else 'any_value(NULL::VARCHAR)'} AS last_date, "
+    f"count(*) AS row_count, any_value(NULL::VARCHAR) AS error FROM {t}" for n, (t, _, c) in DATASETS.items() if n != "express") + """
+    UNION ALL SELECT 'express', 'error', NULL, NULL, NULL, 'express: the delivery lacks the key column end_date'"""
+

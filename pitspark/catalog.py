@@ -365,7 +365,7 @@ def _restricted(r: Research) -> DataFrame:
 
 # ------------------------------------------------------- keyed writes
 from .operators import keyed as _keyed  # noqa: E402
-from .plans import audit as _audit, reference as _reference  # noqa: E402
+from .plans import audit as _audit, reference as _reference, registry as _registries  # noqa: E402
 from .sources import feeds as _feeds  # noqa: E402
 
 KLINE = ["ts_code", "trade_date", "open", "high", "low", "close", "pre_close", "change", "pct_chg", "vol", "amount", "source_table"]
@@ -386,23 +386,24 @@ def _append(r: Research) -> DataFrame:
     return _keyed.append_dedup(r.src("raw_stk_limit").select(*cols), r.raw.supplemental["raw_stk_limit"].select(*cols))
 
 
-HWM_DATASETS = ["stock_basic", "trade_cal", "namechange", "daily", "daily_basic", "adj_factor", "daily_qfq", "suspend_d",
-                "stk_limit", "fina_indicator"]
+def _raw(r: Research, spec) -> tuple[str, DataFrame]:
+    """A registered dataset's table, from the source or else the supplemental provider, and the name it is stored under."""
+    side = "source" if spec.table in r.raw.source else "supplemental"
+    return f"{side}/{spec.table}", (r.raw.source if side == "source" else r.raw.supplemental)[spec.table]
+
+
+def _raw_profile(r: Research, spec, df: DataFrame):
+    name, _ = _raw(r, spec)
+    return r.profile(name, df, _registries.dataset_span(spec))
 
 
 @query("high_water_mark")
 def _hwm(r: Research) -> DataFrame:
-    """Last value of every source dataset's incremental axis."""
+    """Last value of every registered dataset's incremental axis, as its profile has it."""
     from .sources.schemas import DATASETS
 
-    out = None
-    for ds in HWM_DATASETS:
-        spec = DATASETS[ds]
-        df = r.src(spec.table)
-        mark = _keyed.high_water_mark(df, spec.axis_column).select(
-            F.lit(ds).alias("dataset_id"), F.lit(spec.axis).alias("axis"), F.col("last_date").cast("string").alias("last_date"))
-        out = mark if out is None else out.unionByName(mark)
-    return out
+    rows = [(s.dataset_id, s.axis, _raw_profile(r, s, _raw(r, s)[1]).last) for s in DATASETS.values()]
+    return r.spark.createDataFrame(rows, "dataset_id string, axis string, last_date string")
 
 
 PREVIOUS_SYNC_END = "20000101"
@@ -568,25 +569,16 @@ def _contract(r: Research) -> DataFrame:
 
 @query("dataset_registry")
 def _registry(r: Research) -> DataFrame:
-    """A4: built datasets with status, row count and date span."""
-    c = F.col
-    return _audit.dataset_registry([
-        ("daily_bar_pit", "green", r.daily_bar_pit, c("trade_date"), c("trade_date")),
-        ("fundamental_snapshot_pit", "amber", r.fundamental_snapshot_pit, c("announcement_date"), c("announcement_date")),
-        ("industry_classification_static", "amber", r.industry_static, None, None),
-        ("market_trade_calendar", "green", r.trade_calendar, c("trade_date"), c("trade_date")),
-        ("name_change_history", "green", r.name_change_history, F.coalesce("start_date", "announcement_date"),
-         F.coalesce("end_date", "announcement_date")),
-        ("security_master_ref", "green", r.security_master, c("list_date"), F.coalesce("delist_date", "list_date")),
-        ("corporate_action_ledger", "green", r.corporate_action_ledger, c("book_date"), c("book_date")),
-        ("corporate_action_exception_ledger", "amber-if-rows", r.corporate_action_exception_ledger, c("trade_date"), c("trade_date")),
-        ("tradeability_state_daily", "green", r.tradeability_state_daily, c("trade_date"), c("trade_date")),
-        ("benchmark_weight_snapshot_pit", "green", r.benchmark_weight_snapshot_pit, c("trade_date"), c("trade_date")),
-        ("industry_classification_pit", "green", r.industry_classification_pit, c("effective_at"),
-         F.coalesce("removed_at", "effective_at")),
-        ("index_basic_ref", "green", r.index_basic_ref, c("list_date"), c("list_date")),
-        ("index_daily_bar_pit", "green", r.index_daily_bar_pit, c("trade_date"), c("trade_date")),
-    ])
+    """A4: built datasets with status, row count, span and note."""
+    tables = {
+        "daily_bar_pit": r.daily_bar_pit, "fundamental_snapshot_pit": r.fundamental_snapshot_pit, "industry_classification_static": r.industry_static,
+        "market_trade_calendar": r.trade_calendar, "name_change_history": r.name_change_history, "security_master_ref": r.security_master,
+        "corporate_action_ledger": r.corporate_action_ledger, "corporate_action_exception_ledger": r.corporate_action_exception_ledger,
+        "tradeability_state_daily": r.tradeability_state_daily, "benchmark_weight_snapshot_pit": r.benchmark_weight_snapshot_pit,
+        "industry_classification_pit": r.industry_classification_pit, "index_basic_ref": r.index_basic_ref, "index_daily_bar_pit": r.index_daily_bar_pit,
+    }
+    profiles = {e.dataset_id: r.profile(f"research/{e.dataset_id}", tables[e.dataset_id], e.span) for e in _registries.REGISTRY if tables[e.dataset_id] is not None}
+    return _registries.dataset_registry(r.spark, profiles)
 
 
 # --------------------------------------------------------------- streaming
@@ -769,24 +761,12 @@ def _export_csv(r: Research) -> DataFrame:
 
 @query("sync_state")
 def _sync_state(r: Research) -> DataFrame:
-    """State rows of a two-step sync: every dataset first recorded as
-    'running', then replaced by its final mark and row count."""
+    """The state after two runs over all registered datasets: in the first the forecasts come without their key, the second
+    brings them and early figures without theirs."""
     from .sources.schemas import DATASETS
 
-    first = None
-    final = None
-    for ds in HWM_DATASETS:
-        spec = DATASETS[ds]
-        df = r.src(spec.table)
-        mark = _keyed.high_water_mark(df, spec.axis_column).select(F.col("last_date").cast("string").alias("last_date"))
-        n = df.agg(F.count(F.lit(1)).alias("row_count"))
-        start = n.select(F.lit(ds).alias("dataset_id"), F.lit("running").alias("status"),
-                         F.lit(None).cast("string").alias("last_date"), F.lit(0).cast("bigint").alias("row_count"),
-                         F.lit(None).cast("string").alias("error"))
-        # both frames are single rows: the marker key joins one row to one row
-        done = n.withColumn("_one", F.lit(1)).join(mark.withColumn("_one", F.lit(1)), "_one").select(
-            F.lit(ds).alias("dataset_id"), F.lit("ok").alias("status"), "last_date", "row_count",
-            F.lit(None).cast("string").alias("error"))
-        first = start if first is None else first.unionByName(start)
-        final = done if final is None else final.unionByName(done)
-    return _keyed.record_state(first, final)
+    profile = lambda spec, df: _raw_profile(r, spec, df)
+    good = {s.dataset_id: (lambda s=s: _raw(r, s)[1]) for s in DATASETS.values()}
+    first = _registries.sync(r.spark, good | {"forecast": lambda: _raw(r, DATASETS["forecast"])[1].drop("ann_date")}, profile)
+    second = {"forecast": good["forecast"], "express": lambda: _raw(r, DATASETS["express"])[1].drop("end_date")}
+    return _registries.sync(r.spark, second, profile, first)

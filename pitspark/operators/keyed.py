@@ -104,7 +104,7 @@ def write_snapshot(df: DataFrame, root: str, name: str, version: str, partition_
     return path
 
 
-STATE_COLUMNS = ["dataset_id", "status", "last_date", "row_count", "error"]
+STATE_COLUMNS = ["dataset_id", "status", "start_date", "last_date", "row_count", "error"]
 
 
 def record_state(state: DataFrame, updates: DataFrame) -> DataFrame:

@@ -10,14 +10,16 @@ lost executor recomputes from files, not from the raw layer.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.conform import conform_event_table, conform_index_table, conform_pit_table, empty_table, INDUSTRY_PIT
 from ..sources.derive import SPINE_PROJECTIONS, RawSources, raw_sources
+from ..operators.profile import Profile, Span, measured, profiled_write
 from . import actions, bars, normalized, tradeability
+from .registry import SPANS
 
 
 class Research:
@@ -38,6 +40,7 @@ class Research:
             raw = RawSources(_LazyStore(self, "source", raw.source), _LazyStore(self, "supplemental", raw.supplemental),
                              _LazyStore(self, "feeds", raw.feeds or {}))
         self.raw = raw
+        self.profiles: dict[str, Profile] = {}
         self.sources = {"source": raw.source, "supplemental": raw.supplemental}
 
     @classmethod
@@ -59,9 +62,18 @@ class Research:
         """
         if df is None or not self.store:
             return df
-        if bucket_by:
-            return _Bucketed(self.spark, f"{self.store}/{name}", df, bucket_by).frame()
-        return _Stored(self.spark, f"{self.store}/{name}", df).frame()
+        span = SPANS.get(name)
+        kept = _Bucketed(self.spark, f"{self.store}/{name}", df, bucket_by, span) if bucket_by else _Stored(self.spark, f"{self.store}/{name}", df, span)
+        frame = kept.frame()
+        if kept.profile is not None:
+            self.profiles[name] = kept.profile
+        return frame
+
+    def profile(self, name: str, df: DataFrame, span: Span) -> Profile:
+        """Rows and span of a table: as measured while it was written, else by one aggregate that is remembered."""
+        if name not in self.profiles:
+            self.profiles[name] = measured(df, span)
+        return self.profiles[name]
 
     def src(self, name: str) -> DataFrame:
         return self.raw.source[name]
@@ -223,6 +235,14 @@ class _LazyStore(Mapping):
         return len(self.tables)
 
 
+def _written(df: DataFrame, span: Span | None, write: Callable[[DataFrame], None]) -> Profile | None:
+    """Write a table, and measure it on the way if its span is known."""
+    if span is not None:
+        return profiled_write(df, span, write)
+    write(df)
+    return None
+
+
 class _Bucketed:
     """A DataFrame written once as a bucketed, sorted table at ``path``.
 
@@ -231,8 +251,9 @@ class _Bucketed:
     ``spark.sql.shuffle.partitions`` so joins with freshly shuffled inputs line up.
     """
 
-    def __init__(self, spark: SparkSession, path: str, df: DataFrame, key: str):
-        self.spark, self.path, self.df, self.key = spark, path, df, key
+    def __init__(self, spark: SparkSession, path: str, df: DataFrame, key: str, span: Span | None = None):
+        self.spark, self.path, self.df, self.key, self.span = spark, path, df, key, span
+        self.profile: Profile | None = None
 
     def frame(self) -> DataFrame:
         import hashlib
@@ -240,17 +261,18 @@ class _Bucketed:
         table = "pit_" + hashlib.sha1(self.path.encode()).hexdigest()[:16]
         n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         sort = [self.key] + (["trade_date"] if "trade_date" in self.df.columns else [])
-        (self.df.write.mode("overwrite").option("path", self.path)
-         .bucketBy(n, self.key).sortBy(*sort).saveAsTable(table))
+        write = lambda df: df.write.mode("overwrite").option("path", self.path).bucketBy(n, self.key).sortBy(*sort).saveAsTable(table)
+        self.profile = _written(self.df, self.span, write)
         return self.spark.table(table)
 
 
 class _Stored:
     """A DataFrame written to Parquet the first time it is read."""
 
-    def __init__(self, spark: SparkSession, path: str, df: DataFrame):
-        self.spark, self.path, self.df = spark, path, df
+    def __init__(self, spark: SparkSession, path: str, df: DataFrame, span: Span | None = None):
+        self.spark, self.path, self.df, self.span = spark, path, df, span
+        self.profile: Profile | None = None
 
     def frame(self) -> DataFrame:
-        self.df.write.mode("overwrite").parquet(self.path)
+        self.profile = _written(self.df, self.span, lambda df: df.write.mode("overwrite").parquet(self.path))
         return self.spark.read.parquet(self.path)

@@ -366,20 +366,59 @@ class DriverTables:
                                       ts.alias("ingested_at"))
 
     # --------------------------------------------------------- fundamentals
-    def pit_fina_indicator(self) -> DataFrame:
-        """Quarterly per supplier (quarters with shipments); announced k % 40
-        days after period end; blank announcement for k % 19 = 0."""
+    @cached_property
+    def quarters(self) -> DataFrame:
+        """One row per supplier and quarter with shipments."""
         g = self.bars.select("k", "d", "q", "hi", "lo").withColumn("qe", F.last_day(F.add_months(F.trunc("d", "quarter"), 2)))
         agg = g.groupBy("k", "qe").agg(
             F.sum("q").alias("sq"), F.max("hi").alias("mh"), F.min("lo").alias("ml"), F.count(F.lit(1)).alias("nd")
         )
         k = _k()
         ann = F.when(k % 19 == 0, F.lit("")).otherwise(_text_date(F.date_add(F.col("qe"), (k % 40).cast("int"))))
+        return agg.select(ts_code_of(k).alias("ts_code"), ann.alias("ann_date"), _text_date(F.col("qe")).alias("end_date"), "sq", "mh", "ml", F.col("nd").cast(DoubleType()).alias("nd"))
+
+    def _statement(self, **values: Column) -> DataFrame:
+        head = [F.col("ts_code"), F.col("ann_date"), F.col("ann_date").alias("f_ann_date"), F.col("end_date"), F.lit("1").alias("report_type"), F.lit("1").alias("comp_type")]
+        return self.quarters.select(*head, *[v.alias(n) for n, v in values.items()])
+
+    def raw_income(self) -> DataFrame:
+        """Quarterly: quantities as revenue, trading days as costs."""
+        sq, nd = F.col("sq"), F.col("nd")
+        return self._statement(total_revenue=sq, revenue=sq, operate_profit=sq - nd, total_profit=sq - nd, income_tax=nd / 4.0, n_income=sq - nd * 1.25, n_income_attr_p=sq - nd * 1.25)
+
+    def raw_balancesheet(self) -> DataFrame:
+        mh, ml, sq = F.col("mh"), F.col("ml"), F.col("sq")
+        return self._statement(total_assets=mh * 2.0, total_liab=ml, total_hldr_eqy_exc_min_int=mh * 2.0 - ml, total_hldr_eqy_inc_min_int=mh * 2.0 - ml, money_cap=mh, accounts_receiv=sq, inventories=mh - sq)
+
+    def raw_cashflow(self) -> DataFrame:
+        sq, nd = F.col("sq"), F.col("nd")
+        return self._statement(net_profit=sq - nd * 1.25, n_cashflow_act=sq, n_cashflow_inv_act=-nd, n_cash_flows_fnc_act=nd / 2.0, free_cashflow=sq - nd)
+
+    def raw_forecast(self) -> DataFrame:
+        """Forecasts of the years: quarters that end in December."""
+        year, sq = self.quarters.where(F.col("end_date").endswith("1231")), F.col("sq")
+        return year.select("ts_code", "ann_date", "end_date", F.lit("forecast").alias("type"), F.lit(-5.0).alias("p_change_min"), F.lit(5.0).alias("p_change_max"), (sq * 0.5).alias("net_profit_min"),
+                           (sq * 2.0).alias("net_profit_max"), sq.alias("last_parent_net"), F.col("ann_date").alias("first_ann_date"), F.lit("").alias("summary"), F.lit("").alias("change_reason"))
+
+    def raw_express(self) -> DataFrame:
+        """Early figures of half-years: quarters that end in June or December."""
+        half, sq, mh = self.quarters.where(F.col("end_date").rlike("(0630|1231)$")), F.col("sq"), F.col("mh")
+        nul = F.lit(None).cast(DoubleType())
+        return half.select("ts_code", "ann_date", "end_date", sq.alias("revenue"), (sq - F.col("nd")).alias("operate_profit"), (sq - F.col("nd")).alias("total_profit"), sq.alias("n_income"), (mh * 2.0).alias("total_assets"),
+                           mh.alias("total_hldr_eqy_exc_min_int"), nul.alias("diluted_eps"), nul.alias("diluted_roe"), nul.alias("yoy_net_profit"))
+
+    def raw_index_weight(self) -> DataFrame:
+        w = self.benchmark_weight_snapshot_pit()
+        return w.select(F.col("benchmark_id").alias("index_code"), F.col("security_id").alias("con_code"), "trade_date", "weight")
+
+    def pit_fina_indicator(self) -> DataFrame:
+        """Quarterly per supplier (quarters with shipments); announced k % 40
+        days after period end; blank announcement for k % 19 = 0."""
         nul = F.lit(None).cast(DoubleType())
-        return agg.select(
-            ts_code_of(k).alias("ts_code"), ann.alias("ann_date"), _text_date(F.col("qe")).alias("end_date"),
+        return self.quarters.select(
+            "ts_code", "ann_date", "end_date",
             (F.col("sq") / 1000.0).alias("eps"), (F.col("mh") / F.col("ml")).alias("roe"),
-            (F.col("nd").cast(DoubleType()) / 100.0).alias("roa"), (F.col("ml") / F.col("mh")).alias("gross_margin"),
+            (F.col("nd") / 100.0).alias("roa"), (F.col("ml") / F.col("mh")).alias("gross_margin"),
             nul.alias("netprofit_margin"), nul.alias("current_ratio"), nul.alias("debt_to_assets"),
             (F.col("sq") / 10.0).alias("revenue_ps"), nul.alias("netprofit_yoy"), nul.alias("dt_netprofit_yoy"),
             nul.alias("or_yoy"), nul.alias("q_sales_yoy"), nul.alias("assets_yoy"), nul.alias("equity_yoy"),
@@ -760,6 +799,12 @@ def raw_sources(spark: SparkSession, sf_dir: str, keep=None) -> RawSources:
         "pit_fina_indicator": t.pit_fina_indicator,
         "raw_trade_cal": t.raw_trade_cal,
         "raw_index_member_all": t.raw_index_member_all,
+        "raw_index_weight": t.raw_index_weight,
+        "raw_income": t.raw_income,
+        "raw_balancesheet": t.raw_balancesheet,
+        "raw_cashflow": t.raw_cashflow,
+        "raw_forecast": t.raw_forecast,
+        "raw_express": t.raw_express,
     })
     supplemental = LazyFrames({
         "industry_classification_pit": t.industry_classification_pit,
