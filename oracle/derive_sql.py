@@ -346,6 +346,11 @@ CTES += [
 ]
 
 CTES += [
+    ("g_quarters", f"""
+        SELECT {TS_CODE} AS ts_code, CASE WHEN k % 19 = 0 THEN '' ELSE {txt('qe + CAST(k % 40 AS INTEGER)')} END AS ann_date, {txt('qe')} AS end_date, sq, mh, ml, nd
+        FROM (
+            SELECT k, last_day(CAST(date_trunc('quarter', d) AS DATE) + INTERVAL 2 MONTH)::DATE AS qe, sum(q) AS sq, max(hi) AS mh, min(lo) AS ml, count(*) AS nd
+            FROM g_groups GROUP BY 1, 2)"""),
     ("raw_index_weight", "SELECT benchmark_id AS index_code, security_id AS con_code, trade_date, weight FROM benchmark_weight_snapshot_pit"),
     ("raw_income", "SELECT ts_code, ann_date, end_date FROM pit_fina_indicator"),
     ("raw_balancesheet", "FROM raw_income"),

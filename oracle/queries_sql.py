@@ -238,7 +238,9 @@ QUERIES.update({
             UNION ALL SELECT 'raw_stk_limit', 'pit_reference_staging', 'green', count(*), {K('min(trade_date)')},
                    {K('max(trade_date)')} FROM limits_merged
             UNION ALL SELECT 'raw_suspend_d', 'pit_reference_staging', 'green', count(*), {K('min(trade_date)')},
-                   {K('max(trade_date)')} FROM suspend)
+                   {K('max(trade_date)')} FROM suspend
+            UNION ALL SELECT 'raw_share_float', 'pit_reference_staging', 'green', count(*), min(end_date), max(end_date) FROM raw_income
+            UNION ALL SELECT 'raw_repurchase', 'pit_reference_staging', 'green', count(*), min(end_date), max(end_date) FROM raw_forecast)
         WHERE row_count > 0""",
     "raw_audit": "SELECT * FROM audit_checks",
     "rows_per_year": "SELECT * FROM rows_per_year",
@@ -267,6 +269,21 @@ QUERIES.update({
         UNION ALL SELECT 'index_daily_bar_pit', 'green', count(*), {K('min(trade_date)')}, {K('max(trade_date)')} FROM index_daily_pit""",
 })
 
+_FLOAT = """ts_code, NULLIF(ann_date, '') AS ann_date, end_date AS float_date, sq AS float_share, CASE WHEN nd % 2 = 1 THEN nd / 100::DOUBLE END AS float_ratio,
+               'Holder' AS holder_name, CASE WHEN nd % 2 = 1 THEN 'common' ELSE '' END AS share_type, 'provider.share_float' AS source_table"""
+_BACK = """ts_code, NULLIF(ann_date, '') AS ann_date, end_date, 'done' AS proc, NULL::VARCHAR AS exp_date, sq AS vol, mh AS amount, mh AS high_limit,
+               NULL::DOUBLE AS low_limit, 'provider.repurchase' AS source_table"""
+QUERIES.update({
+    "dividend_normalize": """
+        SELECT ts_code, end_date, ann_date, coalesce(div_proc, '') AS div_proc, stk_div, NULLIF(stk_bo_rate, 0) AS stk_bo_rate, stk_co_rate, cash_div,
+               cash_div_tax, record_date, ex_date, NULLIF(pay_date, '') AS pay_date, NULL::VARCHAR AS div_listdate, 'provider.dividend' AS source_table
+        FROM raw_dividend""",
+    "limit_normalize": "SELECT ts_code, trade_date, up_limit, down_limit, 'provider.stk_limit' AS source_table FROM raw_stk_limit",
+    "share_float_normalize": f"SELECT {_FLOAT} FROM g_quarters",
+    "repurchase_normalize": f"SELECT {_BACK} FROM g_quarters WHERE end_date[5:8] = '1231'",
+    "share_float_events": f"SELECT *, '2024-01-02 02:00:00' AS ingested_at FROM (SELECT {_FLOAT} FROM g_quarters)",
+    "repurchase_events": f"SELECT *, '2024-01-02 02:00:00' AS ingested_at FROM (SELECT {_BACK} FROM g_quarters WHERE end_date[5:8] = '1231')",
+})
 # Notes of the registry.
 NOTES = {
     "daily_bar_pit": "one bar a security and day; unadjusted prices first, adjusted ones marked by their source",

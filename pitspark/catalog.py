@@ -446,6 +446,38 @@ def _event_normalize(r: Research) -> DataFrame:
     return _feeds.normalize_suspend_events(r.raw.feeds["provider_suspend_d"])
 
 
+@query("dividend_normalize")
+def _dividend_normalize(r: Research) -> DataFrame:
+    return _feeds.normalize_dividend_events(r.raw.feeds["provider_dividend"])
+
+
+@query("limit_normalize")
+def _limit_normalize(r: Research) -> DataFrame:
+    return _feeds.normalize_limit_events(r.raw.feeds["provider_stk_limit"])
+
+
+@query("share_float_normalize")
+def _share_float_normalize(r: Research) -> DataFrame:
+    return _feeds.normalize_share_float_events(r.raw.feeds["provider_share_float"])
+
+
+@query("repurchase_normalize")
+def _repurchase_normalize(r: Research) -> DataFrame:
+    return _feeds.normalize_repurchase_events(r.raw.feeds["provider_repurchase"])
+
+
+@query("share_float_events")
+def _share_float(r: Research) -> DataFrame:
+    """Shares set free, in the conformed layout."""
+    return r.event("raw_share_float")
+
+
+@query("repurchase_events")
+def _repurchase(r: Research) -> DataFrame:
+    """Repurchases, in the conformed layout."""
+    return r.event("raw_repurchase")
+
+
 @query("index_ingest")
 def _index_ingest(r: Research) -> DataFrame:
     """Index bars delivered twice, ingested once."""
@@ -489,16 +521,16 @@ def _unpivot(r: Research) -> DataFrame:
 @query("staging_registry")
 def _staging(r: Research) -> DataFrame:
     """A5: staged reference tables with row counts and date spans."""
-    return _reference.staging_registry({
+    tables = {
         "industry_classification_pit": r.industry_classification_pit,
         "benchmark_membership_pit": _reference.membership_intervals(r.benchmark_weight_snapshot_pit),
         "benchmark_weight_snapshot_pit": r.benchmark_weight_snapshot_pit,
         "index_basic_ref": r.index_basic_ref,
         "raw_index_daily": r.raw_index_daily,
-        "raw_dividend": r.raw_dividend,
-        "raw_stk_limit": r.raw_stk_limit,
-        "raw_suspend_d": r.raw_suspend_d,
-    })
+        **{t: getattr(r, t) for t in ("raw_dividend", "raw_stk_limit", "raw_suspend_d")},
+        **{t: r.event(t) for t in ("raw_share_float", "raw_repurchase")},
+    }
+    return _registries.staging_registry(r.spark, {n: r.profile(f"staged/{n}", df, _registries.STAGED[n]) for n, df in tables.items() if df is not None})
 
 
 # ----------------------------------------------------------------- audits

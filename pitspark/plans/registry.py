@@ -70,6 +70,12 @@ def dataset_registry(spark: SparkSession, profiles: Mapping[str, Profile]) -> Da
     return spark.createDataFrame(rows, "dataset_id string, status string, row_count bigint, earliest_date string, latest_date string, note string")
 
 
+def staging_registry(spark: SparkSession, profiles: Mapping[str, Profile]) -> DataFrame:
+    """A5: one row for each staged table; absent or empty ones are left out."""
+    rows = [(name, "pit_reference_staging", "green", profiles[name].rows, profiles[name].first, profiles[name].last) for name in STAGED if name in profiles and profiles[name].rows]
+    return spark.createDataFrame(rows, "dataset_id string, boundary_role string, status string, row_count bigint, earliest_date string, latest_date string")
+
+
 def validated(df: DataFrame, spec: DatasetSpec) -> DataFrame:
     """The delivery, if it has the dataset's primary key."""
     for k in spec.primary_key:

@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType
 
 from ..functions.text import zfill
+from . import feeds
 
 BASE_DATE = _dt.date(1995, 1, 1)
 # Symbol prefixes and exchange suffixes by k % 6.
@@ -566,6 +567,39 @@ class DriverTables:
             typ.alias("reason_type"),
         )
 
+    def provider_dividend(self) -> DataFrame:
+        """Dividends as a provider delivers them: all text, padded codes, sentinel words for what is missing, 'None' for a zero rate."""
+        d = self.raw_dividend()
+        word = {"stk_div": "nan", "stk_co_rate": "None", "cash_div_tax": " NaN ", "div_proc": "none", "div_listdate": "NaT"}
+        texts = {c: F.coalesce(F.col(c).cast(StringType()), F.lit(word.get(c))) for c in d.columns if c not in ("ts_code", "stk_bo_rate", "source_table", "ingested_at")}
+        return d.select(F.concat(F.lit(" "), F.col("ts_code")).alias("ts_code"), F.when(F.col("stk_bo_rate") == 0.0, "None").otherwise(F.col("stk_bo_rate").cast(StringType())).alias("stk_bo_rate"),
+                        *[c.alias(n) for n, c in texts.items()])
+
+    def provider_stk_limit(self) -> DataFrame:
+        """Limits as text, 'nan' where there is none."""
+        limits = self.raw_stk_limit()
+        text = lambda c: F.coalesce(F.col(c).cast(StringType()), F.lit("nan")).alias(c)
+        return limits.select(F.concat("ts_code", F.lit("  ")).alias("ts_code"), "trade_date", text("up_limit"), text("down_limit"))
+
+    def provider_share_float(self) -> DataFrame:
+        """Shares set free at each quarter's end: a padded holder, a share type in odd numbers of trading days only, no ratio in even ones."""
+        odd = F.col("nd") % 2 == 1
+        return self.quarters.select("ts_code", "ann_date", F.col("end_date").alias("float_date"), F.col("sq").cast(StringType()).alias("float_share"),
+                                    F.when(odd, (F.col("nd") / 100.0).cast(StringType())).otherwise("nan").alias("float_ratio"), F.lit("  Holder ").alias("holder_name"),
+                                    F.when(odd, "common").otherwise("None").alias("share_type"))
+
+    def provider_repurchase(self) -> DataFrame:
+        """Repurchases at the end of each year, with no end of their programme."""
+        text = lambda c: F.col(c).cast(StringType())
+        return self.quarters.where(F.col("end_date").endswith("1231")).select(
+            "ts_code", "ann_date", "end_date", F.lit(" done ").alias("proc"), F.lit("NaT").alias("exp_date"), text("sq").alias("vol"), text("mh").alias("amount"), text("mh").alias("high_limit"), F.lit("").alias("low_limit"))
+
+    def raw_share_float(self) -> DataFrame:
+        return feeds.normalize_share_float_events(self.provider_share_float()).withColumn("ingested_at", _ts(2))
+
+    def raw_repurchase(self) -> DataFrame:
+        return feeds.normalize_repurchase_events(self.provider_repurchase()).withColumn("ingested_at", _ts(2))
+
     def raw_index_member_all(self) -> DataFrame:
         """Industry membership rows with three level codes per supplier: L1 by
         region, L2 by nation, L3 by nation and k % 3 (blank L3 for k % 5 = 0);
@@ -805,6 +839,8 @@ def raw_sources(spark: SparkSession, sf_dir: str, keep=None) -> RawSources:
         "raw_cashflow": t.raw_cashflow,
         "raw_forecast": t.raw_forecast,
         "raw_express": t.raw_express,
+        "raw_share_float": t.raw_share_float,
+        "raw_repurchase": t.raw_repurchase,
     })
     supplemental = LazyFrames({
         "industry_classification_pit": t.industry_classification_pit,
@@ -813,7 +849,9 @@ def raw_sources(spark: SparkSession, sf_dir: str, keep=None) -> RawSources:
         "raw_index_daily": t.raw_index_daily,
         "raw_stk_limit": t.supplemental_stk_limit,
     })
-    feeds = LazyFrames({"feed_a": t.feed_a, "feed_b": t.feed_b, "provider_suspend_d": t.provider_suspend_d,
+    frames = LazyFrames({"feed_a": t.feed_a, "feed_b": t.feed_b, "provider_suspend_d": t.provider_suspend_d,
+                        "provider_dividend": t.provider_dividend, "provider_stk_limit": t.provider_stk_limit,
+                        "provider_share_float": t.provider_share_float, "provider_repurchase": t.provider_repurchase,
                         "official_codes": t.official_codes, "official_crosswalk": t.official_crosswalk,
                         "official_ledger": t.official_ledger, "official_snapshot": t.official_snapshot})
-    return RawSources(source, supplemental, feeds)
+    return RawSources(source, supplemental, frames)

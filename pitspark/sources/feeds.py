@@ -136,6 +136,31 @@ def normalize_dividend_events(df: DataFrame, *, source_table: str = "provider.di
     )
 
 
+def normalize_limit_events(df: DataFrame, *, source_table: str = "provider.stk_limit") -> DataFrame:
+    """S12 (limits): code cleaned, blank day -> NULL, tolerant numbers."""
+    return df.select(
+        clean_text("ts_code").alias("ts_code"), nullable_text("trade_date").alias("trade_date"),
+        *[number_or_null(c).alias(c) for c in ("up_limit", "down_limit")], F.lit(source_table).alias("source_table"),
+    )
+
+
+def normalize_share_float_events(df: DataFrame, *, source_table: str = "provider.share_float") -> DataFrame:
+    """S12 (shares set free): texts cleaned, blank days -> NULL, tolerant numbers."""
+    return df.select(
+        clean_text("ts_code").alias("ts_code"), *[nullable_text(c).alias(c) for c in ("ann_date", "float_date")],
+        *[number_or_null(c).alias(c) for c in ("float_share", "float_ratio")], *[clean_text(c).alias(c) for c in ("holder_name", "share_type")],
+        F.lit(source_table).alias("source_table"),
+    )
+
+
+def normalize_repurchase_events(df: DataFrame, *, source_table: str = "provider.repurchase") -> DataFrame:
+    """S12 (repurchases): texts cleaned, blank days -> NULL, tolerant numbers."""
+    return df.select(
+        clean_text("ts_code").alias("ts_code"), *[nullable_text(c).alias(c) for c in ("ann_date", "end_date")], clean_text("proc").alias("proc"), nullable_text("exp_date").alias("exp_date"),
+        *[number_or_null(c).alias(c) for c in ("vol", "amount", "high_limit", "low_limit")], F.lit(source_table).alias("source_table"),
+    )
+
+
 def ingest_index_daily(df: DataFrame) -> DataFrame:
     """Drop rows without code, date or close; drop exact duplicates.
     An empty result is an error for the caller to report (see ``require_rows``)."""
