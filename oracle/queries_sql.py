@@ -366,6 +366,9 @@ QUERIES.update({
             UNION ALL SELECT * REPLACE (NULL AS change, NULL AS pct_chg), 3 FROM (SELECT {_BAR} FROM feed_a_norm)
                 WHERE trade_date[7:8]::INT BETWEEN 8 AND 12)
         QUALIFY delivery = max(delivery) OVER (PARTITION BY ts_code, trade_date)""",
+    "incremental_files": f"""
+        SELECT {_BAR} FROM raw_kline_unadj
+        WHERE {PD('trade_date')} > (SELECT greatest(max({PD('trade_date')}), DATE '1999-05-31') FROM raw_kline_unadj WHERE trade_date < '20000101')""",
     "table_versions": f"""
         SELECT version::BIGINT AS version, step, count(trade_date) AS rows, coalesce(count_if(source_table = 'feed_a.daily'), 0)::BIGINT AS corrected,
                min(trade_date) AS first_date, max(trade_date) AS last_date

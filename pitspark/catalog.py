@@ -7,6 +7,7 @@ the public form of every dataset.
 
 from __future__ import annotations
 
+import datetime
 import os
 import uuid
 from collections.abc import Callable
@@ -668,6 +669,18 @@ def _stream_deliveries(r: Research) -> DataFrame:
     return table.read().drop("part")
 
 
+@query("incremental_files")
+def _incremental_files(r: Research) -> DataFrame:
+    """Bars from the day after a previous run's mark on, read from the files of the years that reach it."""
+    from .operators.keyed import effective_since
+
+    table, _, _ = _bar_table(r, "incremental")
+    last = table.read().where(F.col("trade_date") < PREVIOUS_SYNC_END).agg(F.max(F.to_date("trade_date", "yyyyMMdd"))).first()[0]
+    since = effective_since(last, datetime.date(1999, 6, 1))
+    mark = since.strftime("%Y%m%d")
+    return table.read_since("trade_date", mark, mark[:TABLE_DIGITS]).drop("part")
+
+
 @query("table_versions")
 def _table_versions(r: Research) -> DataFrame:
     """What readers of each version of a table see: replaced, upserted, replayed, reset, appended without repeats."""

@@ -132,6 +132,63 @@ def existence_flag(
     return rows.join(hits, list(row_keys), "left").withColumn(name, F.coalesce(F.col(name), F.lit(False)))
 
 
+MAX_BUCKETS = 10_000
+
+
+def running(
+    df: DataFrame,
+    *,
+    order: str,
+    bucket: Column,
+    value: Column,
+    out: str,
+    how: str = "last",
+    direction: str = "forward",
+    tie: Sequence[Column] = (),
+    totals_of: DataFrame | None = None,
+) -> DataFrame:
+    """``out`` = 'last' (ignoring nulls), 'min', 'max' or 'sum' of ``value`` over all rows up to this one in order.
+
+    A prefix scan over many tasks instead of one window over everything: ``bucket``, which must not fall as the order rises
+    (a year, a range of row numbers), cuts the rows into ranges that are scanned each for itself; the totals of the
+    buckets, one value each and ``MAX_BUCKETS`` at most, are summed up once and carried into the later ones.  With direction
+    'back' the rows are read from the greatest order down.  Rows of equal order follow ``tie``; ``totals_of`` may name a
+    part of the rows that holds all values.  Totals are gathered when this is called.
+    """
+    tagged = lambda d: d.withColumns({"_b": bucket, "_v": value})
+    up = direction == "forward"
+    step = [F.col(order).asc_nulls_first() if up else F.col(order).desc_nulls_last(), *tie]
+    held = tagged(df if totals_of is None else totals_of).where(F.col("_v").isNotNull())
+    if how == "last":
+        nth = F.row_number().over(Window.partitionBy("_b").orderBy(*step))
+        count = F.count(F.lit(1)).over(Window.partitionBy("_b"))
+        totals = held.withColumns({"_nth": nth, "_n": count}).where("_nth = _n").select("_b", F.col("_v").alias("_t"))
+    else:
+        totals = held.groupBy("_b").agg({"min": F.min, "max": F.max, "sum": F.sum}[how]("_v").alias("_t"))
+    found = totals.limit(MAX_BUCKETS + 1).collect()
+    if len(found) > MAX_BUCKETS:
+        raise ValueError(f"more than {MAX_BUCKETS} buckets")
+    known = sorted(((r["_b"], r["_t"]) for r in found if r["_b"] is not None), reverse=direction == "back")
+    join = {"last": lambda a, b: b, "min": min, "max": max, "sum": lambda a, b: a + b}[how]
+    carried, so_far = [], None
+    for b, t in known:
+        so_far = t if so_far is None else join(so_far, t)
+        carried.append((b, so_far))
+    # A bucket's carry is the total of the nearest bucket before it, whether or not it holds values itself.
+    carry = F.lit(None)
+    if carried:
+        entries = F.array(*[F.struct(F.lit(b).alias("b"), F.lit(t).alias("t")) for b, t in carried])
+        passed = F.filter(entries, lambda x: x["b"] < F.col("_b") if up else x["b"] > F.col("_b"))
+        carry = F.get(passed, F.size(passed) - 1)["t"]
+    w = Window.partitionBy("_b").orderBy(*step).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    own = F.last("_v", ignorenulls=True).over(w) if how == "last" else {"min": F.min, "max": F.max, "sum": F.sum}[how]("_v").over(w)
+    both = {"last": F.coalesce("_own", "_carry"), "min": F.least("_own", "_carry"), "max": F.greatest("_own", "_carry"),
+            "sum": F.when(F.col("_own").isNull() & F.col("_carry").isNull(), None).otherwise(F.coalesce("_own", F.lit(0)) + F.coalesce("_carry", F.lit(0)))}[how]
+    scanned = tagged(df).withColumn("_own", own)
+    kind = scanned.schema["_own"].dataType
+    return scanned.withColumn("_carry", carry.cast(kind)).withColumn(out, both.cast(kind)).drop("_b", "_v", "_own", "_carry")
+
+
 def next_asof(
     rows: DataFrame,
     *,
@@ -143,24 +200,17 @@ def next_asof(
 ) -> DataFrame:
     """``out`` = the first calendar date after ``point`` (``>=`` when not strict).
 
-    Resolved once per distinct point date: distinct point dates and calendar
-    dates are unioned and scanned newest-first with a running minimum of the
-    calendar dates seen so far (a growing ROWS frame, linear in the number of
-    distinct dates).  Within one day, point rows sort before calendar rows for
-    the strict lookup (a same-day calendar date is not "after"), after them
-    otherwise.  The scan covers distinct dates only (bounded by the calendar
-    span); the answer is equi-joined back to ``rows``.
+    Resolved once per distinct point date: distinct point dates and calendar dates are united and scanned newest-first
+    with a running minimum of the calendar dates seen so far, year by year with a carry (``running``).  Within one day,
+    point rows come before calendar rows for the strict lookup (a same-day calendar date is not "after"), after them
+    otherwise.  The answer is equi-joined back to ``rows``.
     """
     pts = rows.select(F.col(point).alias("_d")).where(F.col("_d").isNotNull()).distinct().withColumn("_cal", F.lit(None).cast("date"))
     cal = calendar.select(F.col(calendar_col).alias("_d")).where(F.col("_d").isNotNull()).distinct().withColumn("_cal", F.col("_d"))
     both = pts.unionByName(cal).withColumn("_is_cal", F.col("_cal").isNotNull())
     tie = F.col("_is_cal").asc() if strict else F.col("_is_cal").desc()
-    w = Window.orderBy(F.col("_d").desc(), tie).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    resolved = (
-        both.withColumn(out, F.min("_cal").over(w))
-        .where(~F.col("_is_cal"))
-        .select(F.col("_d").alias(point), out)
-    )
+    scanned = running(both, order="_d", bucket=F.year("_d"), value=F.col("_cal"), out=out, how="min", direction="back", tie=[tie], totals_of=cal)
+    resolved = scanned.where(~F.col("_is_cal")).select(F.col("_d").alias(point), out)
     return rows.join(resolved, point, "left")
 
 
@@ -474,7 +524,15 @@ def reach_before(rows: DataFrame, intervals: DataFrame, *, on: Sequence[str], po
     return swept.where("_row").drop("_pos", "_row", "_end")
 
 
+ROWS_A_BUCKET = 1 << 16
+
+
 def forward_fill(df: DataFrame, *, order: str, value: Column, out: str, partition: Sequence[str] = ()) -> DataFrame:
-    """``out`` = last non-NULL ``value`` up to the current row (running)."""
+    """``out`` = last non-NULL ``value`` up to the current row (running).
+
+    With ``partition`` one window per key; without, a scan over ranges of the whole numbers in ``order`` (``running``).
+    """
+    if not partition:
+        return running(df, order=order, bucket=F.floor(F.col(order) / ROWS_A_BUCKET), value=value, out=out)
     w = Window.partitionBy(*partition).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return df.withColumn(out, F.last(value, ignorenulls=True).over(w))

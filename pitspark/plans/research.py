@@ -93,7 +93,7 @@ class Research:
 
     @cached_property
     def trade_calendar(self) -> DataFrame:
-        return bars.trade_calendar(self.src("raw_daily_basic"), self.security_master)
+        return self._keep("research/market_trade_calendar", bars.trade_calendar(self.src("raw_daily_basic"), self.security_master))
 
     @cached_property
     def st_daily(self) -> DataFrame:

@@ -199,3 +199,36 @@ def test_islands_extended_equal_islands_of_everything(spark):
     state = T.islands(df, **names, seen_out="last_seen")
     with pytest.raises(Exception, match="not later"):
         T.extend_islands(state, df.where(F.col("d") == days[2]), **names).collect()
+
+
+@pytest.mark.parametrize("direction", ["forward", "back"])
+@pytest.mark.parametrize("how", ["last", "min", "max", "sum"])
+def test_running_equals_one_window(spark, how, direction):
+    rng = random.Random(16)
+    items = [(i, i // 7 if rng.random() < 0.9 else i // 7, rng.choice([None, None, rng.randint(0, 50)])) for i in rng.sample(range(200), 90)]
+    df = spark.createDataFrame(items, "i long, b long, v long").repartition(4)
+    got = T.running(df, order="i", bucket=F.floor(F.col("i") / 7), value=F.col("v"), out="r", how=how, direction=direction)
+    w = T.Window.orderBy(F.col("i").asc() if direction == "forward" else F.col("i").desc()).rowsBetween(T.Window.unboundedPreceding, 0)
+    want = df.withColumn("r", F.last("v", ignorenulls=True).over(w) if how == "last" else getattr(F, how)("v").over(w))
+    assert rows(got, "i", "r") == rows(want, "i", "r")
+    assert "SinglePartition" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_running_without_values_and_with_too_many_buckets(spark):
+    empty = spark.createDataFrame([], "i long, v long")
+    assert T.running(empty, order="i", bucket=F.col("i"), value=F.col("v"), out="r").collect() == []
+    blank = spark.createDataFrame([(1, None), (9, None)], "i long, v long")
+    assert rows(T.running(blank, order="i", bucket=F.col("i"), value=F.col("v"), out="r"), "r") == [(None,), (None,)]
+    with pytest.raises(ValueError):
+        T.running(spark.range(20_000).withColumn("v", F.col("id")), order="id", bucket=F.col("id"), value=F.col("v"), out="r", how="sum")
+
+
+def test_next_asof_has_no_single_task(spark):
+    cal = spark.createDataFrame([(D(2020, 1, 3),), (D(2022, 5, 5),), (D(2024, 2, 2),)], "d date")
+    pts = spark.createDataFrame([(D(2019, 1, 1),), (D(2020, 1, 3),), (D(2022, 5, 4),), (D(2023, 1, 1),), (D(2024, 2, 2),), (None,)], "p date")
+    got = T.next_asof(pts, point="p", calendar=cal, calendar_col="d", out="n")
+    want = [(None, None), (D(2019, 1, 1), D(2020, 1, 3)), (D(2020, 1, 3), D(2022, 5, 5)), (D(2022, 5, 4), D(2022, 5, 5)), (D(2023, 1, 1), D(2024, 2, 2)), (D(2024, 2, 2), None)]
+    assert rows(got, "p", "n") == want
+    assert ("SinglePartition" not in got._jdf.queryExecution().executedPlan().toString())
+    loose = T.next_asof(pts, point="p", calendar=cal, calendar_col="d", out="n", strict=False)
+    assert (D(2020, 1, 3), D(2020, 1, 3)) in rows(loose, "p", "n")
