@@ -48,9 +48,9 @@ def replace_tables(current: dict[str, DataFrame], batch: dict[str, DataFrame], *
     in ``allowed`` are rejected."""
     unknown = sorted(set(batch) - set(allowed))
     if unknown:
-        raise ValueError(f"Unsupported market event tables: {', '.join(unknown)}")
+        raise ValueError(f"not among the tables to refresh: {', '.join(unknown)}")
     if mode not in ("replace", "append"):
-        raise ValueError(f"Unsupported refresh_mode: {mode}")
+        raise ValueError(f"a refresh is 'replace' or 'append', not {mode}")
     out = dict(current)
     for name, df in batch.items():
         out[name] = df if mode == "replace" or name not in current else append_dedup(current[name], df)

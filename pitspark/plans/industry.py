@@ -40,10 +40,10 @@ class ImportParams:
     def validate(self) -> None:
         bad = sorted(lv for lv in self.levels if lv not in LEVEL_SCHEMAS)
         if bad:
-            raise ValueError("Unsupported industry levels for official SW import: " + ", ".join(bad))
+            raise ValueError("no such level in the official import: " + ", ".join(bad))
         for d in (self.min_effective_date, self.cutover_date):
             if len(d) != 8 or not d.isdigit():
-                raise ValueError("Official SW import requires dates in YYYYMMDD format.")
+                raise ValueError("days of the official import are written yyyyMMdd")
 
     @property
     def min_effective_ts(self) -> Column:

@@ -39,6 +39,7 @@ ISSUE_RULES = {
 }
 RULE_FIELDS = ["issue_severity", "usable_for_vpa", "usable_for_ml_feature", "usable_for_ml_label",
                "usable_for_backtest", "execution_restricted"]
+# Issue texts.
 MISSING_LIMIT_DETAIL = "up_limit or down_limit is missing; execution checks must be conservative"
 MISSING_INDUSTRY_DETAIL = ("industry_code is missing and standardized to UNKNOWN; industry attribution and portfolio "
                            "constraints should handle UNKNOWN explicitly")
@@ -54,7 +55,7 @@ def issue_rule(issue_type: str) -> tuple:
         return ISSUE_RULES[issue_type]
     except KeyError as exc:
         raise ValueError(
-            f"Unsupported data quality issue type: {issue_type}. Expected one of: {', '.join(sorted(ISSUE_RULES))}"
+            f"{issue_type} is no issue type; there are {', '.join(sorted(ISSUE_RULES))}"
         ) from exc
 
 

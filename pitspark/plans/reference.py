@@ -47,7 +47,7 @@ def industry_rows_from_members(members: DataFrame, levels: tuple[str, ...] = ("L
     start dates, deduplicate, then close the intervals."""
     unknown = sorted(set(levels) - set(INDUSTRY_LEVELS))
     if unknown:
-        raise ValueError(f"Unsupported industry levels: {', '.join(unknown)}")
+        raise ValueError(f"no such level: {', '.join(unknown)}")
     base = members.select(
         F.col("ts_code").cast("string").alias("security_id"),
         nullable_text("in_date").alias("_in"),

@@ -134,7 +134,7 @@ def conform_pit_table(sources, table: str) -> DataFrame | None:
     if table == "benchmark_weight_snapshot_pit":
         require_columns(df, {"benchmark_id", "security_id", "trade_date", "weight"}, f"{alias}.{table}")
         return conform(df, BENCHMARK_WEIGHT_PIT, dates=["trade_date"])
-    raise ValueError(f"Unsupported optional PIT table import: {table}")
+    raise ValueError(f"{table} is no point-in-time table")
 
 
 def conform_index_table(sources, table: str) -> DataFrame | None:
@@ -145,7 +145,7 @@ def conform_index_table(sources, table: str) -> DataFrame | None:
     alias, df = found
     layout = INDEX_BASIC if table == "index_basic_ref" else INDEX_DAILY if table == "raw_index_daily" else None
     if layout is None:
-        raise ValueError(f"Unsupported optional index reference table import: {table}")
+        raise ValueError(f"{table} is no index table")
     require_columns(df, {n for n, _ in layout}, f"{alias}.{table}")
     return conform(df, layout, dates=[n for n, t in layout if t == DT], defaults={"source_table": table} if table == "raw_index_daily" else None)
 
