@@ -38,6 +38,9 @@ NEED, OF = 75, 100  # link when OF * overlap >= NEED * union
 FREQUENT = 1 << 18  # bound on the shingles that are known to be frequent
 LEAST_FREQUENT = 8
 LIST_BLOCK = 4096  # entries of a list that one task holds at a time
+FOLDED = 64  # bytes of the least parity map
+CARRIED = 1 << 10  # bytes of a parity map that an entry of a list takes along at most
+PAIR_BYTES = 1 << 22  # parity maps compared by one numpy call
 NO_ID = 2**63 - 1  # stands for a null id, so that it is never the least
 
 
@@ -77,7 +80,29 @@ def least_difference(x: bytes, y: bytes) -> int:
 
 def _folded(bits: bytes) -> bytes:
     """The map folded to 512 bits."""
-    return np.bitwise_xor.reduce(np.frombuffer(bits, dtype=np.uint8).reshape(-1, 64), axis=0).tobytes()
+    return np.bitwise_xor.reduce(np.frombuffer(bits, dtype=np.uint8).reshape(-1, FOLDED), axis=0).tobytes()
+
+
+def carried_map(bits: str) -> F.Column:
+    """The parity map that goes with every entry of a set: none where the folded map says as much, or where it has more than ``CARRIED`` bytes, so that an entry stays small."""
+    return F.when(F.octet_length(bits).between(FOLDED + 1, CARRIED), F.col(bits)).otherwise(F.lit(b""))
+
+
+def maps_differ(maps: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``least_difference`` of the maps of the pairs (a, b), for many pairs at once; 0 where one of them has no map."""
+    width = np.array([len(m) for m in maps], dtype=np.int64)
+    out = np.zeros(len(a), dtype=np.int64)
+    common = np.minimum(width[a], width[b])
+    for w in np.unique(common[common > 0]).tolist():
+        pairs = np.flatnonzero(common == w)
+        entries, at = np.unique(np.concatenate([a[pairs], b[pairs]]), return_inverse=True)
+        rows = np.stack([np.bitwise_xor.reduce(np.frombuffer(maps[e], dtype=np.uint64).reshape(-1, w // 8), axis=0) for e in entries.tolist()])
+        at = at.reshape(2, -1)
+        some = max(1, PAIR_BYTES // w)
+        for s in range(0, len(pairs), some):  # in pieces, so that the rows of many pairs stay small
+            x, y = at[:, s : s + some]
+            out[pairs[s : s + some]] = np.bitwise_count(rows[x] ^ rows[y]).sum(axis=1, dtype=np.int64)
+    return out
 
 
 def _unlike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,15 +264,21 @@ def _borders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         carry = [x[-4:] for x in now]
 
 
+def _objects(values: list) -> np.ndarray:
+    out = np.empty(len(values), dtype=object)
+    out[:] = values
+    return out
+
+
 def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Over entries sorted by (token, lo, hi): candidate pairs of different classes within one block pair of a list."""
     held: list[np.ndarray] | None = None
     cols = ["token", "lo", "hi", "rep", "size", "pos", "root", "own"]
 
     def search(group: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        _, lo, hi, rep, size, pos, root, own, fold = group
+        _, lo, hi, rep, size, pos, root, own, fold, bits = group
         order = np.lexsort((pos, size))
-        rep, size, pos, root, own, fold = (x[order] for x in (rep, size, pos, root, own, fold))
+        rep, size, pos, root, own, fold, bits = (x[order] for x in (rep, size, pos, root, own, fold, bits))
         split = lo[0] != hi[0]
         step = 256
         blocks = [(s, min(s + step, len(rep))) for s in range(0, len(rep), step)]
@@ -267,8 +298,10 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 a, b = a[ok], b[ok]
                 ok = _may_link(size[a], pos[a], size[b], pos[b])
                 a, b = a[ok], b[ok]
-                apart = np.bitwise_count(fold[a] ^ fold[b]).sum(axis=1, dtype=np.int64)
-                ok = apart <= size[a] + size[b] - 2 * _least_overlap(size[a], size[b])
+                most = size[a] + size[b] - 2 * _least_overlap(size[a], size[b])
+                ok = np.bitwise_count(fold[a] ^ fold[b]).sum(axis=1, dtype=np.int64) <= most
+                a, b, most = a[ok], b[ok], most[ok]
+                ok = maps_differ(bits, a, b) <= most  # the folded maps of long texts are full and tell nothing
                 a, b = a[ok], b[ok]
                 if len(a):
                     yield np.minimum(rep[a], rep[b]), np.maximum(rep[a], rep[b])
@@ -282,6 +315,7 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         now = [batch.column(c).to_numpy() for c in cols]
         now.append(np.frombuffer(b"".join(batch.column("fold").to_pylist()), dtype=np.uint64).reshape(-1, 8))
+        now.append(_objects(batch.column("bits").to_pylist()))
         if held is not None:
             now = [np.concatenate([a, b]) for a, b in zip(held, now, strict=True)]
         change = np.flatnonzero((now[0][1:] != now[0][:-1]) | (now[1][1:] != now[1][:-1]) | (now[2][1:] != now[2][:-1])) + 1
@@ -368,10 +402,10 @@ class JaccardJoin:
         first = first.unionByName(middle)
         roots = stored(components(first.select("a", "b")), "roots", large=False)
 
-        index = mixed(roots).join(reps.select("rep", "fold"), "rep")
+        index = mixed(roots).join(reps.select("rep", "fold", carried_map("bits").alias("bits")), "rep")
         parts = F.ceil(F.col("size_of_list") / LIST_BLOCK).cast("int")
         index = index.withColumn("own", F.pmod(F.xxhash64("rep"), parts).cast("int")).withColumn("with", F.explode(F.sequence(F.lit(0), parts - 1)))
-        index = index.select("token", F.least("own", "with").alias("lo"), F.greatest("own", "with").alias("hi"), "rep", "size", "pos", "root", "own", "fold")
+        index = index.select("token", F.least("own", "with").alias("lo"), F.greatest("own", "with").alias("hi"), "rep", "size", "pos", "root", "own", "fold", "bits")
         index = index.repartition(tasks, "token", "lo", "hi").sortWithinPartitions("token", "lo", "hi")
         far = index.mapInArrow(_across, "a bigint, b bigint").distinct().join(near.unionByName(met), ["a", "b"], "left_anti")
         second = verify(far, "links")
