@@ -290,6 +290,23 @@ def test_attention_learns_from_every_window_of_every_bucket(spark):
     assert max(loss) < 2 and abs(loss[0] - loss[1]) < 0.3
 
 
+def test_attention_decides_frequent_ids_from_a_long_context():
+    rng = np.random.default_rng(6)
+    counts = np.zeros(5001)
+    counts[:300] = 1000 + rng.permutation(300)
+    counts[300:] = 1
+    classes = language_model.Classes(counts, np.arange(5000) % 2 == 0)
+    classes.add_pairs(np.zeros(300, dtype=int), np.arange(300), np.ones(300, dtype=int))
+    assert len(set(classes.outputs[:300])) == 300
+    assert np.abs(classes.log_within(np.zeros(300, dtype=int), np.arange(300))).max() < 1e-9  # nothing is left to the counted factor
+    text = language_model.Ids(np.array([0, 400]), rng.integers(0, 300, 400).astype(np.int32))
+    place, owner = text.windows(np.array([0]))
+    inputs, _, scored = text.read(place, owner)
+    before = np.cumsum(inputs >= 0, axis=1)
+    at = place[:, None] - language_model.OVERLAP + np.arange(language_model.CONTEXT)
+    assert (before[scored] >= np.minimum(at[scored], 16)).all() and before[scored].max() >= 63
+
+
 def test_line_dedup_of_long_lines_against_brute_force(spark):
     rng = random.Random(6)
     line = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
