@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitspark.llm.common import Words, stored, table, text_blocks
+from pitspark.llm.common import Words, small_batches, stored, table, text_blocks
 from pitspark.llm.components import components
 
 SHINGLE = 5
@@ -351,6 +351,7 @@ class JaccardJoin:
 
     def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"):
         spark = docs.sparkSession
+        small_batches(spark)
         tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
         plain = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
         scan = stored(plain.mapInArrow(_scan, "_id bigint, n bigint, k1 bigint, k2 bigint, bits binary, fold binary, token bigint, hits bigint"), "sets")

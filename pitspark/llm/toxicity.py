@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitspark.llm.common import Words, held_out, id_text, mix, real_id, table, text_blocks
+from pitspark.llm.common import Words, held_out, id_text, mix, small_batches, table, text_blocks
 
 FIT_ROWS = 20_000  # bound on the labelled rows that the classifier is fitted on
 PREFIXES = (4, 5, 6, 7, 8)  # lengths in bytes of the word beginnings that count as features
@@ -274,6 +274,7 @@ def fit_judge(docs: DataFrame, labels: DataFrame, channel: Channel, rows: int =
 
 def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", restored: bool = True) -> DataFrame:
     """The documents with ``score`` (0 to 1) and, if asked for, ``restored`` (text without disguise)."""
+    small_batches(docs.sparkSession)
     plain = id_text(docs, id_col, text_col)
     marks = labels.select(F.col(id_col).cast("long").alias("_id"), F.col(label_col).cast("int").alias("_label")).filter("_id is not null and _label in (0, 1)")
     channel = Channel(trigram_counts(plain))

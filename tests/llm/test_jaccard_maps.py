@@ -3,7 +3,7 @@
 import numpy as np
 import pyarrow as pa
 
-from pitspark.llm import jaccard
+from pitspark.llm import common, jaccard
 
 
 def _list(sets):
@@ -30,3 +30,17 @@ def test_maps_differ_as_pair_by_pair():
     a, b = (x.ravel() for x in np.meshgrid(range(6), range(6)))
     want = [jaccard.least_difference(maps[i], maps[j]) if maps[i] and maps[j] else 0 for i, j in zip(a, b, strict=True)]
     assert jaccard.maps_differ(maps, a, b).tolist() == want
+
+
+def test_whole_texts_reach_python_in_small_batches(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    was = spark.conf.get(key)
+    try:
+        for given, want in (("700", 700), ("10000", common.BATCH_ROWS), ("-1", common.BATCH_ROWS), ("0", common.BATCH_ROWS)):
+            spark.conf.set(key, given)
+            common.small_batches(spark)
+            assert int(spark.conf.get(key)) == want
+        sizes = spark.range(5000).coalesce(1).mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in batches), "n long").collect()
+        assert sum(r["n"] for r in sizes) == 5000 and max(r["n"] for r in sizes) <= common.BATCH_ROWS
+    finally:
+        spark.conf.set(key, was)
