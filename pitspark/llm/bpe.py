@@ -30,7 +30,8 @@ from pitspark.llm.common import id_text, real_id, table
 # White space and the word pattern of the byte-level pre-tokenizer.
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 WORD = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
-CACHE_WORDS = 600_000  # distinct words a Python worker remembers; on reaching it the memory is emptied, results do not change
+CACHE_WORDS = 150_000  # distinct words a Python worker remembers; on reaching it the memory is emptied, results do not change
+GROUP_CHARS = 500_000  # text that is cut into words at once
 PLAIN_WORD_CACHE = 1_000_000  # the same, where only the ids of a word are kept
 
 
@@ -62,7 +63,6 @@ class TrieBpe:
             self.halves.setdefault(t, (x, y))
         self.rank = {t: self.joined[p][0] for t, p in self.halves.items()}
         self.fits: dict[int, bool] = {}
-        self.edges: dict[int, list[tuple[int, float]]] = {}
         # An entry is of use only if its own bytes encode to it.
         self.entry: dict[bytes, int] = {}
         for t in sorted(vocab.values(), key=lambda t: self.rank.get(t, -1)):
@@ -93,25 +93,26 @@ class TrieBpe:
         return self.state[tail]
 
     def _edge(self, token: int, side: int) -> list[tuple[int, float]]:
-        """Tokens that stand at a token's right (1) or left (0) edge while it is built, each with the rank that consumes it."""
-        edge = self.edges.get(token * 2 + side)
-        if edge is None:
-            edge, until, at = [], float("inf"), token
-            while True:
-                edge.append((at, until))
-                if at not in self.halves:
-                    break
-                until, at = self.rank[at], self.halves[at][side]
-            self.edges[token * 2 + side] = edge
+        """Tokens that stand at a token's right (1) or left (0) edge while it is built, each with the rank that consumes it.
+
+        Walked anew each time: kept for all tokens, the edges would be larger than the vocabulary.
+        """
+        edge, halves, rank = [(token, float("inf"))], self.halves, self.rank
+        own = halves.get(token)
+        while own is not None:
+            until, token = rank[token], own[side]
+            edge.append((token, until))
+            own = halves.get(token)
         return edge
 
     def _crossing(self, a: int, b: int) -> float:
         """Rank of the first merge over the seam between a and b; infinite if there is none."""
         first = float("inf")
+        joined = self.joined
         right = self._edge(b, 0)
         for x, x_until in self._edge(a, 1):
             for y, y_until in right:
-                hit = self.joined.get((x, y))
+                hit = joined.get((x, y))
                 if hit is not None and hit[0] < x_until and hit[0] <= y_until:
                     first = min(first, hit[0])
         return first
@@ -204,7 +205,7 @@ def codec(path: str) -> TrieBpe:
     return _LOADED[path]
 
 
-def _groups(texts: list[str], limit: int = 2_000_000) -> Iterator[list[str]]:
+def _groups(texts: list[str], limit: int = GROUP_CHARS) -> Iterator[list[str]]:
     part, size = [], 0
     for t in texts:
         part.append(t)

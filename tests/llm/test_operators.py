@@ -56,6 +56,19 @@ def test_bpe_equals_library_and_round_trips(docs, rows, empty):
     assert bpe.encode_digests(empty, TOKENIZER).collect() == []
 
 
+def test_bpe_codec_stays_small():
+    library = Tokenizer.from_file(TOKENIZER)
+    codec = bpe.TrieBpe(TOKENIZER)
+    fresh = {k for k, v in vars(codec).items() if v == {}}
+    words = [f" {n}" for n in range(200_000)]
+    for at in range(0, len(words), 20_000):
+        codec.learn(set(words[at : at + 20_000]))
+    assert len(codec.memory) <= 150_000
+    assert fresh <= {"fits", "memory", "added", "step"}  # nothing else grows from empty; step is bounded by the automaton
+    for text in (" ".join(map(str, range(0, 200_000, 1009))), "Internationalization of unbelievable counterrevolutionaries"):
+        assert codec.encode(text) == library.encode(text, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("planes", ["byte", "bit"])
 def test_token_files_round_trip(spark, docs, rows, empty, planes, tmp_path):
     library = Tokenizer.from_file(TOKENIZER)
