@@ -31,6 +31,7 @@ from pitspark.llm.common import id_text, real_id, table
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 WORD = rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 CACHE_WORDS = 150_000  # distinct words a Python worker remembers; on reaching it the memory is emptied, results do not change
+CACHE_PAIRS = 600_000  # the same for pairs of tokens; dear to find and soon all known
 GROUP_CHARS = 500_000  # text that is cut into words at once
 PLAIN_WORD_CACHE = 1_000_000  # the same, where only the ids of a word are kept
 
@@ -160,7 +161,7 @@ class TrieBpe:
                 i -= size[i]
             out[word] = ids[::-1]
             before = word
-        if len(fits) > CACHE_WORDS:
+        if len(fits) > CACHE_PAIRS:
             fits.clear()
         return out
 
@@ -236,6 +237,7 @@ def digests(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
                 [batch.column("_id"), pa.array(n_tokens, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())],
                 names=["_id", "n_tokens", "ids_sha256", "decoded_sha256"],
             )
+        bpe.memory.clear()  # the worker lives on, with other tasks to do
 
     return run
 

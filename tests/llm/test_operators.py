@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -65,6 +66,8 @@ def test_bpe_codec_stays_small():
         codec.learn(set(words[at : at + 20_000]))
     assert len(codec.memory) <= 150_000
     assert fresh <= {"fits", "memory", "added", "step"}  # nothing else grows from empty; step is bounded by the automaton
+    batch = pa.RecordBatch.from_pydict({"_id": [1], "_text": ["what a task has learned"]})
+    assert sum(b.num_rows for b in bpe.digests(TOKENIZER)(iter([batch]))) == 1 and not bpe.codec(TOKENIZER).memory
     for text in (" ".join(map(str, range(0, 200_000, 1009))), "Internationalization of unbelievable counterrevolutionaries"):
         assert codec.encode(text) == library.encode(text, add_special_tokens=False).ids
 
