@@ -1,6 +1,7 @@
 """What a commit of a versioned table costs: shuffles, files, micro-batches and files looked up."""
 
 import datetime as dt
+import glob
 import tempfile
 
 import pytest
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pitspark import catalog
 from pitspark.operators import keyed as K
-from pitspark.operators.versioned import VersionedTable, latest_delivery
+from pitspark.operators.versioned import VersionedTable, by_bounds, latest_delivery
 from pitspark.plans.research import Research
 
 from .conftest import rows
@@ -73,6 +74,41 @@ def test_corrections_of_a_month_leave_the_files_of_the_others(spark, research, m
     assert len(seen) == 2 and all(0 < c.files_read < c.files_kept for c in seen)
 
 
+def test_micro_batches_do_not_follow_the_shuffle_partitions(spark, research, monkeypatch):
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small partitions stay apart, as large ones would
+    spark.conf.set("spark.sql.shuffle.partitions", "24")
+    try:
+        got = rows(_query("stream_deliveries", research, monkeypatch).where("source_table = 'feed_a.daily'"), "trade_date", "vol", "change")
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    root = glob.glob(f"{research.store}/deliveries-*")[0]
+    landed = [glob.glob(f"{root}/landing/arrived={n}/*.parquet") for n in (1, 2, 3)]
+    assert all(0 < len(files) <= 8 for files in landed)
+    assert len(glob.glob(f"{root}/table/published/*")) <= 4
+    day = lambda r: int(r[0][6:])
+    assert all((change is None) == (8 <= day((d,)) <= 12) for d, _, change in got) and len(got) > 1500
+    assert {vol for d, vol, _ in got if int(d[6:]) < 8} <= {500.0, 0.0} and {vol for d, vol, _ in got if int(d[6:]) > 12} <= {5.0, 0.0}
+
+
+def test_bounds_cut_a_table_into_equal_ranges(spark, table):
+    made = _rows(spark, [(f"s{s:03d}", f"2024{m:02d}{d:02d}", s) for s in range(40) for m in (1, 2, 3) for d in range(1, 11)])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        table.replace(made)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    bounds = table.bounds(3, 10**6)
+    assert len(bounds) == 2 and bounds == sorted(bounds) and not table.bounds(1, 10**6)
+    dealt = by_bounds(made, "ym", ["k", "d"], bounds).withColumn("p", F.spark_partition_id())
+    ranges = dealt.groupBy("p").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("ym", "k", "d")).alias("low"), F.max(F.struct("ym", "k", "d")).alias("high")).orderBy("p").collect()
+    assert sum(r.n for r in ranges) == 1200 and len(ranges) > 1 and max(r.n for r in ranges) <= 800
+    assert all(a.high < b.low for a, b in zip(ranges, ranges[1:]))
+    hollow = _rows(spark, [(None, "20240101", v) for v in range(900)])
+    assert by_bounds(hollow, "ym", ["k", "d"], bounds).groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0] < 600
+
+
 def test_files_that_only_later_keys_touch_are_found(spark, table):
     """The first look takes one key in 64; a file that none of those touch must be found by the others."""
     batch = _rows(spark, [(f"s{s:03d}", f"2024{m:02d}{d:02d}", -1) for s in range(40) for m in (1, 2) for d in range(1, 11)] + [("s039", "20240310", -1)])
